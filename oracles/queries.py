@@ -412,3 +412,50 @@ on_tx("report_kpi_cards", "\nUNION ALL ".join(
 oracle("report_merchants", f"""SELECT merchant_name, category, city, revenue, total_txns, fraud_pct FROM ({PERFORMANCE})
   ORDER BY revenue DESC, merchant_id LIMIT 10""", TX, "merchants")
 
+
+# --------------------------------------------------------------------- outlook
+on_tx("merchant_growth", f"""SELECT *, {r('(revenue - previous_revenue) / nullif(previous_revenue, 0) * 100')} AS growth_pct
+  FROM (SELECT *, lag(revenue) OVER (PARTITION BY merchant_id ORDER BY "month") AS previous_revenue
+        FROM (SELECT merchant_id, {MONTH} AS "month", {r(total('amount'))} AS revenue
+              FROM transactions WHERE {OK} GROUP BY 1, 2))""")
+on_tx("rapid_repeat_payments", f"""SELECT transaction_id, customer_id, merchant_id, "timestamp", amount,
+  {r('epoch("timestamp" - previous) / 60')} AS gap_minutes
+  FROM (SELECT *, lag("timestamp") OVER (PARTITION BY customer_id, merchant_id
+          ORDER BY "timestamp", transaction_id) AS previous FROM transactions)
+  WHERE epoch("timestamp" - previous) <= 1440 * 60""")
+on_tx("repeat_transactions", """SELECT merchant_id, count(*) AS customers, count(*) FILTER (WHERE p >= 2) AS repeat_customers,
+  CAST(coalesce(sum(p) FILTER (WHERE p >= 2), 0) AS BIGINT) AS repeat_purchases
+  FROM (SELECT merchant_id, customer_id, count(*) AS p FROM transactions WHERE status = 'Success' GROUP BY 1, 2) GROUP BY 1""")
+on_tx("hour_weekday_heatmap", "SELECT transaction_hour, " + ", ".join(
+    n(f'dayofweek("timestamp") = {i}') + f" AS {d}" for i, d in enumerate("sun mon tue wed thu fri sat".split()))
+    + f" FROM transactions WHERE {HIT} GROUP BY 1")
+on_tx("regional_summary", f"""SELECT state, city, CAST(grouping(state, city) AS INTEGER) AS level, {n()} AS transactions,
+  {r(total('amount'))} AS volume, {r(pct(n(OK), n()))} AS success_rate FROM transactions GROUP BY ROLLUP (state, city)""")
+
+
+def outliers(key: str, measure: str, least: int, z: float) -> str:
+    return f"""SELECT * FROM (SELECT {key}, transactions, "value",
+        {r('("value" - avg("value") OVER ()) / nullif(stddev_pop("value") OVER (), 0)', 4)} AS z_score
+      FROM (SELECT {key}, count(*) AS transactions, {r(measure, 4)} AS "value" FROM transactions
+            WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) >= {least})) WHERE z_score >= {z}"""
+
+
+on_tx("unusual_customers", outliers("customer_id", mean("amount"), 5, 2.0))
+on_tx("high_risk_merchants", outliers("merchant_id", pct(n(HIT), n()), 20, 1.5))
+oracle("revenue_contribution", f"""SELECT merchant_id, category, revenue,
+  {r(pct('revenue', 'sum(revenue) OVER ()'), 4)} AS share_pct,
+  {r(pct('revenue', 'sum(revenue) OVER (PARTITION BY category)'), 4)} AS category_share_pct
+  FROM ({PERFORMANCE})""", TX, "merchants")
+oracle("churn_risk_merchants", f"""SELECT m.merchant_id, m.merchant_name, recent_txns, prior_txns
+  FROM merchants m JOIN (SELECT merchant_id,
+      {n(f'"timestamp" >= {AS_OF} - INTERVAL 30 DAY')} AS recent_txns,
+      {n(f'"timestamp" < {AS_OF} - INTERVAL 30 DAY')} AS prior_txns
+    FROM transactions WHERE {last_days(60)} GROUP BY 1) v ON m.merchant_id = v.merchant_id
+  WHERE m.status = 'Active' AND recent_txns * 2 < prior_txns""", TX, "merchants")
+oracle("geo_mismatch", f"""SELECT c.city AS home_city, count(*) AS transactions, {n('t.city <> c.city')} AS away,
+  {r(pct(n('t.city <> c.city'), n()))} AS away_pct, {n('t.city <> c.city AND is_fraud = 1')} AS away_fraud
+  FROM transactions t JOIN customers c ON t.customer_id = c.customer_id GROUP BY 1""", TX, "customers")
+on_tx("outlier_treatment", """SELECT transaction_id, t.category, amount,
+  least(greatest(amount, low), high) AS amount_treated FROM transactions t
+  JOIN (SELECT category, quantile_disc(amount, 0.01) AS low, quantile_disc(amount, 0.99) AS high
+        FROM transactions GROUP BY 1) q ON t.category = q.category""")

@@ -20,6 +20,7 @@ from tillscope.plans import (
     gold,
     insights,
     merchants,
+    outlook,
     report,
     transactions,
     views,
@@ -513,3 +514,38 @@ def report_tickets(lh):
 @query
 def report_insights(lh):
     return report.insights(_summaries(lh))
+
+
+# --------------------------------------------------------------------- outlook
+_on_transactions("merchant_growth", outlook.merchant_growth)
+_on_transactions("rapid_repeat_payments", outlook.rapid_repeat_payments)
+_on_transactions("repeat_transactions", outlook.repeat_transactions)
+_on_transactions("hour_weekday_heatmap", outlook.hour_weekday_heatmap)
+_on_transactions("regional_summary", outlook.regional_summary)
+_on_transactions("unusual_customers", outlook.unusual_customers)
+_on_transactions("outlier_treatment", outlook.outlier_treatment)
+
+
+@query
+def high_risk_merchants(lh):
+    return outlook.high_risk_merchants(lh.transactions, z=1.5)
+
+
+@query
+def revenue_contribution(lh):
+    return outlook.revenue_contribution(lh.transactions, lh.merchants)
+
+
+@query
+def churn_risk_merchants(lh):
+    return outlook.churn_risk_merchants(lh.transactions, lh.merchants, lh.as_of)
+
+
+@query
+def geo_mismatch(lh):
+    return outlook.geo_mismatch(lh.transactions, lh.customers)
+
+
+@query
+def category_forecast(lh):
+    return forecast.forecast(forecast.daily_series(lh.transactions, "category")).drop("created_at")

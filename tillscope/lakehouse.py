@@ -49,7 +49,7 @@ class Lakehouse:
             customers=fixtures.customers(self.spark, self.sf_dir),
             merchants=fixtures.merchants(self.spark, self.sf_dir),
             transactions=fixtures.transactions(self.spark, self.sf_dir),
-            reviews=fixtures.reviews(self.transactions, self.merchants),
+            reviews=fixtures.reviews(self.scored, self.merchants),
             tickets=fixtures.tickets(self.spark, self.sf_dir),
         )
 

@@ -86,7 +86,9 @@ def _table_report(name: str, df: DataFrame, contract: Contract, tables: dict) ->
         duplicates(df, contract.key).select(F.lit(f"unique:{','.join(contract.key)}").alias("rule"), "violations"),
     ]
     for column, target in contract.references.items():
-        lost = orphans(df, tables[target], column).agg(F.count(F.lit(1)).alias("violations"))
+        # Counted per key first: a key moves once, however many rows it has.
+        keys = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        lost = orphans(keys, tables[target], column).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations"))
         parts.append(lost.select(F.lit(f"reference:{column}").alias("rule"), "violations"))
     return [p.select("rule", F.lit(name).alias("table_name"), "violations") for p in parts]
 

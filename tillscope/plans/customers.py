@@ -71,11 +71,8 @@ def filtered(customers: DataFrame, *, city=None, search=None) -> DataFrame:
 
 
 def page(tx: DataFrame, customers: DataFrame, *, page: int = 1, limit: int = 25, **filters) -> DataFrame:
-    wanted = filtered(customers, **filters)
-    if any(filters.values()):
-        tx = tx.join(wanted.select("customer_id"), "customer_id", "left_semi")
     order = [F.desc("total_spend"), F.col("customer_id")]
-    return paging.page_of(views.customer_summary(tx, wanted), order, page, limit)
+    return paging.page_of(views.customer_summary(tx, filtered(customers, **filters)), order, page, limit)
 
 
 def page_total(customers: DataFrame, **filters) -> DataFrame:

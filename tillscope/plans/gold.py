@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillscope.functions import columns as c
 from tillscope.plans import views
+from tillscope.sources.lake import stage
 
 
 # ------------------------------------------------------------- lakehouse gold
@@ -75,14 +76,16 @@ def agg_daily_revenue(tx: DataFrame) -> DataFrame:
     )
 
 
-def merchant_score(performance: DataFrame) -> DataFrame:
+def merchant_score(rates: DataFrame) -> DataFrame:
     """0 to 100 per merchant: 40 for revenue against the category leader, 30 for
     successful, 15 for not refunded and 15 for not fraudulent transactions.
 
-    Built from aggregates only, so that no ranking over all merchants is needed.
-    A merchant without transactions scores 0.
+    Built from aggregates only, so that no ranking over all merchants is needed;
+    ``rates`` is read twice and should be a written table. A merchant without
+    transactions scores 0.
     """
-    leader = performance.groupBy(F.col("category").alias("_category")).agg(F.max("revenue").alias("_best"))
+    leader = rates.groupBy(F.col("category").alias("_category")).agg(F.max("revenue").alias("_best"))
+    leader = stage(leader, "category-leaders")
     share = c.or_zero(F.try_divide(F.col("revenue"), F.col("_best")))
     points = (
         40 * share
@@ -91,7 +94,7 @@ def merchant_score(performance: DataFrame) -> DataFrame:
         + 0.15 * (100 - F.col("fraud_pct"))
     )
     return (
-        performance.join(leader, F.col("category").eqNullSafe(F.col("_category")), "left")
+        rates.join(leader, F.col("category").eqNullSafe(F.col("_category")), "left")
         .withColumn("merchant_score", F.when(F.col("total_txns") > 0, c.rounded(points)).otherwise(0.0))
         .drop("_best", "_category")
     )
@@ -99,12 +102,8 @@ def merchant_score(performance: DataFrame) -> DataFrame:
 
 def agg_merchant_kpis(tx: DataFrame, merchants: DataFrame, as_of: date) -> DataFrame:
     """One snapshot row per merchant, dated ``as_of``. Revenue is that of Success rows."""
-    performance = views.merchant_performance(tx, merchants)
-    success = tx.groupBy("merchant_id").agg(
-        c.rounded(c.percent(F.count_if(c.success()), F.count(F.lit(1))), 4).alias("success_pct")
-    )
-    rated = performance.join(success, "merchant_id", "left").fillna(0.0, ["success_pct"])
-    return merchant_score(rated).select(
+    rates = stage(views.merchant_rates(tx, merchants), "merchant-rates")
+    return merchant_score(rates).select(
         "merchant_id",
         F.lit(as_of).alias("metric_date"),
         F.col("revenue").alias("total_revenue"),

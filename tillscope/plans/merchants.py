@@ -18,10 +18,8 @@ def filtered(merchants: DataFrame, *, category=None, city=None, status=None, sea
 
 
 def directory(tx: DataFrame, merchants: DataFrame, **filters) -> DataFrame:
-    """Every wanted merchant with its statistics. Only their transactions are aggregated."""
+    """Every wanted merchant with its statistics."""
     wanted = filtered(merchants, **filters)
-    if any(filters.values()):
-        tx = tx.join(wanted.select("merchant_id"), "merchant_id", "left_semi")
     return views.merchant_performance(tx, wanted, ("avg_transaction_value", "registration_date")).drop(
         "avg_txn_value"
     )

@@ -33,10 +33,11 @@ def merchant_stats(tx: DataFrame) -> DataFrame:
         F.count_distinct("customer_id").alias("unique_customers"),
         c.rounded(c.percent(F.count_if(c.fraud()), n), 4).alias("fraud_pct"),
         c.rounded(c.percent(F.count_if(c.refunded()), n), 4).alias("refund_pct"),
+        c.rounded(c.percent(F.count_if(c.success()), n), 4).alias("success_pct"),
     )
 
 
-def merchant_performance(tx: DataFrame, merchants: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+def merchant_rates(tx: DataFrame, merchants: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Every merchant. The fact is aggregated before the join: one row per merchant moves."""
     directory = merchants.select(
         "merchant_id", "merchant_name", "category", "city", "state", "risk_score", "status", *extra
@@ -44,10 +45,14 @@ def merchant_performance(tx: DataFrame, merchants: DataFrame, extra: tuple[str,
     return (
         directory.join(merchant_stats(tx), "merchant_id", "left")
         .fillna(0, ["total_txns", "unique_customers"])
-        .fillna(0.0, ["revenue", "avg_txn_value", "fraud_pct", "refund_pct"])
+        .fillna(0.0, ["revenue", "avg_txn_value", "fraud_pct", "refund_pct", "success_pct"])
     )
 
 
+def merchant_performance(tx: DataFrame, merchants: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    return merchant_rates(tx, merchants, extra).drop("success_pct")
+
+
 def customer_stats(tx: DataFrame) -> DataFrame:
     """Per customer with transactions. Spend and average are those of Success rows."""
     return tx.groupBy("customer_id").agg(
