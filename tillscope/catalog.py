@@ -27,7 +27,7 @@ from tillscope.plans import (
 )
 from tillscope.plans import forecast as series
 from tillscope.sources.csv import read_csv, split_corrupt, write_csv
-from tillscope.sources.lake import scratch_path
+from tillscope.sources.lake import scratch_path, stage
 from tillscope.text import sentiment, tickets
 
 Query = Callable[[Lakehouse], DataFrame]
@@ -69,7 +69,7 @@ def bronze_csv_scan(lh: Lakehouse) -> DataFrame:
     names = lh.bronze.transactions.columns
     write_csv(lh.bronze.transactions, path)
     schema = type(schemas.TRANSACTIONS)([schemas.TRANSACTIONS[name] for name in names])
-    return split_corrupt(read_csv(lh.spark, path, schema))[0]
+    return split_corrupt(stage(read_csv(lh.spark, path, schema), "bronze-transactions"))[0]
 
 
 @query

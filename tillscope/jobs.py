@@ -34,7 +34,7 @@ DEFAULTS = {"transactions": {"is_fraud": 0, "weekend_flag": 0}}
 
 
 def ingest(spark: SparkSession, folder: str, lake: str) -> None:
-    """The five CSV files as raw tables."""
+    """The five CSV files as raw tables, malformed lines included."""
     for name, df in read_entities(spark, folder).items():
         write_table(df, f"{lake}/bronze/{name}")
 
@@ -44,8 +44,12 @@ def _layer(spark: SparkSession, lake: str, layer: str) -> Tables:
 
 
 def cleanse(spark: SparkSession, lake: str) -> None:
-    """Raw to cleansed tables; transactions are laid out by month."""
-    for name, df in silver.silver(_layer(spark, lake, "bronze")).items():
+    """Raw to cleansed tables; transactions are laid out by month, malformed lines set apart."""
+    good = {}
+    for name, df in _layer(spark, lake, "bronze").items():
+        good[name], bad = split_corrupt(df)
+        write_table(bad, f"{lake}/quarantine/{name}")
+    for name, df in silver.silver(Tables(**good)).items():
         if name == "transactions":
             write_table(df.withColumn("txn_month", c.month()), f"{lake}/silver/{name}", "txn_month")
         else:
@@ -99,8 +103,8 @@ def load_warehouse(spark: SparkSession, folder: str, lake: str) -> DataFrame:
     for order, (name, table) in enumerate(WAREHOUSE.items(), 1):
         schema = schemas.ENTITIES[name]
         try:
-            df = split_corrupt(read_csv(spark, f"{folder}/{FILES[name]}", schema))[0]
-            rows = 0 if df.isEmpty() else -1
+            df = split_corrupt(stage(read_csv(spark, f"{folder}/{FILES[name]}", schema), name))[0]
+            rows = df.count()
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise

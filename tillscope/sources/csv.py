@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from tillscope import schemas
 from tillscope.tables import Tables
 
-CORRUPT = "_corrupt"
+# Spark's own name: with it a line is judged by all its columns, whichever are selected.
+CORRUPT = "_corrupt_record"
 
 # File name of each entity.
 FILES = {
@@ -22,7 +23,7 @@ FILES = {
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed rows; a malformed line keeps its text in ``_corrupt`` and what could be read."""
+    """Typed rows; a malformed line keeps its text in an extra column, and what could be read."""
     schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     return (
         spark.read.schema(schema)
@@ -30,7 +31,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("mode", "PERMISSIVE")
         .option("escape", '"')
-        .option("multiLine", False)
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path)
     )
@@ -53,15 +53,17 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean rows, quarantined lines)."""
+    """(clean rows, quarantined lines) of a written table; Spark cannot query the text
+    column alone straight from CSV files."""
     clean = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return clean, df.where(F.col(CORRUPT).isNotNull())
 
 
 def read_entities(spark: SparkSession, folder: str) -> Tables:
-    """The five entities of a data folder."""
-    frames = {
-        name: read_csv(spark, f"{folder}/{file}", schemas.ENTITIES[name])
-        for name, file in FILES.items()
-    }
-    return Tables(**{name: split_corrupt(df)[0] for name, df in frames.items()})
+    """The five entities of a data folder, malformed lines included."""
+    return Tables(
+        **{
+            name: read_csv(spark, f"{folder}/{file}", schemas.ENTITIES[name])
+            for name, file in FILES.items()
+        }
+    )
