@@ -46,7 +46,7 @@ def on_tx(name: str, body: str) -> None:
 for name in ("customers", "merchants", "transactions", "reviews", "tickets"):
     oracle(f"silver_{name}", f"SELECT * FROM {name}", name)
 oracle("bronze_csv_scan", """SELECT transaction_id, customer_id, merchant_id, amount,
-  trim(payment_method) AS payment_method, "timestamp", status, device_type FROM transactions0""", "transactions0")
+  payment_method, "timestamp", status, device_type FROM transactions0""", "transactions0")
 
 
 def _quality() -> str:

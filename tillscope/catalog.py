@@ -277,7 +277,7 @@ def fraud_alerts_total(lh):
 
 @query
 def fraud_rules(lh):
-    return lh.scored.select(
+    return lh.transactions.select(
         "transaction_id", "fraud_points", "fraud_score", "risk_level", "customer_merchant_distance"
     )
 

@@ -51,7 +51,7 @@ def cleanse(spark: SparkSession, lake: str) -> None:
         write_table(bad, f"{lake}/quarantine/{name}")
     for name, df in silver.silver(Tables(**good)).items():
         if name == "transactions":
-            write_table(df.withColumn("txn_month", c.month()), f"{lake}/silver/{name}", "txn_month")
+            write_table(df.withColumn("txn_month", c.month()), f"{lake}/silver/{name}", "txn_month", "customer_id")
         else:
             write_table(df, f"{lake}/silver/{name}")
 

@@ -64,11 +64,11 @@ class Lakehouse:
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Cleansed transactions with place, distance and rule score, laid out by month."""
+        """Cleansed transactions with place, distance and rule score."""
         clean = silver.transactions(fixtures.transactions(self.spark, self.sf_dir))
         scored = rules.score(enrich(clean, self.customers, self.merchants))
         scored = scored.withColumn("txn_month", c.month()).select(*_TRANSACTION_COLUMNS)
-        return stage(scored, "transactions", partition_by="txn_month")
+        return stage(scored, "scored-transactions")
 
     @cached_property
     def top_fraction(self) -> rules.TopFraction:
@@ -76,7 +76,12 @@ class Lakehouse:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self.top_fraction.label(self.scored)
+        """The scored transactions with their label, laid out by month.
+
+        The label is stored: as an expression it would make every reader fetch the ids.
+        """
+        labelled = self.top_fraction.label(self.scored)
+        return stage(labelled, "transactions", partition_by="txn_month", sort_by="customer_id")
 
     @cached_property
     def reviews(self) -> DataFrame:

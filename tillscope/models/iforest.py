@@ -35,6 +35,11 @@ def _mean_path(n: float) -> float:
     return 2.0 * (math.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
 
 
+def _depth(rows: int) -> int:
+    """Depth limit of a tree: that of a balanced one."""
+    return max(1, math.ceil(math.log2(max(rows, 2))))
+
+
 def sample(features: DataFrame, key: str, trees: int = TREES, size: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """Rows with a ``tree`` column: per tree the ``size`` rows of lowest hash.
 
@@ -69,7 +74,7 @@ def sample(features: DataFrame, key: str, trees: int = TREES, size: int = SAMPLE
 def _grow(rows: np.ndarray, rng: np.random.Generator) -> list[tuple]:
     """Nodes (node, feature, split, left, right, path) of one tree; leaves have feature -1
     and carry their path length."""
-    limit = max(1, math.ceil(math.log2(max(len(rows), 2))))
+    limit = _depth(len(rows))
     nodes: list[tuple] = []
     todo = [(0, rows, 0)]
     count = 1
@@ -110,13 +115,16 @@ def score(features: DataFrame, nodes: DataFrame, columns: list[str], key: str, s
     table = nodes.toPandas().sort_values(["tree", "node"])
     starts = table.groupby("tree", sort=True)["node"].size().cumsum().shift(fill_value=0)
     base = table["tree"].map(starts).to_numpy()
+    leaf = table["feature"].to_numpy() < 0
+    # A leaf sends every row to itself, so all rows take the same number of steps.
     forest = {
         "roots": starts.to_numpy(),
-        "feature": table["feature"].to_numpy(),
-        "split": table["split"].to_numpy(),
-        "left": table["left"].to_numpy() + base,
-        "right": table["right"].to_numpy() + base,
+        "feature": np.where(leaf, 0, table["feature"]),
+        "split": np.where(leaf, np.inf, table["split"]),
+        # child of node i: entry 2 i + (1 if the row goes left)
+        "child": np.column_stack([table["right"] + base, table["left"] + base]).ravel(),
         "path": table["path"].to_numpy(),
+        "depth": _depth(size),
         "expected": _mean_path(size) or 1.0,
     }
     shared = features.sparkSession.sparkContext.broadcast(forest)
@@ -124,19 +132,14 @@ def score(features: DataFrame, nodes: DataFrame, columns: list[str], key: str, s
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         f = shared.value
         for pdf in frames:
-            x = pdf[columns].to_numpy(dtype=float)
-            total = np.zeros(len(x))
-            rows = np.arange(len(x))
+            n = len(pdf)
+            values = np.concatenate([pdf[x].to_numpy(dtype=float) for x in columns])  # column by column
+            rows, total = np.arange(n), np.zeros(n)
             for root in f["roots"]:
-                at = np.full(len(x), root)
-                live = rows
-                while len(live):
-                    feature = f["feature"][at[live]]
-                    inner = feature >= 0
-                    live, feature = live[inner], feature[inner]
-                    here = at[live]
-                    left = x[live, feature] <= f["split"][here]
-                    at[live] = np.where(left, f["left"][here], f["right"][here])
+                at = np.full(n, root)
+                for _ in range(f["depth"]):
+                    goes_left = values[f["feature"][at] * n + rows] <= f["split"][at]
+                    at = f["child"][2 * at + goes_left]
                 total += f["path"][at]
             mean = total / max(len(f["roots"]), 1)
             yield pd.DataFrame({key: pdf[key], "score": np.power(2.0, -mean / f["expected"])})

@@ -62,7 +62,7 @@ class TopFraction:
     def label(self, scored: DataFrame) -> DataFrame:
         points = F.col("fraud_points")
         inside = (points > self.points) | (
-            (points == self.points) & (text_key(F.col("transaction_id")) <= self.last_id)
+            (points == self.points) & (F.col("transaction_id") <= self.last_id)
         )
         return scored.withColumn("is_fraud", F.when(inside, 1).otherwise(0))
 
@@ -82,4 +82,5 @@ def fit_top_fraction(scored: DataFrame, fraction: float = FRAUD_FRACTION) -> Top
             break
         wanted -= row.n
     bucket = scored.where(F.col("fraud_points") == row.fraud_points)
-    return TopFraction(row.fraud_points, kth_smallest_key(bucket, text_key(F.col("transaction_id")), wanted))
+    last = kth_smallest_key(bucket, text_key(F.col("transaction_id")), wanted)
+    return TopFraction(row.fraud_points, bytes.fromhex(last).decode())

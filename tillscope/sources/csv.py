@@ -46,6 +46,8 @@ def write_csv(df: DataFrame, path: str) -> None:
     (
         df.write.mode("overwrite")
         .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path)
