@@ -181,6 +181,8 @@ PAGE = """status = 'Success' AND risk_level = 'High' AND "timestamp" >= TIMESTAM
   AND "timestamp" <= TIMESTAMP '2001-06-30'"""
 oracle("transactions_page", f"""SELECT * FROM ({NAMED}) WHERE {PAGE}
   ORDER BY amount DESC, transaction_id LIMIT 50 OFFSET 50""", TX, "customers", "merchants")
+oracle("transactions_far_page", f"SELECT * FROM ({NAMED}) ORDER BY amount, transaction_id LIMIT 100 OFFSET 29900",
+       TX, "customers", "merchants")
 on_tx("transactions_page_total", f"SELECT count(*) AS total FROM transactions WHERE {PAGE}")
 oracle("transaction_get", f"SELECT * FROM ({NAMED}) WHERE transaction_id IN (SELECT transaction_id FROM reviews)",
        TX, "customers", "merchants", "reviews")
@@ -262,6 +264,8 @@ GUESS = "(customer_merchant_distance > 75 AND txn_hour <= 4)"
 on_tx("fraud_ml_comparison", f"""SELECT {n()} AS total, {n(f'{HIT} AND {GUESS}')} AS both_flagged,
   {n(f'{HIT} AND NOT {GUESS}')} AS heuristic_only, {n(f'is_fraud = 0 AND {GUESS}')} AS ml_only,
   {n(f'is_fraud = 0 AND NOT {GUESS}')} AS neither FROM transactions""")
+on_tx("fraud_flagged_share", f"""SELECT {n()} AS total, {n(GUESS)} AS flagged, {r(pct(n(GUESS), n()))} AS flagged_pct
+  FROM transactions""")
 on_tx("fraud_agreement", f"""SELECT {n()} AS total, {r(pct(n(f'({HIT}) = {GUESS}'), n()))} AS agreement_pct
   FROM transactions""")
 

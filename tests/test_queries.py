@@ -56,6 +56,17 @@ def test_pages_cover_ties_once(lake):
     assert seen == [r.transaction_id for r in want.collect()]
 
 
+def test_far_pages(spark, monkeypatch):
+    monkeypatch.setattr(paging, "NEAR", 10)
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("k")).repartition(5)
+    order = [F.desc("k"), F.col("id")]
+    want = [r.id for r in df.orderBy(*order).collect()]
+    for page in (1, 2, 17, 40):
+        got = [r.id for r in paging.page_of(df, order, page, 25).collect()]
+        assert got == want[(page - 1) * 25 : page * 25]
+    assert paging.page_of(df, order, 41, 25).count() == 0
+
+
 def test_page_past_the_end_and_unknown_sort(lake):
     args = (lake.transactions, lake.customers, lake.merchants)
     assert transactions.page(*args, page=10_000, limit=100).count() == 0

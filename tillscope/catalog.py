@@ -164,6 +164,14 @@ def transactions_page(lh):
     )
 
 
+@query
+def transactions_far_page(lh):
+    """A page far behind the start, cheapest first."""
+    return transactions.page(
+        lh.transactions, lh.customers, lh.merchants, page=300, limit=100, sort_by="amount", sort_order="asc"
+    )
+
+
 @query
 def transactions_page_total(lh):
     return transactions.page_total(lh.transactions, **PAGE_FILTERS)
@@ -298,6 +306,11 @@ def fraud_ml_comparison(lh):
     return fraud.ml_comparison(lh.transactions, _stand_in(lh))
 
 
+@query
+def fraud_flagged_share(lh):
+    return fraud.flagged_share(_stand_in(lh))
+
+
 @query
 def fraud_agreement(lh):
     return fraud.agreement(lh.transactions, _stand_in(lh))

@@ -7,13 +7,19 @@ Estimates differ slightly from exact maximum likelihood.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.sources.lake import with_audit
 
+# The functions below run on executors, where this package need not be installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LAGS = 7
 HORIZON = 30
 SHORTEST = 14

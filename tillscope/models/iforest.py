@@ -7,16 +7,21 @@ has a fixed size bound and is broadcast; scoring runs batch-wise over all rows.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.operators.rank_select import kth_smallest_key, whole_key
 from tillscope.sources.lake import stage, with_audit
 
+# The functions below run on executors, where this package need not be installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TREES = 200
 SAMPLE = 256
 CONTAMINATION = 0.015

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.sources.lake import stage
+
+NEAR = 10_000  # rows before a page that a top-k may hold
+
 
 def where_equal(df: DataFrame, **wanted: object) -> DataFrame:
     """AND of equalities. None and empty text mean no filter; 0 is a value."""
@@ -31,9 +35,37 @@ def check_limit(limit: int, most: int) -> None:
 
 
 def page_of(df: DataFrame, order: list[Column], page: int, limit: int) -> DataFrame:
-    """One page. The order must end in a unique key, or pages could overlap."""
+    """One page. The order must end in a unique key, or pages could overlap.
+
+    Near pages are a top-k over all tasks. That keeps every row before the page
+    in memory, so far pages are looked up in a sorted copy instead.
+    """
     check_page(page, limit)
-    return df.orderBy(*order).offset((page - 1) * limit).limit(limit)
+    offset = (page - 1) * limit
+    if offset > NEAR:
+        df, offset = _seek(df, order, offset, limit)
+    return df.orderBy(*order).offset(offset).limit(limit)
+
+
+def _seek(df: DataFrame, order: list[Column], offset: int, limit: int) -> tuple[DataFrame, int]:
+    """The sorted ranges that hold the page, and the rows to skip in them.
+
+    The copy is written with the number of each range, so the ranges cannot move
+    between counting and reading.
+    """
+    ranges = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    copy = stage(ranges, "sorted")
+    counts = copy.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).orderBy("_range").collect()
+    wanted, before = [], 0
+    for row in counts:
+        if before < offset + limit and before + row.n > offset:
+            if not wanted:
+                skipped = before
+            wanted.append(row["_range"])
+        before += row.n
+    if not wanted:
+        return copy.where("false").drop("_range"), 0
+    return copy.where(F.col("_range").isin(wanted)).drop("_range"), offset - skipped
 
 
 def total_of(df: DataFrame) -> DataFrame:

@@ -100,6 +100,14 @@ def ml_predictions_total(predictions: DataFrame) -> DataFrame:
     return paging.total_of(predictions.where("model_prediction = 1"))
 
 
+def flagged_share(predictions: DataFrame) -> DataFrame:
+    """How many rows the model flags, and their percentage."""
+    n, hit = F.count(F.lit(1)), F.count_if(F.col("model_prediction") == 1)
+    return predictions.agg(
+        n.alias("total"), hit.alias("flagged"), c.rounded(c.percent(hit, n)).alias("flagged_pct")
+    )
+
+
 def _matched(tx: DataFrame, predictions: DataFrame) -> DataFrame:
     return tx.select("transaction_id", "is_fraud").join(
         predictions.select("transaction_id", "model_prediction"), "transaction_id"
