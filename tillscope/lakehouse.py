@@ -43,12 +43,16 @@ class Lakehouse:
         self.spark, self.sf_dir = spark, sf_dir
 
     # ------------------------------------------------------------------ bronze
+    @cached_property
+    def raw_transactions(self) -> DataFrame:
+        return stage(fixtures.transactions(self.spark, self.sf_dir), "raw-transactions")
+
     @cached_property
     def bronze(self) -> Tables:
         return Tables(
             customers=fixtures.customers(self.spark, self.sf_dir),
             merchants=fixtures.merchants(self.spark, self.sf_dir),
-            transactions=fixtures.transactions(self.spark, self.sf_dir),
+            transactions=self.raw_transactions,
             reviews=fixtures.reviews(self.scored, self.merchants),
             tickets=fixtures.tickets(self.spark, self.sf_dir),
         )
@@ -65,7 +69,7 @@ class Lakehouse:
     @cached_property
     def scored(self) -> DataFrame:
         """Cleansed transactions with place, distance and rule score."""
-        clean = silver.transactions(fixtures.transactions(self.spark, self.sf_dir))
+        clean = silver.transactions(self.raw_transactions)
         scored = rules.score(enrich(clean, self.customers, self.merchants))
         scored = scored.withColumn("txn_month", c.month()).select(*_TRANSACTION_COLUMNS)
         return stage(scored, "scored-transactions")

@@ -34,17 +34,26 @@ def check_limit(limit: int, most: int) -> None:
         raise ValueError(f"limit must be 1 to {most}")
 
 
-def page_of(df: DataFrame, order: list[Column], page: int, limit: int) -> DataFrame:
-    """One page. The order must end in a unique key, or pages could overlap.
+def page_order(by: str, descending: bool, key: str) -> list[Column]:
+    """NULL last, ties by the unique key, so that pages never overlap."""
+    first = F.col(by)
+    return [first.desc_nulls_last() if descending else first.asc_nulls_last(), F.col(key)]
+
+
+def page_of(df: DataFrame, by: str, key: str, page: int, limit: int, descending: bool = True) -> DataFrame:
+    """One page of ``df``, sorted.
 
     Near pages are a top-k over all tasks. That keeps every row before the page
-    in memory, so far pages are looked up in a sorted copy instead.
+    in memory, so far pages are looked up in a sorted copy of the sort columns.
     """
     check_page(page, limit)
     offset = (page - 1) * limit
-    if offset > NEAR:
-        df, offset = _seek(df, order, offset, limit)
-    return df.orderBy(*order).offset(offset).limit(limit)
+    order = page_order(by, descending, key)
+    if offset <= NEAR:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    near, skip = _seek(df.select(by, key), order, offset, limit)
+    keys = near.orderBy(*order).offset(skip).limit(limit).select(key)
+    return df.join(keys, key, "left_semi").orderBy(*order)
 
 
 def _seek(df: DataFrame, order: list[Column], offset: int, limit: int) -> tuple[DataFrame, int]:
@@ -53,19 +62,16 @@ def _seek(df: DataFrame, order: list[Column], offset: int, limit: int) -> tuple[
     The copy is written with the number of each range, so the ranges cannot move
     between counting and reading.
     """
-    ranges = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
-    copy = stage(ranges, "sorted")
+    copy = stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "sorted")
     counts = copy.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).orderBy("_range").collect()
-    wanted, before = [], 0
+    ranges, skipped, before = [], 0, 0
     for row in counts:
-        if before < offset + limit and before + row.n > offset:
-            if not wanted:
-                skipped = before
-            wanted.append(row["_range"])
+        if before + row.n <= offset:
+            skipped += row.n
+        elif before < offset + limit:
+            ranges.append(row["_range"])
         before += row.n
-    if not wanted:
-        return copy.where("false").drop("_range"), 0
-    return copy.where(F.col("_range").isin(wanted)).drop("_range"), offset - skipped
+    return copy.where(F.col("_range").isin(ranges)).drop("_range"), offset - skipped
 
 
 def total_of(df: DataFrame) -> DataFrame:

@@ -71,8 +71,8 @@ def filtered(customers: DataFrame, *, city=None, search=None) -> DataFrame:
 
 
 def page(tx: DataFrame, customers: DataFrame, *, page: int = 1, limit: int = 25, **filters) -> DataFrame:
-    order = [F.desc("total_spend"), F.col("customer_id")]
-    return paging.page_of(views.customer_summary(tx, filtered(customers, **filters)), order, page, limit)
+    summary = views.customer_summary(tx, filtered(customers, **filters))
+    return paging.page_of(summary, "total_spend", "customer_id", page, limit)
 
 
 def page_total(customers: DataFrame, **filters) -> DataFrame:

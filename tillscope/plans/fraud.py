@@ -68,8 +68,8 @@ def alerts_page(
     kept = c.in_range(
         paging.where_equal(tx, risk_level=risk_level), since=date_from or None, until=date_to or None
     ).where(c.fraud() & F.col("customer_id").isNotNull() & F.col("merchant_id").isNotNull())
-    order = [F.desc("timestamp"), F.col("transaction_id")]
-    cut = paging.page_of(kept, order, page, limit)
+    cut = paging.page_of(kept, "timestamp", "transaction_id", page, limit)
+    order = paging.page_order("timestamp", True, "transaction_id")
     return views.fraud_alerts(cut, customers, merchants).orderBy(*order)
 
 
@@ -83,9 +83,9 @@ def ml_predictions_page(
 ) -> DataFrame:
     """Flagged rows, highest score first, with transaction and names."""
     flagged = predictions.where("model_prediction = 1")
-    order = [F.desc("model_score"), F.col("transaction_id")]
     # Every prediction has its transaction, so the page can be cut first.
-    cut = paging.page_of(flagged, order, page, limit)
+    cut = paging.page_of(flagged, "model_score", "transaction_id", page, limit)
+    order = paging.page_order("model_score", True, "transaction_id")
     facts = tx.select(
         "transaction_id", "customer_id", "merchant_id", "amount", "timestamp", "status", "risk_level"
     )

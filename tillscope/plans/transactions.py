@@ -31,11 +31,11 @@ def page(
 ) -> DataFrame:
     """One page with names. The page is cut before the dimension joins; rows whose
     customer or merchant is unknown (NULL key) are left out first, as the joins would."""
-    column = F.col(sort_by if sort_by in SORTABLE else "timestamp")
-    first = column.desc_nulls_last() if sort_order == "desc" else column.asc_nulls_last()
+    by, descending = sort_by if sort_by in SORTABLE else "timestamp", sort_order == "desc"
     rows = filtered(tx, **filters).where("customer_id IS NOT NULL AND merchant_id IS NOT NULL")
-    cut = paging.page_of(rows, [first, F.col("transaction_id")], page, limit)
-    return with_names(cut, customers, merchants).orderBy(first, "transaction_id")
+    cut = paging.page_of(rows, by, "transaction_id", page, limit, descending)
+    order = paging.page_order(by, descending, "transaction_id")
+    return with_names(cut, customers, merchants).orderBy(*order)
 
 
 def page_total(tx: DataFrame, **filters) -> DataFrame:

@@ -25,13 +25,17 @@ CRITICAL_FROM, HIGH_FROM = 4, 2
 MOST_KEYWORDS = 5
 
 
-def _text(column: str) -> Column:
-    return F.lower(F.coalesce(F.col(column), F.lit("")))
+TEXT = "_text"
 
 
-def _has_any(text: Column, words: list[str]) -> Column:
+def _with_text(tickets: DataFrame) -> DataFrame:
+    """Adds the description in lower case, once for all rules."""
+    return tickets.withColumn(TEXT, F.lower(F.coalesce("description", F.lit(""))))
+
+
+def _has_any(words: list[str]) -> Column:
     """Any of the words, also inside longer words."""
-    return reduce(or_, [F.contains(text, F.lit(w)) for w in words])
+    return reduce(or_, [F.contains(F.col(TEXT), F.lit(w)) for w in words])
 
 
 def urgency_points() -> Column:
@@ -40,7 +44,7 @@ def urgency_points() -> Column:
         F.when(F.col("priority") == "High", 3).otherwise(0)
         + F.when(issue.isin("Fraud Alert", "Account Access"), 2).otherwise(0)
         + F.when(issue == "Payment Failed", 1).otherwise(0)
-        + F.when(_has_any(_text("description"), URGENT_WORDS), 2).otherwise(0)
+        + F.when(_has_any(URGENT_WORDS), 2).otherwise(0)
     )
 
 
@@ -51,47 +55,48 @@ def urgency() -> Column:
     )
 
 
+def _or_general(values: Column) -> Column:
+    """Comma list of the array, or general when there is nothing in it."""
+    text = F.array_join(values, ", ")
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit("general"))
+
+
 def topics() -> Column:
     """Matching topic names in the fixed order, else general."""
-    text = _text("description")
-    tags = F.array_compact(
-        F.array(*[F.when(_has_any(text, words), F.lit(name)) for name, words in TOPICS.items()])
-    )
-    return F.when(F.size(tags) == 0, F.array(F.lit("general"))).otherwise(tags)
+    return _or_general(F.array(*[F.when(_has_any(words), F.lit(name)) for name, words in TOPICS.items()]))
 
 
 def keywords() -> Column:
     """The first five phrases longer than three characters: runs of words between stop
     words, digits and punctuation. Else general."""
-    marked = F.regexp_replace(_text("description"), "[^a-z ]+", "|")
-    marked = F.regexp_replace(marked, rf"\b(?:{'|'.join(STOP_WORDS)})\b", "|")
+    words = F.split(F.regexp_replace(TEXT, "[^a-z ]+", " | "), " +")
+    kept = F.transform(words, lambda w: F.when(w.isin(STOP_WORDS), "|").otherwise(w))
     phrases = F.filter(
-        F.transform(F.split(marked, r"\|"), lambda p: F.trim(F.regexp_replace(p, " +", " "))),
+        F.transform(F.split(F.array_join(kept, " "), r"\|"), lambda p: F.trim(p)),
         lambda p: F.length(p) > 3,
     )
-    first = F.slice(phrases, 1, MOST_KEYWORDS)
-    return F.when(F.size(first) == 0, F.array(F.lit("general"))).otherwise(first)
+    return _or_general(F.slice(phrases, 1, MOST_KEYWORDS))
 
 
 def ticket_urgency(tickets: DataFrame) -> DataFrame:
-    return tickets.select("ticket_id", "issue_type", "priority", urgency().alias("urgency"))
+    return _with_text(tickets).select("ticket_id", "issue_type", "priority", urgency().alias("urgency"))
 
 
 def ticket_topics(tickets: DataFrame) -> DataFrame:
-    return tickets.select("ticket_id", F.array_join(topics(), ", ").alias("topics"))
+    return _with_text(tickets).select("ticket_id", topics().alias("topics"))
 
 
 def ticket_keywords(tickets: DataFrame) -> DataFrame:
-    return tickets.select("ticket_id", F.array_join(keywords(), ", ").alias("keywords"))
+    return _with_text(tickets).select("ticket_id", keywords().alias("keywords"))
 
 
 def ticket_nlp(tickets: DataFrame, lexicon: dict[str, tuple[float, float]] = LEXICON) -> DataFrame:
-    return with_sentiment(tickets, "description", lexicon).select(
+    return with_sentiment(_with_text(tickets), "description", lexicon).select(
         "ticket_id",
         "issue_type",
         F.col("polarity").alias("sentiment"),
         c.label3(F.col("polarity")).alias("polarity_label"),
         urgency().alias("urgency"),
-        F.array_join(keywords(), ", ").alias("keywords"),
-        F.array_join(topics(), ", ").alias("topics"),
+        keywords().alias("keywords"),
+        topics().alias("topics"),
     )
