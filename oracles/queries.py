@@ -463,3 +463,54 @@ on_tx("outlier_treatment", """SELECT transaction_id, t.category, amount,
   least(greatest(amount, low), high) AS amount_treated FROM transactions t
   JOIN (SELECT category, quantile_disc(amount, 0.01) AS low, quantile_disc(amount, 0.99) AS high
         FROM transactions GROUP BY 1) q ON t.category = q.category""")
+
+# ------------------------------------------- model consumers over repeatable input
+oracle("flagged_page", f"""SELECT t.transaction_id, CAST(1 AS INTEGER) AS model_prediction,
+  customer_merchant_distance AS model_score, amount, "timestamp", t.status, risk_level, customer_name, merchant_name
+  FROM transactions t JOIN customers c ON t.customer_id = c.customer_id JOIN merchants m ON t.merchant_id = m.merchant_id
+  WHERE {GUESS} ORDER BY model_score DESC, t.transaction_id LIMIT 25""", TX, "customers", "merchants")
+on_tx("flagged_total", f"SELECT count(*) AS total FROM transactions WHERE {GUESS}")
+_RULE = SEGMENTS[SEGMENTS.index("CASE"):SEGMENTS.index(" AS segment")]
+_RECENCY = f"coalesce(floor(epoch({AS_OF} + INTERVAL 1 DAY - last_txn) / 86400), 999)"
+PROFILE = f"""SELECT {_RULE} AS segment_name, count(*) AS customer_count, {r('avg(total_spend)')} AS avg_spend,
+  {r('avg(total_txns)', 1)} AS avg_transactions, {r('avg(unique_merchants)', 1)} AS avg_merchants,
+  {r(f'avg({_RECENCY})', 1)} AS avg_recency_days FROM ({SUMMARY}) GROUP BY 1"""
+oracle("segment_profile", PROFILE, TX, "customers")
+_TITLED = "array_to_string(list_transform(string_split(segment_name, '_'), lambda w: upper(w[1]) || w[2:]), ' ')"
+oracle("report_rule_segments", f"""SELECT {_TITLED} AS segment, customer_count, avg_spend, avg_transactions
+  FROM ({PROFILE})""", TX, "customers")
+_PARAGRAPHS = {
+    "revenue_overview": "'Total platform revenue stands at ₹' || printf('%.2f', total_revenue / 1e6) || 'M across ' || "
+    "format('{:,}', total_txns) || ' transactions, with an average ticket size of ₹' || printf('%.2f', avg_txn_value) || "
+    "'. The ' || category || ' category continues to drive the highest share of revenue at ₹' || "
+    "printf('%.1f', revenue / 1e3) || 'K.'",
+    "fraud_risk": "'Fraud detection flagged ' || format('{:,}', fraud_count) || ' transactions (' || "
+    "printf('%.2f', fraud_count * 100.0::DOUBLE / total_txns) || '%). The ML model (Isolation Forest) shows ' || "
+    "printf('%.1f', agreement_pct) || '% alignment with heuristic rules, providing robust dual-layer protection. "
+    "High-risk hours remain concentrated in the 00:00–04:00 window.'",
+    "weekend_behavior": "'Weekend transaction volume ' || CASE WHEN weekend_lift > 0 THEN 'increased' ELSE 'decreased' END "
+    "|| ' by ' || printf('%.1f', abs(weekend_lift)) || '% compared to weekdays over the trailing 30-day period, "
+    "indicating ' || CASE WHEN weekend_lift > 0 THEN 'strong leisure-driven spending' ELSE 'weaker weekend engagement' END "
+    "|| '.'",
+    "payment_trends": "payment_method || ' remains the dominant payment method. UPI continues rapid adoption among "
+    "mobile-first users, while credit card usage is concentrated in high-ticket Electronics and Travel categories.'",
+    "merchant_health": "'Platform-wide refund rate is ' || printf('%.2f', refund_rate) || '%. NLP sentiment analysis "
+    "across merchant reviews reveals an average polarity of ' || printf('%+.3f', avg_polarity) || ', with ' || "
+    "CAST(negative AS VARCHAR) || ' negative reviews flagged for follow-up.'",
+    "customer_segments": "'The ''' || segment_name || ''' segment leads in value, comprising ' || "
+    "format('{:,}', customer_count) || ' customers. Dormant user reactivation and luxury-spender retention remain the "
+    "highest-ROI levers for revenue growth.'",
+}
+_WE, _WD = total("amount", OK + " AND weekend_flag = 1"), total("amount", OK + " AND weekend_flag = 0")
+_FACTS = f"""(SELECT {n()} AS total_txns, {r(total('amount', OK))} AS total_revenue, {n(HIT)} AS fraud_count,
+    {r(mean('amount', OK))} AS avg_txn_value, {r(pct(n(BACK), n()))} AS refund_rate,
+    {r(pct(n(f'({HIT}) = {GUESS}'), n()))} AS agreement_pct FROM transactions),
+  (SELECT category, {r(total('amount', OK))} AS revenue FROM transactions WHERE {last_days(30)} GROUP BY 1
+    ORDER BY revenue DESC NULLS LAST, category LIMIT 1),
+  (SELECT {r(f'({_WE} / {_WD} - 1) * 100')} AS weekend_lift FROM transactions WHERE {last_days(30)}),
+  (SELECT payment_method FROM transactions WHERE {OK} GROUP BY 1 ORDER BY count(*) DESC, payment_method LIMIT 1),
+  (SELECT {r('avg(avg_polarity)', 3)} AS avg_polarity, sum(negative_count) AS negative FROM ({MOOD})),
+  (SELECT segment_name, customer_count FROM ({PROFILE}) ORDER BY avg_spend DESC, segment_name LIMIT 1)"""
+oracle("executive_summaries_rules", "\nUNION ALL ".join(
+    f"SELECT CAST({i} AS INTEGER) AS id, {q(topic)} AS topic, {text} AS summary FROM {_FACTS}"
+    for i, (topic, text) in enumerate(_PARAGRAPHS.items(), 1)), TX, "customers", "reviews")

@@ -298,7 +298,39 @@ def fraud_top_fraction(lh):
 def _stand_in(lh: Lakehouse) -> DataFrame:
     """A prediction that SQL can repeat: far away at night."""
     far = (F.col("customer_merchant_distance") > 75) & (F.col("txn_hour") <= 4)
-    return lh.transactions.select("transaction_id", F.when(far, 1).otherwise(0).alias("model_prediction"))
+    return lh.transactions.select(
+        "transaction_id",
+        F.when(far, 1).otherwise(0).alias("model_prediction"),
+        F.col("customer_merchant_distance").alias("model_score"),
+    )
+
+
+def _rule_segments(lh: Lakehouse) -> DataFrame:
+    """Customers under their rule-based segment, in the shape of the clusters."""
+    made = clusters.segment_features(lh.customer_summary, lh.as_of)
+    return made.withColumn("segment_name", customers.segment_of(CUTS, lh.as_of))
+
+
+@query
+def flagged_page(lh):
+    """The page of flagged rows over the repeatable prediction."""
+    return fraud.ml_predictions_page(_stand_in(lh), lh.transactions, lh.customers, lh.merchants)
+
+
+@query
+def flagged_total(lh):
+    return fraud.ml_predictions_total(_stand_in(lh))
+
+
+@query
+def segment_profile(lh):
+    """Segment averages over the rule-based segments."""
+    return customers.segments_ml(_rule_segments(lh))
+
+
+@query
+def report_rule_segments(lh):
+    return report.segments(_rule_segments(lh))
 
 
 @query
@@ -504,6 +536,18 @@ def executive_summaries(lh):
     return _summaries(lh)
 
 
+@query
+def executive_summaries_rules(lh):
+    """The paragraphs over the repeatable prediction and the rule-based segments."""
+    return insights.executive_summaries(
+        lh.transactions,
+        lh.as_of,
+        fraud.agreement(lh.transactions, _stand_in(lh)),
+        lh.merchant_sentiment,
+        customers.segments_ml(_rule_segments(lh)),
+    )
+
+
 # ---------------------------------------------------------------------- report
 _on_transactions("report_kpis", report.kpis)
 _on_transactions("report_kpi_cards", lambda tx: report.kpi_cards(report.kpis(tx)))
