@@ -266,7 +266,7 @@ on_tx("fraud_ml_comparison", f"""SELECT {n()} AS total, {n(f'{HIT} AND {GUESS}')
   {n(f'is_fraud = 0 AND NOT {GUESS}')} AS neither FROM transactions""")
 on_tx("fraud_flagged_share", f"""SELECT {n()} AS total, {n(GUESS)} AS flagged, {r(pct(n(GUESS), n()))} AS flagged_pct
   FROM transactions""")
-on_tx("fraud_agreement", f"""SELECT {n()} AS total, {r(pct(n(f'({HIT}) = {GUESS}'), n()))} AS agreement_pct
+on_tx("fraud_agreement", f"""SELECT {n()} AS total, {n(f'({HIT}) = {GUESS}')} AS agreed, {r(pct(n(f'({HIT}) = {GUESS}'), n()))} AS agreement_pct
   FROM transactions""")
 
 # ---------------------------------------------------------------------- models
@@ -504,10 +504,10 @@ _PARAGRAPHS = {
 _WE, _WD = total("amount", OK + " AND weekend_flag = 1"), total("amount", OK + " AND weekend_flag = 0")
 _FACTS = f"""(SELECT {n()} AS total_txns, {r(total('amount', OK))} AS total_revenue, {n(HIT)} AS fraud_count,
     {r(mean('amount', OK))} AS avg_txn_value, {r(pct(n(BACK), n()))} AS refund_rate,
-    {r(pct(n(f'({HIT}) = {GUESS}'), n()))} AS agreement_pct FROM transactions),
+    {pct(n(f'({HIT}) = {GUESS}'), n())} AS agreement_pct FROM transactions),
   (SELECT category, {r(total('amount', OK))} AS revenue FROM transactions WHERE {last_days(30)} GROUP BY 1
     ORDER BY revenue DESC NULLS LAST, category LIMIT 1),
-  (SELECT {r(f'({_WE} / {_WD} - 1) * 100')} AS weekend_lift FROM transactions WHERE {last_days(30)}),
+  (SELECT ({_WE} / {_WD} - 1) * 100 AS weekend_lift FROM transactions WHERE {last_days(30)}),
   (SELECT payment_method FROM transactions WHERE {OK} GROUP BY 1 ORDER BY count(*) DESC, payment_method LIMIT 1),
   (SELECT {r('avg(avg_polarity)', 3)} AS avg_polarity, sum(negative_count) AS negative FROM ({MOOD})),
   (SELECT segment_name, customer_count FROM ({PROFILE}) ORDER BY avg_spend DESC, segment_name LIMIT 1)"""

@@ -131,5 +131,6 @@ def agreement(tx: DataFrame, predictions: DataFrame) -> DataFrame:
     same = F.count_if(F.col("is_fraud") == F.col("model_prediction"))
     return _matched(tx, predictions).agg(
         F.count(F.lit(1)).alias("total"),
+        same.alias("agreed"),
         c.rounded(c.percent(same, F.count(F.lit(1)))).alias("agreement_pct"),
     )

@@ -142,7 +142,10 @@ def executive_summaries(
     def named(x):
         return F.coalesce(x, F.lit("N/A"))
 
-    lift = c.or_zero(F.col("weekend.weekend_lift"))
+    # Printed figures start from unrounded values: rounding twice could move a digit.
+    weekday = F.greatest(F.col("weekend.weekday_revenue"), F.lit(1.0))
+    lift = c.or_zero((F.col("weekend.weekend_revenue") / weekday - 1) * 100)
+    agreed = c.percent(F.col("agreement.agreed"), F.col("agreement.total"))
     up = lift > 0
     values = {
         "revenue_overview": [
@@ -155,7 +158,7 @@ def executive_summaries(
         "fraud_risk": [
             counted(F.col("fraud_count")),
             fixed(c.percent(F.col("fraud_count"), F.col("total_txns")), 2),
-            fixed(F.col("agreement.agreement_pct"), 1),
+            fixed(agreed, 1),
         ],
         "weekend_behavior": [
             F.when(up, "increased").otherwise("decreased"),
