@@ -5,9 +5,10 @@ import pytest
 from check import compare
 
 from tests.conftest import SF_DIR
+from tillscope.catalog import QUERIES
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, con):
     line = compare(spark, con, SF_DIR, name)
     assert line.startswith(("ok", "rows")), line
