@@ -35,6 +35,7 @@ def numbered(df: DataFrame, name: str, *columns: Column | str) -> DataFrame:
 def slices(sizes, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive items whose sizes add up to ``most`` at the most; one item may be larger."""
     start = total = 0
+    sizes = list(sizes)
     for k, n in enumerate(sizes):
         if k > start and total + n > most:
             yield start, k

@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.llm import exact_dedup, mixing
+from tillscope.llm import exact_dedup, mixing, pieces, toxicity
+
+#: Files of public tokenizers; a path, never part of this repository.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled piece ids of every text, and whether decoding gives the text back."""
+    return pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="max")
@@ -21,9 +29,18 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by a model of the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).withColumn("held_out", toxicity.held_out("doc_id"))
+
+
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLES = {
