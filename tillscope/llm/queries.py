@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.llm import exact_dedup, mixing, pieces, toxicity
+from tillscope.llm import exact_dedup, licenses, mixing, pieces, substrings, toxicity
 
 #: Files of public tokenizers; a path, never part of this repository.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -19,6 +19,11 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words outside 35-word windows that stand in more than one place."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("spans")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), keep="max")
@@ -29,6 +34,11 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and statements of every text."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text by a model of the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -38,12 +48,29 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
+    "op7_license_scan": op7_license_scan,
     "op9_toxicity": op9_toxicity,
 }
 
 ORACLES = {
+    "op4_substring_dedup": r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (
+  SELECT doc_id, ws, [md5(array_to_string(ws[i:i+34], ' ')) for i in range(1, greatest(len(ws) - 33, 1))] AS hs
+  FROM t),
+g AS (SELECT doc_id, unnest(hs) AS h, generate_subscripts(hs, 1) AS i FROM w),
+r AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS at FROM g SEMI JOIN r USING (h)),
+p AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS at FROM t),
+k AS (
+  SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.at) AS kept, count(*) AS n
+  FROM p ANTI JOIN c ON p.doc_id = c.doc_id AND p.at = c.at GROUP BY p.doc_id)
+SELECT t.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN k ON t.doc_id = k.doc_id""",
     "op5_exact_dedup": """
 WITH t AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS h
