@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope.llm import exact_dedup, licenses, mixing, pieces, substrings, toxicity
+from tillscope.llm import exact_dedup, licenses, mixing, near_dups, pieces, substrings, toxicity
 
 #: Files of public tokenizers; a path, never part of this repository.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -39,6 +39,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every text at a Jaccard similarity of 0.8 over five-word sets."""
+    return near_dups.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text by a model of the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -52,6 +57,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_license_scan": op7_license_scan,
+    "op8_ngram_join": op8_ngram_join,
     "op9_toxicity": op9_toxicity,
 }
 
