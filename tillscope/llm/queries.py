@@ -3,22 +3,47 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tillscope.llm import exact_dedup, licenses, mixing, near_dups, pieces, substrings, toxicity
+from pyspark.sql import functions as F
+
+from tillscope.llm import (
+    exact_dedup,
+    html_text,
+    licenses,
+    mixing,
+    near_dups,
+    neighbours,
+    pieces,
+    pseudonyms,
+    substrings,
+    toxicity,
+)
 
 #: Files of public tokenizers; a path, never part of this repository.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
+#: Stands in for the key that a deployment keeps in its secret store.
+PSEUDONYM_KEY = b"tillscope query key"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with keyed pseudonyms for personal data."""
+    return pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled piece ids of every text, and whether decoding gives the text back."""
     return pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of each vector whose vec_id is divisible by 50."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words outside 35-word windows that stand in more than one place."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("spans")
@@ -51,14 +76,22 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", toxicity.held_out("doc_id"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_sentencepiece": op2_sentencepiece,
+    "op3_nearest_vectors": op3_nearest_vectors,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_source_mixing": op6_source_mixing,
     "op7_license_scan": op7_license_scan,
     "op8_ngram_join": op8_ngram_join,
     "op9_toxicity": op9_toxicity,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLES = {
