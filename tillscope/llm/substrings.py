@@ -169,14 +169,20 @@ def text_key(text_col: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
-def repeats(docs: DataFrame, text_col: str = "text", window: int = 35, longest: int | None = None) -> list[tuple[int, DataFrame]]:
-    """For each level from ``window`` on: its length, and (key, marks), the starts of repeated windows by text key.
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """key, text and id; every join takes all three, so that the texts are shuffled once for all of them."""
+    return docs.select(
+        text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id")
+    )
+
+
+def repeats(texts: DataFrame, window: int = 35, longest: int | None = None) -> list[tuple[int, DataFrame]]:
+    """For each level from ``window`` on: its length, and (key, marks), the starts of repeated windows of ``keyed`` texts.
 
     Windows are compared by 64-bit hashes. Copies of one text count as places of their
     own. ``longest`` extends repeated windows to twice the length up to that bound.
     """
-    texts = docs.select(text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"))
-    marks = _repeated(texts.mapInArrow(_first_level(window), _ASK))
+    marks = _repeated(texts.select("key", "text").mapInArrow(_first_level(window), _ASK))
     out, length = [], window
     while length <= max(window, longest or 0):
         marks = _repeated(texts.join(marks, "key").mapInArrow(_next_level(window, length), _ASK))
@@ -207,10 +213,8 @@ def remove_repeats(
     table gives an empty result; other columns are not read.
     """
     need(docs, id_col, text_col)
-    ((_, marks),) = repeats(docs, text_col, window)
-    texts = docs.select(
-        text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id")
-    )
+    texts = keyed(docs, id_col, text_col)
+    ((_, marks),) = repeats(texts, window)
     kind = texts.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -240,5 +244,5 @@ def remove_repeats(
         f"id {kind}, n_words long, n_removed long, kept_sha256 string, "
         "spans array<struct<first: long, end: long>>, kept_text string"
     )
-    out = texts.join(marks, "key", "left").select("id", "text", "marks").mapInArrow(run, made)
+    out = texts.join(marks, "key", "left").mapInArrow(run, made)
     return (out if with_text else out.drop("kept_text")).withColumnRenamed("id", id_col)
