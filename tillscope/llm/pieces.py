@@ -116,7 +116,7 @@ def _look_up(v: Vocabulary, h: np.ndarray) -> np.ndarray:
     return out
 
 
-_FINE = 1 << 40
+_FINE = 1 << 32
 
 
 @dataclass
@@ -127,7 +127,7 @@ class Lattices:
     first: np.ndarray  # by pre-token: its first character
     sizes: np.ndarray
     edges: np.ndarray  # by node: its first incoming edge; a pre-token has one node more than characters
-    limit: np.ndarray  # by edge: cumulative probability within its node, in units of 1 / _FINE
+    limit: np.ndarray  # by edge: cumulative probability within its node, in units of 1 / _FINE, less one
     length: np.ndarray
     piece: np.ndarray  # -1: the bytes of one character
 
@@ -180,19 +180,70 @@ def lattices(v: Vocabulary, chunks: list[str]) -> Lattices:
     base = np.append(0, upto)[edges[end]]
     limit = upto - base
     limit[edges[1:][edges[1:] > edges[:-1]] - 1] = _FINE  # the last edge takes what rounding left
-    return Lattices(flat, first, sizes, edges, limit, length, piece)
-
-
-def encode_slice(v: Vocabulary, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts one after the other, and how many each has."""
+    limit = np.maximum(limit - 1, 0).astype(np.uint32)
+    return Lattices(flat, first, sizes, edges[:-1], limit, length, piece)
+
+
+class _Column:
+    """An array that grows at its end."""
+
+    def __init__(self):
+        self.data, self.n = None, 0
+
+    def add(self, more: np.ndarray) -> np.ndarray:
+        n = self.n + len(more)
+        if self.data is None or n > len(self.data):
+            wider = np.empty(2 * n, more.dtype)
+            if self.n:
+                wider[: self.n] = self.data[: self.n]
+            self.data = wider
+        self.data[self.n : n] = more
+        self.n = n
+        return self.data[:n]
+
+
+class Sampler:
+    """Encodes slices of texts; keeps the lattices of pre-tokens until they have ``most`` characters."""
+
+    def __init__(self, v: Vocabulary, most: int = 1_500_000):
+        self.v, self.most = v, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.columns = [_Column() for _ in range(7)]
+        self.lat: Lattices | None = None
+
+    def _known(self, distinct: list[str]) -> np.ndarray:
+        """Numbers of pre-tokens, whose lattices are then there."""
+        new = [c for c in distinct if c not in self.codes]
+        if new and self.lat is not None and len(self.lat.flat) + sum(map(len, new)) > self.most:
+            self._forget()
+            new = distinct
+        if new:
+            made = lattices(self.v, new)
+            shifts = (0, self.columns[0].n, 0, self.columns[4].n, 0, 0, 0)
+            parts = (made.flat, made.first, made.sizes, made.edges, made.limit, made.length, made.piece)
+            self.lat = Lattices(*(c.add(x + k if k else x) for c, x, k in zip(self.columns, parts, shifts)))
+            self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
+        return np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
+
+    def encode(self, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
+        return _encode(self, texts, seeds)
+
+
+def _encode(sampler: Sampler, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    v = sampler.v
     found = [PRETOKEN.findall(t) for t in texts]
     per_row = np.fromiter(map(len, found), np.int64, len(found))
     if not per_row.sum():
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
     every = np.empty(int(per_row.sum()), dtype=object)
     every[:] = [c for f in found for c in f]
-    codes, distinct = pd.factorize(every)
-    lat = lattices(v, distinct.tolist())
+    nth, distinct = pd.factorize(every)
+    codes = sampler._known(distinct.tolist())[nth]
+    lat = sampler.lat
     row = np.repeat(np.arange(len(texts)), per_row)
     nth = np.arange(len(codes)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
     stream = _scramble(seeds[row] + nth.astype(np.uint64) * _MIX)
@@ -200,12 +251,12 @@ def encode_slice(v: Vocabulary, texts: list[str], seeds: np.ndarray) -> tuple[np
     node, steps = origin + lat.sizes[codes], []
     live, step = np.arange(len(codes)), 0
     while len(live):
-        draw = (_scramble(stream[live] + np.uint64(step)) >> np.uint64(24)).astype(np.int64)
+        draw = (_scramble(stream[live] + np.uint64(step)) >> np.uint64(32)).astype(np.uint32)
         edge = lat.edges[node[live]]
-        late = np.flatnonzero(draw >= lat.limit[edge])
+        late = np.flatnonzero(draw > lat.limit[edge])
         while len(late):
             edge[late] += 1
-            late = late[draw[late] >= lat.limit[edge[late]]]
+            late = late[draw[late] > lat.limit[edge[late]]]
         node[live] -= lat.length[edge]
         steps.append((live, edge))
         live = live[node[live] > origin[live]]
@@ -265,12 +316,13 @@ def encode(
 
     def run(batches):
         v = Vocabulary(**shared.value)
+        sampler = Sampler(v)
         for batch in batches:
             texts, keys = batch["text"].to_pylist(), batch["id"].to_pylist()
             for a, b in slices((len(t or "") for t in texts), slice_chars):
                 part = [t or "" for t in texts[a:b]]
                 seeds = np.array([seed_of(k, seed) for k in keys[a:b]], np.uint64)
-                ids, counts = encode_slice(v, part, seeds)
+                ids, counts = sampler.encode(part, seeds)
                 ends = np.cumsum(counts)
                 same, listed = [], ids.tolist()
                 for t, e, n in zip(part, ends, counts):
