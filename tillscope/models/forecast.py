@@ -15,6 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillscope.functions import columns as c
 from tillscope.sources.lake import with_audit
 
 # The functions below run on executors, where this package need not be installed.
@@ -27,27 +28,27 @@ Z95 = 1.959964
 RIDGE = 1e-8
 
 FORECAST_SCHEMA = (
-    "metric_name string, forecast_date date, forecast_value double, lower_bound double, upper_bound double"
+    "metric_name string, is_count boolean, forecast_date date, forecast_value double, lower_bound double, upper_bound double"
 )
 
 
 def daily_series(tx: DataFrame, by: str | None = None) -> DataFrame:
-    """(metric_name, date, y): transactions and Success revenue per day, per value of ``by``."""
+    """(metric_name, date, y, is_count): transactions and Success revenue per day, per value of ``by``."""
     keys = [by] if by else []
     days = tx.groupBy(*keys, F.to_date("timestamp").alias("date")).agg(
         F.count(F.lit(1)).cast("double").alias("transactions"),
-        F.coalesce(F.sum(F.when(F.col("status") == "Success", F.col("amount"))), F.lit(0.0)).alias("revenue"),
+        c.or_zero(c.sum_where(c.success(), "amount").cast("double")).alias("revenue"),
     )
     long = days.unpivot([*keys, "date"], ["transactions", "revenue"], "metric", "y")
     name = F.concat_ws(":", "metric", by) if by else F.col("metric")
-    return long.select(name.alias("metric_name"), "date", "y")
+    return long.select(name.alias("metric_name"), "date", "y", (F.col("metric") == "transactions").alias("is_count"))
 
 
 def densify(series: DataFrame) -> DataFrame:
     """Days without a row between a series' first and last day get 0."""
-    span = series.groupBy("metric_name").agg(F.min("date").alias("a"), F.max("date").alias("b"))
-    days = span.select("metric_name", F.explode(F.sequence("a", "b")).alias("date"))
-    return days.join(series, ["metric_name", "date"], "left").fillna(0.0, ["y"])
+    span = series.groupBy("metric_name", "is_count").agg(F.min("date").alias("a"), F.max("date").alias("b"))
+    days = span.select("metric_name", "is_count", F.explode(F.sequence("a", "b")).alias("date"))
+    return days.join(series.drop("is_count"), ["metric_name", "date"], "left").fillna(0.0, ["y"])
 
 
 def lagged_differences(series: DataFrame, lags: int = LAGS) -> DataFrame:
@@ -76,7 +77,8 @@ def gram(lagged: DataFrame, lags: int = LAGS) -> DataFrame:
     ]
     last = F.max_by(F.struct("date", "y", *names[:-1]), "n")
     sums_and_last = lagged.groupBy("metric_name").agg(
-        F.count(F.lit(1)).alias("n_days"), F.count_if(full).alias("n_obs"), last.alias("last"), *sums
+        F.count(F.lit(1)).alias("n_days"), F.count_if(full).alias("n_obs"), F.max("is_count").alias("is_count"),
+        last.alias("last"), *sums
     )
     flat = [F.col(f"last.{x}").alias(f"last_{x}") for x in ("date", "y", *names[:-1])]
     return sums_and_last.select("*", *flat).drop("last")
@@ -122,6 +124,7 @@ def _forecast_one(row: pd.Series, lags: int, horizon: int) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "metric_name": row["metric_name"],
+            "is_count": row["is_count"],
             "forecast_date": [d.date() for d in days],
             "forecast_value": values,
             "lower_bound": values - spread,
@@ -131,7 +134,7 @@ def _forecast_one(row: pd.Series, lags: int, horizon: int) -> pd.DataFrame:
 
 
 def forecast(series: DataFrame, lags: int = LAGS, horizon: int = HORIZON) -> DataFrame:
-    """The next ``horizon`` days per series with 95 % bounds, cut at 0; counts are whole.
+    """The next ``horizon`` days per series with 95 % bounds, cut at 0; where ``is_count`` holds they are whole.
 
     Series shorter than 14 days give no rows.
     """
@@ -141,11 +144,11 @@ def forecast(series: DataFrame, lags: int = LAGS, horizon: int = HORIZON) -> Dat
         return pd.concat([_forecast_one(row, lags, horizon) for _, row in pdf.iterrows()])
 
     raw = grams.groupBy("metric_name").applyInPandas(solve, FORECAST_SCHEMA)
-    counts = F.col("metric_name").startswith("transactions")
 
     def shaped(name: str):
         cut = F.greatest(F.col(name), F.lit(0.0))
-        return F.when(counts, F.bround(cut, 0)).otherwise(cut)
+        return F.when(F.col("is_count"), F.bround(cut, 0)).otherwise(cut)
 
     values = ("forecast_value", "lower_bound", "upper_bound")
-    return with_audit(raw.withColumns({name: shaped(name) for name in values}), model_name="arima")
+    made = raw.withColumns({name: shaped(name) for name in values}).drop("is_count")
+    return with_audit(made, model_name="arima")

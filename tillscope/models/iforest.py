@@ -48,29 +48,19 @@ def _depth(rows: int) -> int:
 def sample(features: DataFrame, key: str, trees: int = TREES, size: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """Rows with a ``tree`` column: per tree the ``size`` rows of lowest hash.
 
-    The hash of the key decides, so the draw does not depend on the partitioning.
-    A row is drawn for a tree with twice the needed chance, then ``size`` are kept.
+    The hash of the key decides, so the draw does not depend on the partitioning. A row
+    serves as many trees as twice the needed draws come to per row: the whole part of
+    that number, and one more with the probability of its fraction. From a first tree
+    by hash on, a stride without common divisor spreads them over different trees.
     """
     rows = features.count()
-    chance = min(1.0, _OVERDRAW * size / max(rows, 1))
-    unit = 2.0**64
-
-    def below(hashed, p: float):
-        # xxhash64 is signed; compare against the matching signed bound.
-        return hashed.cast("double") < F.lit(p * unit - unit / 2)
-
-    if chance * trees <= 1.0:
-        # Large table: a row belongs to at most one tree.
-        drawn = features.where(below(F.xxhash64(F.lit(seed), F.col(key)), chance * trees)).withColumn(
-            "tree", F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(trees)).cast("int")
-        )
-    else:
-        # Small table: a row may serve several trees.
-        picks = F.filter(
-            F.sequence(F.lit(0), F.lit(trees - 1)),
-            lambda t: below(F.xxhash64(F.lit(seed), F.col(key), t), chance),
-        )
-        drawn = features.withColumn("tree", F.explode(picks))
+    share = min(float(trees), _OVERDRAW * size * trees / max(rows, 1))
+    unit = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(2**53)).cast("double") / 2.0**53
+    draws = (F.floor(F.lit(share)) + F.when(unit < share - math.floor(share), 1).otherwise(0)).cast("int")
+    stride = next(s for s in range(max(1, round(trees * 0.618)), trees + 2) if math.gcd(s, trees) == 1)
+    start = F.pmod(F.xxhash64(F.lit(seed + 1), F.col(key)), F.lit(trees))
+    picks = F.transform(F.sequence(F.lit(1), draws), lambda j: F.pmod(start + j * stride, F.lit(trees)).cast("int"))
+    drawn = features.where(draws > 0).withColumn("tree", F.explode(picks))
     order = F.xxhash64(F.lit(seed + 2), F.col(key), F.col("tree"))
     ranked = drawn.withColumn("_r", F.row_number().over(Window.partitionBy("tree").orderBy(order, key)))
     return ranked.where(F.col("_r") <= size).drop("_r")

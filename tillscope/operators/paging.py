@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from tillscope.sources.lake import stage
-
-NEAR = 10_000  # rows before a page that a top-k may hold
+from pyspark.sql import types as T
 
 
 def where_equal(df: DataFrame, **wanted: object) -> DataFrame:
@@ -40,38 +37,55 @@ def page_order(by: str, descending: bool, key: str) -> list[Column]:
     return [first.desc_nulls_last() if descending else first.asc_nulls_last(), F.col(key)]
 
 
-def page_of(df: DataFrame, by: str, key: str, page: int, limit: int, descending: bool = True) -> DataFrame:
-    """One page of ``df``, sorted.
+_STEPS = 4096  # buckets per doubling of a value
 
-    Near pages are a top-k over all tasks. That keeps every row before the page
-    in memory, so far pages are looked up in a sorted copy of the sort columns.
+
+def _bucket(df: DataFrame, by: str) -> Column:
+    """A whole number that never falls as the sort column rises; NULL has none.
+
+    Numbers and times go by the logarithm of their size, at most about half a million
+    buckets, text by its first three bytes.
     """
-    check_page(page, limit)
-    offset = (page - 1) * limit
-    order = page_order(by, descending, key)
-    if offset <= NEAR:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    near, skip = _seek(df.select(by, key), order, offset, limit)
-    keys = near.orderBy(*order).offset(skip).limit(limit).select(key)
-    return df.join(keys, key, "left_semi").orderBy(*order)
+    kind = df.schema[by].dataType
+    x = F.col(by)
+    if isinstance(kind, T.StringType):
+        return F.conv(F.rpad(F.hex(F.substring(F.encode(x, "utf-8"), 1, 3)), 6, "0"), 16, 10).cast("bigint")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        x = F.unix_seconds(x.cast("timestamp"))
+    elif isinstance(kind, T.DateType):
+        x = F.unix_date(x)
+    x = x.cast("double")
+    steps = F.floor(F.signum(x) * F.log2(F.least(F.abs(x), F.lit(1e300)) + 1) * _STEPS).cast("bigint")
+    return F.when(F.isnan(x), 2**40).otherwise(steps)  # NaN sorts above all numbers
 
 
-def _seek(df: DataFrame, order: list[Column], offset: int, limit: int) -> tuple[DataFrame, int]:
-    """The sorted ranges that hold the page, and the rows to skip in them.
+def page_of(df: DataFrame, by: str, key: str, page: int, limit: int, descending: bool = True) -> DataFrame:
+    """One page of ``df``, sorted; near and far pages go one way, and nothing runs while it is built.
 
-    The copy is written with the number of each range, so the ranges cannot move
-    between counting and reading.
+    Rows are counted per bucket of the sort column, running sums of the counts tell which
+    buckets hold the page (at most ``limit`` of them), and only their rows are ranked.
     """
-    copy = stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "sorted")
-    counts = copy.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).orderBy("_range").collect()
-    ranges, skipped, before = [], 0, 0
-    for row in counts:
-        if before + row.n <= offset:
-            skipped += row.n
-        elif before < offset + limit:
-            ranges.append(row["_range"])
-        before += row.n
-    return copy.where(F.col("_range").isin(ranges)).drop("_range"), offset - skipped
+    check_page(page, limit)
+    offset = (page - 1) * limit
+    order = page_order(by, descending, key)
+    rows = df.withColumn("_bucket", _bucket(df, by))
+    first = F.col("_bucket").desc_nulls_last() if descending else F.col("_bucket").asc_nulls_last()
+    sums = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
+    here = (
+        rows.groupBy("_bucket")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(sums), F.lit(0)))
+        .where((F.col("_before") < offset + limit) & (F.col("_before") + F.col("_n") > offset))
+        .select(F.col("_bucket").alias("_held"), "_before")
+    )
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    return (
+        rows.join(F.broadcast(here), F.col("_bucket").eqNullSafe(F.col("_held")))  # at most limit rows
+        .withColumn("_place", place)
+        .where((F.col("_place") > offset) & (F.col("_place") <= offset + limit))
+        .select(*df.columns)
+        .orderBy(*order)
+    )
 
 
 def total_of(df: DataFrame) -> DataFrame:

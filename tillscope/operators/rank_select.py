@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _DIGITS = 4  # hex digits per round: two bytes
-_SMALL = 4096  # candidates that are sorted outright
 
 
 def text_key(x: Column) -> Column:
@@ -46,6 +45,3 @@ def kth_smallest_key(df: DataFrame, key: Column, k: int) -> str:
         prefix, rank = row.bucket, rank - below
         if len(prefix) < width:
             return prefix  # all candidates are this one value
-        if row.n <= _SMALL:
-            top = keys.where(F.col("k").startswith(prefix)).orderBy("k").limit(rank).collect()
-            return top[-1].k

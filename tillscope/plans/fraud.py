@@ -19,7 +19,7 @@ def totals(tx: DataFrame) -> DataFrame:
         hit.alias("fraud_transactions"),
         c.rounded(c.or_zero(lost)).alias("fraud_amount"),
         c.rounded(c.percent(hit, F.count(F.lit(1)))).alias("fraud_rate"),
-        c.rounded(c.percent(lost, F.sum("amount"))).alias("fraud_amount_pct"),
+        c.rounded(c.percent(lost, c.money_sum("amount"))).alias("fraud_amount_pct"),
     )
 
 
@@ -35,7 +35,7 @@ def risk_distribution(tx: DataFrame) -> DataFrame:
 def _fraud_by(tx: DataFrame, key) -> DataFrame:
     return tx.where(c.fraud()).groupBy(key).agg(
         F.count(F.lit(1)).alias("fraud_count"),
-        c.rounded(F.sum("amount")).alias("fraud_amount"),
+        c.rounded(c.money_sum("amount")).alias("fraud_amount"),
     )
 
 
@@ -60,21 +60,26 @@ def alerts(
     return views.fraud_alerts(tx, customers, merchants)
 
 
+def _alerted(tx: DataFrame, risk_level=None, date_from=None, date_to=None) -> DataFrame:
+    """The facts behind the alerts; a known key always has its dimension row."""
+    return c.in_range(
+        paging.where_equal(tx, risk_level=risk_level), since=date_from or None, until=date_to or None
+    ).where(c.fraud() & F.col("customer_id").isNotNull() & F.col("merchant_id").isNotNull())
+
+
 def alerts_page(
     tx: DataFrame, customers: DataFrame, merchants: DataFrame, *,
     page: int = 1, limit: int = 25, risk_level=None, date_from=None, date_to=None,
 ) -> DataFrame:
     """Newest first. The page is cut on the fact alone, then enriched."""
-    kept = c.in_range(
-        paging.where_equal(tx, risk_level=risk_level), since=date_from or None, until=date_to or None
-    ).where(c.fraud() & F.col("customer_id").isNotNull() & F.col("merchant_id").isNotNull())
+    kept = _alerted(tx, risk_level, date_from, date_to)
     cut = paging.page_of(kept, "timestamp", "transaction_id", page, limit)
     order = paging.page_order("timestamp", True, "transaction_id")
     return views.fraud_alerts(cut, customers, merchants).orderBy(*order)
 
 
 def alerts_total(tx: DataFrame, customers: DataFrame, merchants: DataFrame, **filters) -> DataFrame:
-    return paging.total_of(alerts(tx, customers, merchants, **filters))
+    return paging.total_of(_alerted(tx, **filters))
 
 
 def ml_predictions_page(

@@ -17,16 +17,18 @@ from tillscope.sources.lake import stage
 
 
 def merchant_growth(tx: DataFrame) -> DataFrame:
-    """Revenue per merchant and month against the merchant's previous month with sales.
+    """Revenue per merchant and month against the month before; NULL where that had no sales.
 
     A merchant has one row per month, so its window is bounded by the calendar.
     """
     months = (
         tx.where(c.success())
         .groupBy("merchant_id", c.month().alias("month"))
-        .agg(c.rounded(F.sum("amount")).alias("revenue"))
+        .agg(c.rounded(c.money_sum("amount")).alias("revenue"))
     )
-    before = F.lag("revenue").over(Window.partitionBy("merchant_id").orderBy("month"))
+    earlier = Window.partitionBy("merchant_id").orderBy("month")
+    adjacent = F.lag("month").over(earlier) == F.add_months("month", -1)
+    before = F.when(adjacent, F.lag("revenue").over(earlier))
     change = F.try_divide(F.col("revenue") - F.col("previous_revenue"), F.col("previous_revenue"))
     return months.withColumn("previous_revenue", before).withColumn("growth_pct", c.rounded(change * 100))
 
@@ -35,9 +37,9 @@ def revenue_contribution(tx: DataFrame, merchants: DataFrame) -> DataFrame:
     """A merchant's share of all revenue and of its category's, in percent."""
     performance = views.merchant_performance(tx, merchants)
     revenue = stage(performance.select("merchant_id", "category", "revenue"), "merchant-revenue")
-    whole = revenue.agg(F.sum("revenue").alias("all_revenue"))
+    whole = revenue.agg(c.money_sum("revenue").alias("all_revenue"))
     by_category = revenue.groupBy(F.col("category").alias("_category")).agg(
-        F.sum("revenue").alias("_category_revenue")
+        c.money_sum("revenue").alias("_category_revenue")
     )
     by_category = stage(by_category, "category-revenue")
     joined = revenue.join(by_category, F.col("category").eqNullSafe(F.col("_category")))
@@ -74,19 +76,15 @@ def rapid_repeat_payments(tx: DataFrame, minutes: int = 1440) -> DataFrame:
         "transaction_id", *pair, "timestamp", "amount", c.day().alias("day")
     )
     ordered = Window.partitionBy(*pair, "day").orderBy("timestamp", "transaction_id")
-    inside = known.withColumn("previous", F.lag("timestamp").over(ordered))
     # One row per pair and day.
     last = known.groupBy(*pair, "day").agg(F.max("timestamp").alias("last"))
     carried = last.withColumn(
         "carried", F.lag("last").over(Window.partitionBy(*pair).orderBy("day"))
     ).drop("last")
-    first = F.col("previous").isNull()
-    # Only the first payment of a pair's day needs the carried value.
-    opening = inside.where(first).join(carried, [*pair, "day"]).withColumn("previous", F.col("carried"))
     gap = F.timestamp_diff("SECOND", F.col("previous"), F.col("timestamp"))
     return (
-        inside.where(~first)
-        .unionByName(opening.drop("carried"))
+        known.join(carried, [*pair, "day"])
+        .withColumn("previous", F.coalesce(F.lag("timestamp").over(ordered), "carried"))
         .withColumn("gap_minutes", c.rounded(gap / 60))
         .where(gap <= minutes * 60)
         .select("transaction_id", *pair, "timestamp", "amount", "gap_minutes")
@@ -96,16 +94,22 @@ def rapid_repeat_payments(tx: DataFrame, minutes: int = 1440) -> DataFrame:
 def geo_mismatch(tx: DataFrame, customers: DataFrame) -> DataFrame:
     """Per customer city: transactions made in another city."""
     home = customers.select("customer_id", F.col("city").alias("home_city"))
+    visits = tx.groupBy("customer_id", "city").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(c.fraud()).alias("fraud")
+    )
     away = F.col("city") != F.col("home_city")
+
+    def total(x: str, where=None):
+        return F.coalesce(F.sum(F.col(x) if where is None else F.when(where, F.col(x))), F.lit(0))
+
     return (
-        tx.select("customer_id", "city", "amount", "is_fraud")
-        .join(home, "customer_id")
+        visits.join(home, "customer_id")
         .groupBy("home_city")
         .agg(
-            F.count(F.lit(1)).alias("transactions"),
-            F.count_if(away).alias("away"),
-            c.rounded(c.percent(F.count_if(away), F.count(F.lit(1)))).alias("away_pct"),
-            F.count_if(away & c.fraud()).alias("away_fraud"),
+            total("n").alias("transactions"),
+            total("n", away).alias("away"),
+            c.rounded(c.percent(total("n", away), total("n"))).alias("away_pct"),
+            total("fraud", away).alias("away_fraud"),
         )
     )
 
@@ -143,7 +147,7 @@ def regional_summary(tx: DataFrame) -> DataFrame:
         .agg(
             F.grouping_id().cast("int").alias("level"),
             n.alias("transactions"),
-            c.rounded(F.sum("amount")).alias("volume"),
+            c.rounded(c.money_sum("amount")).alias("volume"),
             c.rounded(c.percent(F.count_if(c.success()), n)).alias("success_rate"),
         )
     )
@@ -157,7 +161,7 @@ def high_risk_merchants(tx: DataFrame, least: int = 20, z: float = 2.0) -> DataF
 
 def unusual_customers(tx: DataFrame, least: int = 5, z: float = 2.0) -> DataFrame:
     """Customers whose mean amount lies ``z`` deviations above the mean of customers."""
-    return _outliers(tx, "customer_id", F.avg("amount"), least, z)
+    return _outliers(tx, "customer_id", c.money_avg("amount"), least, z)
 
 
 def _outliers(tx: DataFrame, key: str, measure, least: int, z: float) -> DataFrame:
@@ -178,10 +182,26 @@ def _outliers(tx: DataFrame, key: str, measure, least: int, z: float) -> DataFra
     )
 
 
-def outlier_treatment(tx: DataFrame, low: float = 0.01, high: float = 0.99, accuracy: int = 100_000) -> DataFrame:
-    """Amounts cut at the quantiles of their category; the sketch errs by 1/accuracy in rank."""
-    cuts = tx.groupBy(F.col("category").alias("_category")).agg(
-        F.percentile_approx("amount", [low, high], accuracy).alias("cut")
+def outlier_treatment(tx: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
+    """Amounts cut at the exact quantiles of their category.
+
+    Rows are counted per amount first, so a category's window holds one row per amount
+    in cents, however many transactions there are.
+    """
+    upto = Window.partitionBy("category").orderBy("amount")
+    every = Window.partitionBy("category")
+    ranked = (
+        tx.where("amount IS NOT NULL")
+        .groupBy("category", "amount")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(every)})
+    )
+
+    def quantile(share: float):
+        return F.min(F.when(F.col("upto") >= F.ceil(F.col("rows") * F.lit(share)), F.col("amount")))
+
+    cuts = ranked.groupBy(F.col("category").alias("_category")).agg(
+        F.array(quantile(low), quantile(high)).alias("cut")
     )
     # Written first: its known size lets the fact be joined without a shuffle on few keys.
     cuts = stage(cuts, "amount-cuts")
