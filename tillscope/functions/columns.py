@@ -34,12 +34,26 @@ def rounded(x: Column, places: int = 2) -> Column:
     return F.round(x.try_cast("decimal(30,8)"), places).cast("double")
 
 
+def _cents(x: Column | str) -> Column:
+    return (F.col(x) if isinstance(x, str) else x).try_cast("decimal(18,2)")
+
+
+def money_sum(x: Column | str) -> Column:
+    """Sum of amounts with two decimals, exact and so the same for every order of the rows."""
+    return F.sum(_cents(x))
+
+
+def money_avg(x: Column | str) -> Column:
+    """Mean of amounts from their exact sum."""
+    return F.try_divide(money_sum(x).cast("double"), F.count(_cents(x)))
+
+
 def sum_where(condition: Column, x: Column | str) -> Column:
-    return F.sum(F.when(condition, F.col(x) if isinstance(x, str) else x))
+    return money_sum(F.when(condition, F.col(x) if isinstance(x, str) else x))
 
 
 def avg_where(condition: Column, x: Column | str) -> Column:
-    return F.avg(F.when(condition, F.col(x) if isinstance(x, str) else x))
+    return money_avg(F.when(condition, F.col(x) if isinstance(x, str) else x))
 
 
 def or_zero(x: Column) -> Column:

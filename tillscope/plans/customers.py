@@ -46,7 +46,7 @@ def segments_heuristic(summary: DataFrame, as_of: date, cuts: SegmentCuts = Segm
             F.count(F.lit(1)).alias("customer_count"),
             c.rounded(F.avg("total_spend")).alias("avg_spend"),
             c.rounded(F.avg("total_txns"), 1).alias("avg_transactions"),
-            c.rounded(F.sum("total_spend")).alias("total_revenue"),
+            c.rounded(c.money_sum("total_spend")).alias("total_revenue"),
         )
         .orderBy(F.desc("avg_spend"), "segment")
     )

@@ -41,7 +41,7 @@ def daily_trend(tx: DataFrame, as_of: date, days: int = 30) -> DataFrame:
         .groupBy(c.day().alias("date"))
         .agg(
             F.count(F.lit(1)).alias("transactions"),
-            c.rounded(F.sum("amount")).alias("revenue"),
+            c.rounded(c.money_sum("amount")).alias("revenue"),
             F.count_if(c.success()).alias("success"),
             F.count_if(c.failed()).alias("failed"),
             F.count_if(c.fraud()).alias("fraud"),
@@ -59,7 +59,7 @@ def payment_distribution(tx: DataFrame) -> DataFrame:
         .groupBy("payment_method")
         .agg(
             F.count(F.lit(1)).alias("txn_count"),
-            c.rounded(F.sum("amount")).alias("total_amount"),
+            c.rounded(c.money_sum("amount")).alias("total_amount"),
         )
         .withColumn("percentage", c.rounded(c.percent(F.col("txn_count"), whole)))
         .orderBy(F.desc("txn_count"), "payment_method")
@@ -70,7 +70,7 @@ def category_distribution(tx: DataFrame) -> DataFrame:
     return (
         tx.where(c.success())
         .groupBy("category")
-        .agg(F.count(F.lit(1)).alias("txn_count"), c.rounded(F.sum("amount")).alias("revenue"))
+        .agg(F.count(F.lit(1)).alias("txn_count"), c.rounded(c.money_sum("amount")).alias("revenue"))
         .orderBy(F.desc("revenue"), "category")
     )
 

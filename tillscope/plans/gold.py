@@ -15,19 +15,19 @@ from tillscope.sources.lake import stage
 # ------------------------------------------------------------- lakehouse gold
 def daily_revenue(tx: DataFrame) -> DataFrame:
     return tx.groupBy(c.day().alias("date")).agg(
-        c.rounded(F.sum("amount")).alias("total_revenue"),
+        c.rounded(c.money_sum("amount")).alias("total_revenue"),
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(c.fraud()).alias("fraud_transactions"),
-        c.rounded(F.avg("amount")).alias("avg_transaction_value"),
+        c.rounded(c.money_avg("amount")).alias("avg_transaction_value"),
     )
 
 
 def merchant_kpis(tx: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return tx.groupBy("merchant_id").agg(
-        c.rounded(F.sum("amount")).alias("merchant_revenue"),
+        c.rounded(c.money_sum("amount")).alias("merchant_revenue"),
         n.alias("txn_count"),
-        c.rounded(F.avg("amount")).alias("avg_txn_value"),
+        c.rounded(c.money_avg("amount")).alias("avg_txn_value"),
         c.rounded(c.percent(F.count_if(c.fraud()), n)).alias("fraud_rate_pct"),
         c.rounded(c.percent(F.count_if(c.success()), n)).alias("success_rate_pct"),
     )
@@ -36,7 +36,7 @@ def merchant_kpis(tx: DataFrame) -> DataFrame:
 def payment_trends(tx: DataFrame) -> DataFrame:
     return tx.groupBy("payment_method").agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        c.rounded(F.sum("amount")).alias("total_volume"),
+        c.rounded(c.money_sum("amount")).alias("total_volume"),
     )
 
 
@@ -50,9 +50,9 @@ def fraud_summary(tx: DataFrame) -> DataFrame:
 
 def customer_spend(tx: DataFrame) -> DataFrame:
     return tx.groupBy("customer_id").agg(
-        c.rounded(F.sum("amount")).alias("total_spent"),
+        c.rounded(c.money_sum("amount")).alias("total_spent"),
         F.count(F.lit(1)).alias("txn_count"),
-        c.rounded(F.avg("amount")).alias("avg_spend"),
+        c.rounded(c.money_avg("amount")).alias("avg_spend"),
     )
 
 
@@ -65,12 +65,12 @@ def support_metrics(tickets: DataFrame) -> DataFrame:
 # ------------------------------------------------------------ warehouse tables
 def agg_daily_revenue(tx: DataFrame) -> DataFrame:
     return tx.groupBy(c.day().alias("txn_date")).agg(
-        c.rounded(F.sum("amount")).alias("total_revenue"),
+        c.rounded(c.money_sum("amount")).alias("total_revenue"),
         F.count(F.lit(1)).alias("total_transactions"),
         F.count_if(c.success()).alias("success_count"),
         F.count_if(c.failed()).alias("failed_count"),
         F.count_if(c.refunded()).alias("refunded_count"),
-        c.rounded(F.avg("amount")).alias("avg_transaction_value"),
+        c.rounded(c.money_avg("amount")).alias("avg_transaction_value"),
         F.count_if(c.fraud()).alias("fraud_count"),
         c.rounded(c.or_zero(c.sum_where(c.fraud(), "amount"))).alias("fraud_amount"),
     )
@@ -122,7 +122,7 @@ def agg_fraud_summary(tx: DataFrame) -> DataFrame:
         hit.alias("fraud_transactions"),
         c.rounded(c.percent(hit, n)).alias("fraud_rate"),
         c.rounded(c.or_zero(c.sum_where(c.fraud(), "amount"))).alias("fraud_amount"),
-        c.rounded(F.sum("amount")).alias("total_amount"),
+        c.rounded(c.money_sum("amount")).alias("total_amount"),
         *[
             F.count_if(F.col("risk_level") == level).alias(f"{level.lower()}_risk_count")
             for level in ("High", "Medium", "Low")
@@ -146,7 +146,7 @@ def agg_customer_segments(segments: DataFrame) -> DataFrame:
 def agg_payment_trends(tx: DataFrame) -> DataFrame:
     return tx.groupBy("payment_method", c.month().alias("month")).agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        c.rounded(F.sum("amount")).alias("total_amount"),
+        c.rounded(c.money_sum("amount")).alias("total_amount"),
     )
 
 

@@ -53,7 +53,7 @@ def top_payment(tx: DataFrame) -> DataFrame:
     return (
         tx.where(c.success())
         .groupBy("payment_method")
-        .agg(F.count(F.lit(1)).alias("txns"), c.rounded(F.sum("amount")).alias("amount"))
+        .agg(F.count(F.lit(1)).alias("txns"), c.rounded(c.money_sum("amount")).alias("amount"))
         .orderBy(F.desc("txns"), "payment_method")
         .limit(1)
     )

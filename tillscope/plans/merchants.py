@@ -52,7 +52,7 @@ def daily(tx: DataFrame, as_of: date, merchant_id: str | None = None, days: int
     tx = paging.where_equal(c.trailing(tx, as_of, days), merchant_id=merchant_id)
     return tx.groupBy("merchant_id", c.day().alias("date")).agg(
         F.count(F.lit(1)).alias("transactions"),
-        c.rounded(F.sum("amount")).alias("revenue"),
+        c.rounded(c.money_sum("amount")).alias("revenue"),
         F.count_if(c.failed()).alias("failed"),
         F.count_if(c.fraud()).alias("fraud"),
     )
