@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,20 +72,49 @@ def jdbc_table(spark: SparkSession, url: str, table: str, **options: str) -> Dat
 
 
 # ------------------------------------------------------------------- staging
+def _delete(spark: SparkSession, path: str, at_exit: bool = False) -> None:
+    """Delete a folder of any file system that Spark can write to, now or when the application ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if at_exit:
+        files.mkdirs(place)  # only what exists can be marked
+        files.deleteOnExit(place)
+    else:
+        files.delete(place, True)
+
+
 def _root(spark: SparkSession) -> str:
-    """A folder of this application in the shared folder the cluster names."""
+    """This application's folder for staged tables; it goes when the application ends.
+
+    It lies in the folder that spark.checkpoint.dir names or, where that is not set, in
+    the warehouse, which all executors share as well.
+    """
     context = spark.sparkContext
     app = context.applicationId
     if app not in _shared_root:
         base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-        if not base:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            base = tempfile.mkdtemp(prefix="tillscope-")
+        base = base or spark.conf.get("spark.sql.warehouse.dir")
         _shared_root[app] = f"{base.rstrip('/')}/tillscope-{app}-{uuid.uuid4().hex[:8]}"
+        _delete(spark, _shared_root[app], at_exit=True)
     return _shared_root[app]
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables staged inside are deleted at the end, for applications that live long.
+
+    Nothing lazily built inside may be read afterwards.
+    """
+    app = spark.sparkContext.applicationId
+    outer = _root(spark)
+    _shared_root[app] = f"{outer}/{uuid.uuid4().hex[:8]}"
+    try:
+        yield _shared_root[app]
+    finally:
+        _delete(spark, _shared_root[app])
+        _shared_root[app] = outer
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{_root(spark)}/{name}-{uuid.uuid4().hex[:8]}"
