@@ -418,10 +418,11 @@ oracle("report_merchants", f"""SELECT merchant_name, category, city, revenue, to
 
 
 # --------------------------------------------------------------------- outlook
+GROWN = f"""SELECT merchant_id, {MONTH} AS "month", {r(total('amount'))} AS revenue
+  FROM transactions WHERE {OK} GROUP BY 1, 2"""
 on_tx("merchant_growth", f"""SELECT *, {r('(revenue - previous_revenue) / nullif(previous_revenue, 0) * 100')} AS growth_pct
-  FROM (SELECT *, lag(revenue) OVER (PARTITION BY merchant_id ORDER BY "month") AS previous_revenue
-        FROM (SELECT merchant_id, {MONTH} AS "month", {r(total('amount'))} AS revenue
-              FROM transactions WHERE {OK} GROUP BY 1, 2))""")
+  FROM (SELECT a.*, b.revenue AS previous_revenue FROM ({GROWN}) a LEFT JOIN ({GROWN}) b
+        ON a.merchant_id = b.merchant_id AND b."month" = CAST(a."month" - INTERVAL 1 MONTH AS DATE))""")
 on_tx("rapid_repeat_payments", f"""SELECT transaction_id, customer_id, merchant_id, "timestamp", amount,
   {r('epoch("timestamp" - previous) / 60')} AS gap_minutes
   FROM (SELECT *, lag("timestamp") OVER (PARTITION BY customer_id, merchant_id
@@ -514,3 +515,58 @@ _FACTS = f"""(SELECT {n()} AS total_txns, {r(total('amount', OK))} AS total_reve
 oracle("executive_summaries_rules", "\nUNION ALL ".join(
     f"SELECT CAST({i} AS INTEGER) AS id, {q(topic)} AS topic, {text} AS summary FROM {_FACTS}"
     for i, (topic, text) in enumerate(_PARAGRAPHS.items(), 1)), TX, "customers", "reviews")
+
+
+# ------------------------------------------------------- texts of the given tables
+def told(source: str, key: str) -> str:
+    """Polarity, subjectivity and label of the texts of a table with one key column."""
+    return f"SELECT {key}, polarity, subjectivity, {label('polarity')} AS sentiment FROM ({scored(source, key, 'text')})"
+
+
+def ruled(text: str) -> str:
+    """The ticket rules over another column."""
+    return (f"{TAGGED} AS topics, {PHRASES} AS keywords, {has_any(URGENT_WORDS)} AS urgent"
+            .replace("lower(description)", f"lower(coalesce({text}, ''))"))
+
+
+ORACLES["document_sentiment"] = told("documents", "doc_id")
+ORACLES["document_rules"] = f"SELECT doc_id, {ruled('text')} FROM documents"
+TALK = "(SELECT *, conv_id * 1000000 + turn AS k FROM conversations)"
+TOLD = f"SELECT conv_id, turn, role, polarity, subjectivity, sentiment FROM {TALK} c JOIN ({told(TALK, 'k')}) s ON c.k = s.k"
+ORACLES["conversation_sentiment"] = TOLD
+ORACLES["conversation_rules"] = f"SELECT conv_id, turn, {ruled('text')} FROM conversations"
+ORACLES["role_sentiment"] = f"""SELECT role, sentiment, count(*) AS n, {r('avg(polarity)', 4)} AS avg_polarity
+  FROM ({TOLD}) GROUP BY 1, 2"""
+ORACLES["document_terms"] = """SELECT term, count(DISTINCT doc_id) AS documents, count(*) AS occurrences
+  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{2,}')) AS term FROM documents)
+  GROUP BY 1 ORDER BY documents DESC, term LIMIT 1000"""
+
+
+def fold(key: str) -> str:
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) % 5 = 0"
+
+
+ORACLES["complaint_split"] = f"SELECT {fold('doc_id')} AS held_out, toxic AS label, count(*) AS n FROM labels GROUP BY 1, 2"
+on_tx("supervised_fraud_split", f"SELECT {fold('transaction_id')} AS held_out, is_fraud AS label, count(*) AS n FROM transactions GROUP BY 1, 2")
+on_tx("supervised_fraud_confusion", f"""SELECT {fold('transaction_id')} AS held_out, is_fraud AS label,
+  CAST(CASE WHEN risk_level = 'High' THEN 1 ELSE 0 END AS INTEGER) AS predicted, count(*) AS n FROM transactions GROUP BY 1, 2, 3""")
+
+# ------------------------------------------------------------------ single lookups
+oracle("transaction_by_id", f"SELECT * FROM ({NAMED}) WHERE transaction_id = 'TXN000000013'", TX, "customers", "merchants")
+oracle("merchant_by_id", f"SELECT * FROM ({DIRECTORY}) WHERE merchant_id = 'MER00001'", TX, "merchants")
+oracle("customer_by_id", f"SELECT * FROM ({RECENT}) WHERE customer_id = 'CUST00001'", TX, "merchants")
+
+# ----------------------------------------------------------------------- dirty rows
+_SPOILT = """SELECT transaction_id, CASE WHEN k % 7 = 0 THEN 'CUST-none' ELSE customer_id END AS customer_id,
+  CASE WHEN k % 11 <> 0 THEN merchant_id END AS merchant_id, CASE WHEN k % 13 <> 0 THEN amount END AS amount,
+  lower(trim(payment_method)) AS payment_method, CASE WHEN k % 17 <> 0 THEN "timestamp" END AS "timestamp", status
+  FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY
+          CASE WHEN k % 17 = 0 THEN 'yesterday' ELSE strftime("timestamp", '%Y-%m-%d %H:%M:%S') END,
+          CASE WHEN k % 7 = 0 THEN 'CUST-none' ELSE customer_id END, merchant_id,
+          CASE WHEN k % 13 = 0 THEN 'n/a' ELSE CAST(amount AS VARCHAR) END, payment_method, status, device_type) AS nth
+        FROM (SELECT *, CAST(substr(transaction_id, 4) AS BIGINT) AS k FROM transactions0) WHERE k % 11 <> 0)
+  WHERE nth = 1"""
+DIRTY = f"SELECT *, CAST(hour(\"timestamp\") AS INTEGER) AS txn_hour FROM ({_SPOILT})"
+oracle("dirty_transactions", DIRTY, "transactions0")
+oracle("dirty_orphans", f"""SELECT count(*) AS n, {n("customer_id = 'CUST-none'")} AS orphans, {n('amount IS NULL')} AS no_amount,
+  {n('"timestamp" IS NULL')} AS no_time FROM ({DIRTY})""", "transactions0")

@@ -10,7 +10,7 @@ sys.path.insert(0, ROOT)
 from tillscope.session import local_session  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents conversations labels".split()
 
 
 @pytest.fixture(scope="session")

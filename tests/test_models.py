@@ -122,7 +122,14 @@ def test_large_table_sampling(spark):
     drawn = iforest.sample(df, "k", trees=50, size=64)
     per_tree = [r["count"] for r in drawn.groupBy("tree").count().collect()]
     assert len(per_tree) == 50 and set(per_tree) == {64}
-    assert drawn.select("k").distinct().count() == 50 * 64
+    assert drawn.select("k", "tree").distinct().count() == 50 * 64
+
+
+def test_one_draw_for_small_and_large_tables(spark):
+    for rows in (64, 90, 700, 20_000):
+        df = spark.range(rows).select(F.col("id").cast("string").alias("k"))
+        per_tree = {r.tree: r["count"] for r in iforest.sample(df, "k", trees=20, size=64).groupBy("tree").count().collect()}
+        assert len(per_tree) == 20 and set(per_tree.values()) == {64}
 
 
 def test_threshold_is_the_interpolated_quantile(spark):
@@ -156,8 +163,8 @@ def test_recency(spark):
 
 # -------------------------------------------------------------------- forecast
 def frame(spark, name, values, start=date(2024, 1, 1)):
-    data = [(name, start + timedelta(days=i), float(v)) for i, v in enumerate(values)]
-    return spark.createDataFrame(data, "metric_name string, date date, y double")
+    data = [(name, start + timedelta(days=i), float(v), name == "transactions") for i, v in enumerate(values)]
+    return spark.createDataFrame(data, "metric_name string, date date, y double, is_count boolean")
 
 
 def test_short_series_gives_nothing(spark):

@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tillscope.functions import columns
 from tillscope.operators import paging
 from tillscope.plans import customers, executive, fraud, insights, merchants, outlook, report, transactions, views
 from tillscope.text import sentiment, tickets
@@ -56,14 +57,52 @@ def test_pages_cover_ties_once(lake):
     assert seen == [r.transaction_id for r in want.collect()]
 
 
-def test_far_pages(spark, monkeypatch):
-    monkeypatch.setattr(paging, "NEAR", 10)
-    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("k")).repartition(5)
-    want = [r.id for r in df.orderBy(F.desc("k"), "id").collect()]
-    for page in (1, 2, 17, 40):
-        got = [r.id for r in paging.page_of(df, "k", "id", page, 25).collect()]
-        assert got == want[(page - 1) * 25 : page * 25]
-    assert paging.page_of(df, "k", "id", 41, 25).count() == 0
+@pytest.mark.parametrize("kind", ["id % 7", "if(id % 5 = 0, null, (id % 97) - 40.5)", "concat('s', id % 13)",
+                                  "if(id % 9 = 0, double('NaN'), id / 3)", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id % 50 as int))",
+                                  "date_add(date'1960-01-01', cast(id % 300 as int))"])
+@pytest.mark.parametrize("rows", [500, 12_000])
+def test_near_and_far_pages(spark, kind, rows):
+    df = spark.range(rows).select("id", F.expr(kind).alias("k")).repartition(5)
+    for down in (True, False):
+        want = [r.id for r in df.orderBy(*paging.page_order("k", down, "id")).collect()]
+        for page in (1, rows // 50 + 1):
+            got = [r.id for r in paging.page_of(df, "k", "id", page, 25, down).collect()]
+            assert got == want[(page - 1) * 25 : page * 25]
+    assert paging.page_of(df, "k", "id", rows // 25 + 1, 25).count() == 0
+
+
+def test_no_job_runs_while_a_page_is_built(spark):
+    df = spark.range(1000).withColumn("k", F.col("id") % 7)
+    spark.sparkContext.setJobGroup("page", "page")
+    paging.page_of(df, "k", "id", 3_000_000_000, 25)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("page")
+    assert paging.page_of(df, "k", "id", 3_000_000_000, 25).count() == 0
+
+
+def test_exact_quantiles_beyond_a_sketch(spark):
+    rows = spark.range(300_000).select(
+        F.col("id").alias("transaction_id"), (F.col("id") % 2).cast("string").alias("category"),
+        (F.pmod(F.xxhash64("id"), F.lit(10**7)) / 100).alias("amount"),
+    )
+    got = outlook.outlier_treatment(rows).groupBy("category").agg(F.min("amount_treated").alias("a"), F.max("amount_treated").alias("b"))
+    for r in got.collect():
+        part = sorted(x.amount for x in rows.where(F.col("category") == r.category).collect())
+        assert (r.a, r.b) == (part[int(len(part) * 0.01) - 1], part[int(len(part) * 0.99) - 1])
+
+
+def test_growth_compares_with_the_calendar(spark):
+    df = spark.createDataFrame(
+        [("m", 10.0, datetime(2024, 1, 3)), ("m", 15.0, datetime(2024, 2, 3)), ("m", 30.0, datetime(2024, 4, 3))],
+        "merchant_id string, amount double, timestamp timestamp_ntz",
+    ).withColumn("status", F.lit("Success"))
+    got = outlook.merchant_growth(df).orderBy("month").collect()
+    assert [(r.previous_revenue, r.growth_pct) for r in got] == [(None, None), (10.0, 50.0), (None, None)]
+
+
+def test_money_sums_do_not_depend_on_partitions(spark):
+    df = spark.range(2_000_000).select((F.pmod(F.xxhash64("id"), F.lit(10**11)) / 100).alias("amount"))
+    sums = {df.repartition(n).agg(columns.money_sum("amount"), columns.money_avg("amount")).first() for n in (1, 3, 7, 16)}
+    assert len(sums) == 1
 
 
 def test_page_past_the_end_and_unknown_sort(lake):
@@ -99,7 +138,7 @@ def test_lookup(lake):
 def test_page_plan_cuts_before_joins(lake):
     df = transactions.page(lake.transactions, lake.customers, lake.merchants)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.rindex("GlobalLimit") > plan.index("Join")  # the limit lies below the joins
+    assert plan.rindex("row_number") > plan.index("Join")  # the page is cut below the joins
 
 
 def test_empty_fact(lake):
@@ -171,7 +210,7 @@ def test_urgency(spark, issue, priority, text, want):
 @pytest.mark.parametrize(
     "text, want",
     [
-        ("Waiting for my REFUND", "refund_delay"),
+        ("where is my REFUND", "refund_delay"),
         ("it failed, I did not authorize", "payment_failure, fraud_concern"),
         ("Wednesdays offers", "refund_delay, loyalty_query"),
         ("inaccessible", "account_access"),
@@ -184,10 +223,10 @@ def test_topics(spark, text, want):
 
 
 def test_keywords(spark):
-    text = "Question about cashback offers and reward points for my recent purchases."
+    text = "Problem with cashback offers and reward points for my recent purchases."
     got = tickets.ticket_keywords(ticket(spark, ("t", "i", "Low", text), ("u", "i", "Low", "of the 12 cat")))
     assert [r.keywords for r in got.orderBy("ticket_id").collect()] == [
-        "question, cashback offers, reward points, recent purchases", "general",
+        "problem, cashback offers, reward points, recent purchases", "general",
     ]
 
 

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tillscope import schemas
 from tillscope.functions import columns as c
 from tillscope.lakehouse import Lakehouse
-from tillscope.models import features, forecast
+from tillscope.models import features, forecast, supervised
 from tillscope.models import segments as clusters
 from tillscope.operators import quality
+from tillscope.operators.cleanse import null_orphans
 from tillscope.plans import (
     customers,
     executive,
@@ -22,6 +23,7 @@ from tillscope.plans import (
     merchants,
     outlook,
     report,
+    silver,
     transactions,
     views,
 )
@@ -606,3 +608,123 @@ def geo_mismatch(lh):
 @query
 def category_forecast(lh):
     return forecast.forecast(forecast.daily_series(lh.transactions, "category")).drop("created_at")
+
+
+# ------------------------------------------------------- texts of the given tables
+@query
+def document_sentiment(lh):
+    return sentiment.text_sentiment(lh.given("documents"), ["doc_id"])
+
+
+@query
+def document_rules(lh):
+    return tickets.text_rules(lh.given("documents"), ["doc_id"])
+
+
+@query
+def conversation_sentiment(lh):
+    return sentiment.text_sentiment(lh.given("conversations"), ["conv_id", "turn", "role"])
+
+
+@query
+def conversation_rules(lh):
+    return tickets.text_rules(lh.given("conversations"), ["conv_id", "turn"])
+
+
+@query
+def role_sentiment(lh):
+    scored = sentiment.text_sentiment(lh.given("conversations"), ["role"])
+    return scored.groupBy("role", "sentiment").agg(
+        F.count(F.lit(1)).alias("n"), c.rounded(F.avg("polarity"), 4).alias("avg_polarity")
+    )
+
+
+@query
+def document_terms(lh):
+    return supervised.terms(lh.given("documents"))
+
+
+@query
+def topic_model(lh):
+    return supervised.topic_model(lh.given("documents"))
+
+
+@query
+def complaint_classifier(lh):
+    return supervised.text_classifier(lh.given("documents"), lh.given("labels"), "toxic")
+
+
+@query
+def complaint_split(lh):
+    return supervised.split_counts(lh.given("labels"), "doc_id", "toxic")
+
+
+# --------------------------------------------------------------- supervised fraud
+@query
+def supervised_fraud(lh):
+    return supervised.supervised_fraud(lh.features, lh.transactions, features.FRAUD_FEATURES)
+
+
+@query
+def supervised_fraud_split(lh):
+    return supervised.split_counts(lh.transactions, "transaction_id", "is_fraud")
+
+
+@query
+def supervised_fraud_confusion(lh):
+    """The confusion table over a repeatable prediction: a risk level of High."""
+    rule = lh.transactions.select(
+        supervised.held_out("transaction_id").alias("held_out"), F.col("is_fraud").alias("label"),
+        (F.col("risk_level") == "High").cast("int").alias("predicted"),
+    )
+    return supervised.confusion(rule)
+
+
+# ------------------------------------------------------------------ single lookups
+@query
+def transaction_by_id(lh):
+    return transactions.get(lh.transactions, lh.customers, lh.merchants, "TXN000000013")
+
+
+@query
+def merchant_by_id(lh):
+    return merchants.directory(lh.transactions, lh.merchants).where("merchant_id = 'MER00001'")
+
+
+@query
+def customer_by_id(lh):
+    return customers.recent(lh.transactions, lh.merchants, "CUST00001").select(
+        "customer_id", "position", "transaction_id", "timestamp", "amount", "status", "merchant_name"
+    )
+
+
+# ----------------------------------------------------------------------- dirty rows
+@query
+def dirty_transactions(lh):
+    """Cleansing of rows with copies, unknown keys, bad numbers and bad times, made from the given ones."""
+    raw = lh.raw_transactions
+    number = F.substring("transaction_id", 4, 40).cast("bigint")
+    spoilt = raw.select(
+        "transaction_id",
+        F.when(number % 7 == 0, "CUST-none").otherwise(F.col("customer_id")).alias("customer_id"),
+        F.when(number % 11 == 0, None).otherwise(F.col("merchant_id")).alias("merchant_id"),
+        F.when(number % 13 == 0, "n/a").otherwise(F.col("amount").cast("string")).alias("amount"),
+        "payment_method",
+        F.when(number % 17 == 0, "yesterday").otherwise(F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
+        "status", "device_type",
+    )
+    again = spoilt.where(number % 5 == 0).withColumn("amount", F.lit(None).cast("string"))
+    clean = silver.transactions(spoilt.unionByName(again))
+    return clean.select(
+        "transaction_id", "customer_id", "merchant_id", "amount", "payment_method", "timestamp", "status", "txn_hour"
+    )
+
+
+@query
+def dirty_orphans(lh):
+    """Unknown customers of the spoilt rows become NULL."""
+    known = null_orphans(dirty_transactions(lh), lh.customers, "customer_id")
+    return known.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("customer_id").isNull()).alias("orphans"),
+        F.count_if(F.col("amount").isNull()).alias("no_amount"), F.count_if(F.col("timestamp").isNull()).alias("no_time"),
+    )

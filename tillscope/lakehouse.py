@@ -11,7 +11,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillscope import fixtures
+from tillscope import fixtures, schemas
 from tillscope.functions import columns as c
 from tillscope.models import forecast, rules, segments
 from tillscope.models.features import FRAUD_FEATURES, fraud_features
@@ -42,6 +42,10 @@ class Lakehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def given(self, name: str) -> DataFrame:
+        """A table of the folder as it is."""
+        return fixtures.table(self.spark, self.sf_dir, name)
+
     # ------------------------------------------------------------------ bronze
     @cached_property
     def raw_transactions(self) -> DataFrame:

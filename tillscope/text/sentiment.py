@@ -71,6 +71,15 @@ def review_sentiment(reviews: DataFrame, lexicon: dict[str, tuple[float, float]]
     )
 
 
+def text_sentiment(df: DataFrame, keys: list[str], column: str = "text") -> DataFrame:
+    """Polarity, subjectivity and label for the texts of any table."""
+    return (
+        with_sentiment(df, column)
+        .withColumn("sentiment", c.label3(F.col("polarity")))
+        .select(*keys, "polarity", "subjectivity", "sentiment")
+    )
+
+
 def merchant_sentiment(scored: DataFrame) -> DataFrame:
     return scored.groupBy("merchant_id").agg(
         F.count("review_id").alias("review_count"),

@@ -28,9 +28,9 @@ MOST_KEYWORDS = 5
 TEXT = "_text"
 
 
-def _with_text(tickets: DataFrame) -> DataFrame:
-    """Adds the description in lower case, once for all rules."""
-    return tickets.withColumn(TEXT, F.lower(F.coalesce("description", F.lit(""))))
+def _with_text(tickets: DataFrame, column: str = "description") -> DataFrame:
+    """Adds the text in lower case, once for all rules."""
+    return tickets.withColumn(TEXT, F.lower(F.coalesce(column, F.lit(""))))
 
 
 def _has_any(words: list[str]) -> Column:
@@ -90,6 +90,13 @@ def ticket_keywords(tickets: DataFrame) -> DataFrame:
     return _with_text(tickets).select("ticket_id", keywords().alias("keywords"))
 
 
+def text_rules(df: DataFrame, keys: list[str], column: str = "text") -> DataFrame:
+    """Topics, keywords and whether an urgent word occurs, for the texts of any table."""
+    return _with_text(df, column).select(
+        *keys, topics().alias("topics"), keywords().alias("keywords"), _has_any(URGENT_WORDS).alias("urgent")
+    )
+
+
 def ticket_nlp(tickets: DataFrame, lexicon: dict[str, tuple[float, float]] = LEXICON) -> DataFrame:
     return with_sentiment(_with_text(tickets), "description", lexicon).select(
         "ticket_id",
