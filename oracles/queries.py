@@ -570,3 +570,24 @@ DIRTY = f"SELECT *, CAST(hour(\"timestamp\") AS INTEGER) AS txn_hour FROM ({_SPO
 oracle("dirty_transactions", DIRTY, "transactions0")
 oracle("dirty_orphans", f"""SELECT count(*) AS n, {n("customer_id = 'CUST-none'")} AS orphans, {n('amount IS NULL')} AS no_amount,
   {n('"timestamp" IS NULL')} AS no_time FROM ({DIRTY})""", "transactions0")
+
+# ------------------------------------------------ models over given nodes, centres, scores
+# The mean path among n rows is 2 H(n - 1) - 2 (n - 1) / n, with H(m) = ln m + Euler's constant.
+_PATH = "2 * (ln(255) + 0.5772156649015329) - 2 * 255 / 256.0"
+_FIRST = "CASE WHEN amount <= 30000 THEN 2.0 WHEN transaction_hour <= 11.5 THEN 3.5 ELSE 2.5 END"
+_SECOND = "CASE WHEN transaction_hour <= 4.5 THEN 1.0 ELSE 4.0 END"
+on_tx("forest_scores_given", f"""SELECT transaction_id,
+  round(pow(2.0, -(({_FIRST} + {_SECOND}) / 2.0) / ({_PATH})), 9) AS score FROM transactions""")
+on_tx("forest_threshold_given", """SELECT * FROM (WITH s AS (
+    SELECT customer_merchant_distance / 200 AS score FROM transactions WHERE customer_merchant_distance / 200 > 0),
+  q AS (SELECT quantile_cont(score, 0.985) AS cut FROM s)
+  SELECT round(any_value(cut), 9) AS cut, count(*) FILTER (WHERE score > cut) AS flagged FROM s, q)""")
+oracle("segments_given_centres", f"""SELECT customer_id,
+  CAST(CASE WHEN abs(round(coalesce(total_spend, 0) / 1000) - 500) <= abs(round(coalesce(total_spend, 0) / 1000) - 1500)
+    THEN 0 ELSE 1 END AS INTEGER) AS segment_id FROM ({SUMMARY})""", TX, "customers")
+on_tx("forecast_union_given", f"""SELECT * FROM (WITH h AS (
+    SELECT CAST("timestamp" AS DATE) AS ds, CAST(count(*) AS DOUBLE) AS txns, {r(total('amount', OK))} AS revenue
+    FROM transactions GROUP BY 1)
+  SELECT 'transactions' AS metric, ds, txns AS y, 'history' AS kind FROM h
+  UNION ALL SELECT 'revenue', ds, revenue, 'history' FROM h
+  UNION ALL SELECT 'revenue', CAST((SELECT max(ds) FROM h) + CAST(i AS INTEGER) AS DATE), 1000.0, 'forecast' FROM range(1, 31) g(i))""")

@@ -150,6 +150,18 @@ def test_segments_named_by_spend(lake):
     assert sum(r.n for r in rows) == lake.customers.count()
 
 
+def test_segments_do_not_depend_on_partitions(spark, lake):
+    made = segments.segment_features(lake.customer_summary, lake.as_of)
+    runs = [
+        sorted((r.customer_id, r.segment_id) for r in segments.kmeans(made.repartition(n), restarts=3).collect())
+        for n in (1, 13)
+    ]
+    assert runs[0] == runs[1]
+    few = segments.kmeans(made.limit(3), restarts=2)
+    assert few.columns == [*made.columns, "segment_id"] and few.count() == 3
+    assert segments.kmeans(made.limit(0), restarts=2).count() == 0
+
+
 def test_recency(spark):
     df = spark.createDataFrame(
         [("a", None, 0.0, 0), ("b", "2024-01-01 12:00:00", 10.0, 4), ("c", "2024-01-10 00:00:00", 10.0, 1)],

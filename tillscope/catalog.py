@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillscope import schemas
 from tillscope.functions import columns as c
 from tillscope.lakehouse import Lakehouse
-from tillscope.models import features, forecast, supervised
+from tillscope.models import features, forecast, iforest, supervised
 from tillscope.models import segments as clusters
 from tillscope.operators import quality
 from tillscope.operators.cleanse import null_orphans
@@ -728,3 +729,54 @@ def dirty_orphans(lh):
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("customer_id").isNull()).alias("orphans"),
         F.count_if(F.col("amount").isNull()).alias("no_amount"), F.count_if(F.col("timestamp").isNull()).alias("no_time"),
     )
+
+
+# ------------------------------------------------ models over given nodes, centres, scores
+#: A forest of two trees over amount (feature 0) and hour (feature 1).
+NODES = [
+    (0, 0, 0, 30000.0, 1, 2, 0.0), (0, 1, -1, 0.0, 1, 1, 2.0), (0, 2, 1, 11.5, 3, 4, 0.0),
+    (0, 3, -1, 0.0, 3, 3, 3.5), (0, 4, -1, 0.0, 4, 4, 2.5),
+    (1, 0, 1, 4.5, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, 1.0), (1, 2, -1, 0.0, 2, 2, 4.0),
+]
+
+
+def _forest_scores(lh):
+    nodes = lh.spark.createDataFrame(NODES, iforest._NODES)
+    return iforest.score(lh.features, nodes, ["amount", "transaction_hour"], "transaction_id", 256)
+
+
+@query
+def forest_scores_given(lh):
+    """Anomaly scores by a forest given as a table."""
+    return _forest_scores(lh).select("transaction_id", F.round("score", 9).alias("score"))
+
+
+@query
+def forest_threshold_given(lh):
+    """The cut over a given score, and how many rows lie above it."""
+    scores = lh.transactions.select((F.col("customer_merchant_distance") / 200).alias("score")).where("score > 0")
+    cut = iforest.threshold(scores)
+    return scores.agg(F.round(F.lit(cut), 9).alias("cut"), F.count_if(F.col("score") > cut).alias("flagged"))
+
+
+@query
+def segments_given_centres(lh):
+    """Customers by the nearest of two given centres on unscaled spend in thousands."""
+    points = lh.customer_summary.select(
+        "customer_id", F.array(F.round(F.col("total_spend") / 1000).cast("bigint") * clusters.UNIT).alias("_point")
+    )
+    return clusters.assign(points, np.array([[500.0], [1500.0]]) * clusters.UNIT).drop("_point")
+
+
+@query
+def forecast_union_given(lh):
+    """History joined with a forecast given as a table: the days 1 to 30 after the history, at 1000 each."""
+    history = series.daily_history(lh.transactions)
+    last = lh.transactions.agg(F.max(c.day()).alias("d"))
+    day = F.explode(F.sequence(F.lit(1), F.lit(30))).alias("n")
+    given = last.select("d", day).select(
+        F.lit("revenue").alias("metric_name"), F.date_add("d", F.col("n")).alias("forecast_date"),
+        F.lit(1000.0).alias("forecast_value"), F.lit(900.0).alias("lower_bound"), F.lit(1100.0).alias("upper_bound"),
+        F.lit("given").alias("model_name"), F.current_timestamp().alias("created_at"),
+    )
+    return series.history_plus_forecast(history, given)

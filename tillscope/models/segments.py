@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from datetime import date, timedelta
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,9 @@ from tillscope.functions import columns as c
 from tillscope.models.features import standard_scale
 from tillscope.sources.lake import stage
 
+# The functions below run on executors, where this package need not be installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Features of the clusters, and names from the highest spend down.
 SEGMENT_FEATURES = [
     "total_txns",
@@ -27,7 +31,7 @@ SEGMENT_FEATURES = [
 ]
 SEGMENT_NAMES = ["high_value", "luxury_spender", "frequent", "diverse_shopper", "casual"]
 NEVER_DAYS = 999
-PARALLEL_STARTS = 5
+UNIT = 1_000_000
 
 
 def segment_features(summary: DataFrame, as_of: date) -> DataFrame:
@@ -45,24 +49,82 @@ def segment_features(summary: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def kmeans(features: DataFrame, k: int = 5, seed: int = 42, restarts: int = 10) -> DataFrame:
+def _points(features: DataFrame) -> DataFrame:
+    """``features`` with ``_point``: the scaled features in millionths, whole numbers that add up exactly."""
+    names = [f"_{x}" for x in SEGMENT_FEATURES]
+    plain = features.withColumns({n: F.coalesce(F.col(x).cast("double"), F.lit(0.0)) for n, x in zip(names, SEGMENT_FEATURES)})
+    scaled = standard_scale(plain, names)
+    point = F.array(*(F.round(F.col(n) * UNIT).cast("bigint") for n in names))
+    return scaled.withColumn("_point", point).drop(*names)
+
+
+def _starts(points: DataFrame, k: int, seed: int, restarts: int) -> np.ndarray:
+    """Per start the points of lowest hash, whatever the partitioning: restarts x k x features."""
+    start = F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("start")
+    rows = points.select(start, "customer_id", "_point")
+    order = Window.partitionBy("start").orderBy(F.xxhash64(F.col("start") + seed, "customer_id"), "customer_id")
+    first = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
+    held = {(r.start, r.nth - 1): r["_point"] for r in first.collect()}
+    # With fewer rows than clusters the last row stands in for the missing ones.
+    most = max((n for _, n in held), default=-1)
+    size = len(SEGMENT_FEATURES)
+    return np.array([[held.get((r, min(n, most)), [0] * size) for n in range(k)] for r in range(restarts)], float)
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    gaps = ((x[:, None, :] - centres[None, :, :]) / UNIT) ** 2
+    distance = gaps.sum(axis=2)
+    return distance.argmin(axis=1), distance.min(axis=1)
+
+
+def assign(points: DataFrame, centres: np.ndarray) -> DataFrame:
+    """Adds segment_id, the nearest of the centres (in millionths, as the points), the first of equally near ones."""
+
+    @F.pandas_udf("int")
+    def nearest(point: pd.Series) -> pd.Series:
+        x = np.array(point.tolist(), float).reshape(len(point), centres.shape[1])
+        return pd.Series(_nearest(x, centres)[0].astype("int32"))
+
+    return points.withColumn("segment_id", nearest("_point"))
+
+
+def kmeans(features: DataFrame, k: int = 5, seed: int = 42, restarts: int = 10, rounds: int = 50) -> DataFrame:
     """Adds segment_id: k-means on the scaled features, the best of ``restarts`` starts.
 
-    The scaled vectors are written once and read by all starts, a few at a time.
+    All starts move on together, one job a round that adds up whole numbers per cluster,
+    until no centre moves. Neither the starts nor the sums depend on the partitioning.
     """
-    plain = features.select("customer_id", *[F.col(x).cast("double").alias(x) for x in SEGMENT_FEATURES]).fillna(0.0)
-    scaled = stage(standard_scale(plain, SEGMENT_FEATURES), "segment-features")
-    vectors = VectorAssembler(inputCols=SEGMENT_FEATURES, outputCol="vector").transform(scaled)
-
-    def fit(start: int):
-        model = KMeans(k=k, seed=seed + start, featuresCol="vector", predictionCol="segment_id").fit(vectors)
-        return model.summary.trainingCost, start, model
-
-    with ThreadPool(min(restarts, PARALLEL_STARTS)) as pool:
-        work = inheritable_thread_target(vectors.sparkSession)(fit)
-        _, _, best = min(pool.map(work, range(restarts)), key=lambda done: done[:2])
-    assigned = best.transform(vectors).select("customer_id", "segment_id")
-    return features.join(assigned, "customer_id")
+    points = stage(_points(features), "segment-points")
+    centres = _starts(points, k, seed, restarts)
+    size = centres.shape[2]
+    best = 0
+    for _ in range(rounds):
+
+        def part(batches, centres=centres):
+            sums, cost = np.zeros((restarts, k, size + 1), np.int64), np.zeros(restarts, np.int64)
+            for batch in batches:
+                x = np.array(batch.column("_point").to_pylist(), np.int64).reshape(batch.num_rows, size)
+                for r in range(restarts):
+                    near, distance = _nearest(x.astype(float), centres[r])
+                    cost[r] += int(np.rint(distance * UNIT).astype(np.int64).sum())
+                    for j in range(k):
+                        sums[r, j, :size] += x[near == j].sum(axis=0)
+                        sums[r, j, size] += int((near == j).sum())
+            yield pa.RecordBatch.from_arrays([pa.array([[*sums.ravel(), *cost]], pa.list_(pa.int64()))], ["v"])
+
+        parts = points.select("_point").mapInArrow(part, "v array<bigint>").select(F.posexplode("v").alias("at", "x"))
+        total = {r["at"]: int(r["x"]) for r in parts.groupBy("at").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).collect()}
+        flat = np.array([total.get(i, 0) for i in range(restarts * k * (size + 1))], object).reshape(restarts, k, size + 1)
+        cost = [total.get(restarts * k * (size + 1) + r, 0) for r in range(restarts)]
+        best = min(range(restarts), key=lambda r: (cost[r], r))
+        moved = np.array(
+            [[[flat[r, j, i] / flat[r, j, size] if flat[r, j, size] else centres[r, j, i] for i in range(size)]
+              for j in range(k)] for r in range(restarts)], float,
+        )
+        if (moved == centres).all():
+            break
+        centres = moved
+    return assign(points, centres[best]).drop("_point")
 
 
 def name_segments(assigned: DataFrame) -> DataFrame:
