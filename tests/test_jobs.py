@@ -70,6 +70,9 @@ def test_models_and_report(spark, lake, folders):
     assert set(os.listdir(f"{root}/report")) == {"kpis", "fraud", "insights", "merchants", "segments", "tickets"}
     text = [r.summary for r in spark.read.json(f"{root}/report/insights").orderBy("id").collect()]
     assert len(text) == 6 and "%s" not in " ".join(text) and "null" not in " ".join(text)
+    jobs.write_report(tables, root, f"{root}/csv", fmt="csv")
+    again = spark.read.option("header", True).option("escape", '"').csv(f"{root}/csv/insights").orderBy("id")
+    assert [r.summary for r in again.collect()] == text
 
 
 def test_replace_one_metric(spark, tmp_path):

@@ -170,8 +170,8 @@ def summarise(tables: Tables, lake: str, as_of: date) -> None:
     write_table(with_audit(made), f"{lake}/models/ml_executive_summaries")
 
 
-def write_report(tables: Tables, lake: str, folder: str) -> None:
-    """The report sections as JSON lines."""
+def write_report(tables: Tables, lake: str, folder: str, fmt: str = "json") -> None:
+    """The report sections as JSON lines or CSV."""
     spark = tables.transactions.sparkSession
 
     def model(name: str) -> DataFrame:
@@ -187,4 +187,5 @@ def write_report(tables: Tables, lake: str, folder: str) -> None:
             "tickets": report.tickets(model("ml_support_ticket_nlp")),
         },
         folder,
+        fmt,
     )

@@ -94,7 +94,8 @@ def insights(summaries: DataFrame) -> DataFrame:
     return summaries.orderBy("id").select("id", c.title(F.col("topic")).alias("topic"), "summary")
 
 
-def write_sections(sections: dict[str, DataFrame], folder: str) -> None:
-    """One JSON-lines folder per section."""
+def write_sections(sections: dict[str, DataFrame], folder: str, fmt: str = "json") -> None:
+    """One folder per section, as JSON lines or as CSV with a header."""
+    options = {"json": {}, "csv": {"header": True, "escape": '"'}}[fmt]
     for name, df in sections.items():
-        df.write.mode("overwrite").json(f"{folder}/{name}")
+        df.write.mode("overwrite").options(**options).format(fmt).save(f"{folder}/{name}")
