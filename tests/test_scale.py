@@ -152,6 +152,23 @@ def test_hot_month_is_written_by_many_tasks(spark, tmp_path):
     assert spark.read.parquet(path).count() == 100_000
 
 
+def test_a_lookup_skips_files_by_their_bloom_filter(spark, tmp_path):
+    def scanned(path, key):
+        with settings(spark, spark__sql__adaptive__enabled="false"):
+            df = spark.read.parquet(path).where(F.col("k") == key)
+            found = len(df.collect())
+            scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+            return found, scan.metrics().apply("numOutputRows").value()
+
+    df = spark.range(40_000, numPartitions=4).select(F.md5(F.col("id").cast("string").cast("binary")).alias("k"), "id")
+    write_table(df, str(tmp_path / "b"), lookup_by="k")
+    write_table(df, str(tmp_path / "p"))
+    key = df.where("id = 12345").first().k
+    with_filter, without = scanned(str(tmp_path / "b"), key), scanned(str(tmp_path / "p"), key)
+    assert with_filter[0] == without[0] == 1
+    assert with_filter[1] < without[1]
+
+
 def test_executor_functions_need_no_package():
     blob = cloudpickle.dumps((iforest._grow, forecast._forecast_one))
     code = "import sys, pyspark.cloudpickle as c; print(len(c.loads(sys.stdin.buffer.read())))"

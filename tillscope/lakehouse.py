@@ -89,7 +89,9 @@ class Lakehouse:
         The label is stored: as an expression it would make every reader fetch the ids.
         """
         labelled = self.top_fraction.label(self.scored)
-        return stage(labelled, "transactions", partition_by="txn_month", sort_by="customer_id")
+        return stage(
+            labelled, "transactions", partition_by="txn_month", sort_by="customer_id", lookup_by="transaction_id"
+        )
 
     @cached_property
     def reviews(self) -> DataFrame:
