@@ -371,7 +371,8 @@ def _classes(rows: DataFrame, words: int, threshold: float, depth: int, recall:
         "classed",
     )
     rank = F.min(F.struct(F.col("id").isNull().alias("empty"), "id", "rid")).alias("class")
-    heads = full.groupBy("root", "some").agg(rank, F.count("*").alias("class_size"))
+    # Written, so that the join below can split the rows of a class that holds much of the table.
+    heads = stage(full.groupBy("root", "some").agg(rank, F.count("*").alias("class_size")), "heads")
     return full.join(heads, ["root", "some"]).select("rid", "id", "class", "class_size", "n_links", F.col("size").alias("n_shingles"))
 
 
