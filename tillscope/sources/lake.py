@@ -25,7 +25,7 @@ def read_table(
 
 def write_table(
     df: DataFrame, path: str, partition_by: str | None = None, sort_by: str | None = None, fmt: str = FORMAT,
-    lookup_by: str | None = None,
+    lookup_by: str | None = None, **options: str,
 ) -> None:
     """Replace the table at ``path``.
 
@@ -35,14 +35,15 @@ def write_table(
     skip row groups; a Bloom filter does so for ``lookup_by``, which the files are not
     sorted by.
     """
-    bloom = {f"parquet.bloom.filter.enabled#{lookup_by}": "true"} if lookup_by else {}
+    if lookup_by:
+        options[f"parquet.bloom.filter.enabled#{lookup_by}"] = "true"
     if partition_by is None:
-        df.write.format(fmt).options(**bloom).mode("overwrite").save(path)
+        df.write.format(fmt).options(**options).mode("overwrite").save(path)
     else:
         df = df.hint("rebalance", F.col(partition_by))
         if sort_by:
             df = df.sortWithinPartitions(partition_by, sort_by)
-        df.write.format(fmt).options(**bloom).mode("overwrite").partitionBy(partition_by).save(path)
+        df.write.format(fmt).options(**options).mode("overwrite").partitionBy(partition_by).save(path)
 
 
 def replace_partition(df: DataFrame, path: str, partition_by: str, fmt: str = FORMAT) -> None:
@@ -133,5 +134,5 @@ def stage(
     """
     path = scratch_path(df.sparkSession, name)
     schema = df.schema
-    write_table(df, path, partition_by, sort_by, lookup_by=lookup_by)
+    write_table(df, path, partition_by, sort_by, lookup_by=lookup_by, compression="zstd")
     return read_table(df.sparkSession, path, schema)
