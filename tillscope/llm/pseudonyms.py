@@ -23,6 +23,16 @@ from tillscope.llm.common import need
 ROUNDS = 8
 GAP = "\x00"
 
+#: Length of an IBAN by country.
+IBAN_LENGTHS = {
+    c: n for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items() for c in countries.split()
+}
+
 
 class Cipher:
     """Keyed permutations of the numbers below any n, one for each name."""
@@ -105,14 +115,74 @@ def _spelled(cipher: Cipher, text: str, name: str, hexadecimal: bool = False) ->
     return _refill(text, new)
 
 
-def card(cipher: Cipher, m: re.Match) -> str | None:
+class Part:
+    """Part of a text in place of a match."""
+
+    def __init__(self, text: str, start: int, end: int):
+        self.text, self.ends = text[start:end], (start, end)
+
+    def __getitem__(self, _) -> str:
+        return self.text
+
+    def start(self) -> int:
+        return self.ends[0]
+
+    def end(self) -> int:
+        return self.ends[1]
+
+
+def _card_ok(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and luhn(digits[:-1]) == int(digits[-1]) and len(set(digits)) > 1
+
+
+def cards(text: str, runs: re.Pattern) -> Iterator[Part]:
+    """Card numbers in runs of digit groups, none overlapping.
+
+    The whole run is tried first, whatever its layout. Then come the parts that start at a
+    group, from left to right and from the longest to the shortest, of one separator and
+    with four digits or more in all groups but the last.
+    """
+    for run in runs.finditer(text):
+        groups = [g.span() for g in re.finditer("[0-9]+", run[0])]
+        if sum(b - a for a, b in groups) < 13:
+            continue
+        base, k = run.start(), 0
+        if _card_ok(_plain(run[0])):
+            yield Part(text, base, run.end())
+            continue
+        while k < len(groups):
+            ends, n = [], 0
+            for j in range(k, len(groups)):
+                a, b = groups[j]
+                n += b - a
+                if n > 19 or (j > k + 1 and run[0][a - 1] != run[0][groups[k + 1][0] - 1]):
+                    break
+                if n >= 13:
+                    ends.append(j)
+                if b - a < 4:
+                    break
+            start = groups[k][0]
+            last = next((j for j in reversed(ends) if _card_ok(_plain(run[0][start : groups[j][1]]))), None)
+            if last is not None:
+                yield Part(text, base + start, base + groups[last][1])
+            k = k + 1 if last is None else last + 1
+
+
+def card(cipher: Cipher, m: Part) -> str | None:
+    """The pseudonym keeps the other Luhn sum too.
+
+    So a card followed by an odd number of digits, as by its CVV, passes or fails
+    together with them as before, and going back finds the same card.
+    """
     digits = _plain(m[0])
-    if not 13 <= len(digits) <= 19 or luhn(digits[:-1]) != int(digits[-1]) or len(set(digits)) == 1:
+    if not _card_ok(digits):
         return None
-    size = len(digits) - 1
+    size, other = len(digits) - 1, luhn(digits)
 
     def usable(x: int) -> bool:
-        return len(set(d := f"{x:0{size}d}")) > 1 or luhn(d) != int(d[0])
+        d = f"{x:0{size}d}"
+        d += str(luhn(d))
+        return len(set(d)) > 1 and luhn(d) == other
 
     body = f"{cipher.permute(int(digits[:-1]), 10**size, 'card', usable):0{size}d}"
     return _refill(m[0], body + str(luhn(body)))
@@ -128,16 +198,41 @@ def phone(cipher: Cipher, m: re.Match) -> str | None:
     return head + _refill(rest, f"{body:0{len(digits)}d}")
 
 
-def iban(cipher: Cipher, m: re.Match) -> str | None:
-    chars = _plain(m[0])
+def _rest(s: str) -> int:
+    return int("".join(str(int(c, 36)) for c in s)) % 97
 
-    def rest(s: str) -> int:
-        return int("".join(str(int(c, 36)) for c in s)) % 97
 
-    if not 15 <= len(chars) <= 34 or rest(chars[4:] + chars[:4]) != 1:
+def _iban_ok(chars: str) -> bool:
+    return 15 <= len(chars) <= 34 and _rest(chars[4:] + chars[:4]) == 1
+
+
+def ibans(text: str, starts: re.Pattern) -> Iterator[Part]:
+    """IBANs, none overlapping: from each start that of the country's length, else the longest that ends with a group."""
+    done = 0
+    for m in starts.finditer(text):
+        if m.start() < done:
+            continue
+        ends, n, last = {}, 0, 0
+        for c in re.finditer("[ -]?[A-Z0-9]", text[m.start() : m.start() + 68]):
+            if c.start() != last or n == 34:
+                break
+            n, last = n + 1, c.end()
+            if n >= 15 and not re.match("[A-Za-z0-9]", text[m.start() + last : m.start() + last + 1]):
+                ends[n] = m.start() + last
+        usual = IBAN_LENGTHS.get(m[0][:2])
+        for n in sorted(ends, key=lambda n: (n != usual, -n)):
+            if _iban_ok(_plain(text[m.start() : ends[n]])):
+                done = ends[n]
+                yield Part(text, m.start(), done)
+                break
+
+
+def iban(cipher: Cipher, m: Part) -> str | None:
+    chars = _plain(m[0])
+    if not _iban_ok(chars):
         return None
     body = _spelled(cipher, chars[4:], "iban/" + chars[:2])
-    return _refill(m[0], chars[:2] + f"{98 - rest(body + chars[:2] + '00'):02d}" + body)
+    return _refill(m[0], chars[:2] + f"{98 - _rest(body + chars[:2] + '00'):02d}" + body)
 
 
 def _social_ok(x: int) -> bool:
@@ -215,17 +310,19 @@ KINDS: tuple[tuple[str, str, re.Pattern, Callable], ...] = (
         r"(?P<q>[\"'])(?P<value>[A-Za-z0-9_+/=.-]{8,200})(?P=q)"), secret),
     ("email", "@", re.compile(
         r"(?<![\w.%+-])[\w%+-](?:[\w.%+-]{0,62}[\w%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![\w-])"), email),
-    ("iban", "0123456789", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ -]?[A-Z0-9]{2,4}){2,8}(?![A-Za-z0-9])"), iban),
+    ("iban", "0123456789", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[ -]?[A-Z0-9])"), iban),
     ("date", "0123456789", re.compile(
         r"(?<![\w.])(?:(?P<y1>(?:19|20)\d\d)(?P<s1>[-/.])(?P<a1>\d\d)(?P=s1)(?P<b1>\d\d)"
         r"|(?P<a2>\d\d)(?P<s2>[-/.])(?P<b2>\d\d)(?P=s2)(?P<y2>(?:19|20)\d\d))(?![\w]|[-/.]\d)"), date),
     ("social", "0123456789", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w]|-\d)"), social),
-    ("card", "0123456789", re.compile(r"(?<![A-Za-z0-9.-])\d(?:[ -]?\d){12,18}(?![A-Za-z0-9]|[ -]\d|\.\d)"), card),
+    ("card", "0123456789", re.compile(r"(?<![A-Za-z0-9.-])[0-9]+(?:[ -][0-9]+)*(?![A-Za-z0-9]|\.\d)"), card),
     ("address", ".", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"), address),
     ("phone", "0123456789", re.compile(
         r"(?<![A-Za-z0-9])(?:(?P<code>\+1[ .-]?)?(?P<rest>(?:\(\d{3}\) ?|(?<=[ .-])\d{3}[ .-]|(?<=1)\d{3}[ .-]?)\d{3}[ .-]?\d{4})"
         r"|(?P<code2>\+[2-9]\d{0,2}[ .-]?)(?P<rest2>(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}))(?![A-Za-z0-9])"), phone),
 )
+#: Kinds whose patterns find only where to look; the others take each match.
+PARTS = {"iban": ibans, "card": cards}
 
 
 class _Phone:
@@ -247,7 +344,7 @@ def find(text: str, cipher: Cipher) -> Iterator[tuple[int, int, str, str]]:
         if not has[sign]:
             continue
         hits = []
-        for m in pattern.finditer(text):
+        for m in PARTS[kind](text, pattern) if kind in PARTS else pattern.finditer(text):
             new = change(cipher, _Phone(m) if kind == "phone" else m)
             if new is not None:
                 hits.append((m.start(), m.end(), kind, new))
