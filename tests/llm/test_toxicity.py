@@ -81,3 +81,26 @@ def test_no_labels_and_no_rows(spark, documents):
     (row,) = toxicity.score(documents([(1, "a b.")]), model).collect()
     assert row.predicted == 0
     assert toxicity.score(documents([]).limit(0), model).collect() == []
+
+
+def test_length_alone_is_not_toxic(spark, documents):
+    rows, labels = corpus(120)
+    docs = documents([*rows, (9001, "w1 w2. " * 40_000), (9002, "Nothing known here! " * 40_000), (9003, "you cad w1. " + "w1 w2. " * 40_000)])
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(docs, lab, rounds=25, least=3.0)
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert model.weights and [got[k].predicted for k in (9001, 9002, 9003)] == [0, 0, 1]
+    assert {r.doc_id for r in toxicity.clean(docs, model).select("doc_id").collect()} >= {9001, 9002}
+    # A neutral sentence, or one with evidence against, changes no score.
+    known = toxicity._Words({"bad": 4.0, "good": -1.0})
+    one = toxicity.bag_score("bad.", known, -5.0)[0]
+    assert 0 < one < 0.5 and toxicity.bag_score("bad." + " good. plain." * 10_000, known, -5.0)[0] == one
+
+
+def test_labels_of_one_kind_give_a_constant(spark, documents):
+    docs = documents([(1, "a b."), (2, "a b. " * 5_000), (3, None)])
+    for labels, toxic in (([], 0), ([(k, 0) for k in range(1, 9)], 0), ([(k, 1) for k in range(1, 9)], 1)):
+        model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        rows = toxicity.score(docs, model).collect()
+        assert [r.predicted for r in rows] == [toxic] * 3 and len({r.score for r in rows}) == 1
+        assert toxicity.clean(docs, model).count() == 3 * (1 - toxic)

@@ -3,7 +3,9 @@
 A document is a bag of sentences. Each sentence has a probability from a logistic model
 of its words; the document's is their noisy-or, 1 - prod(1 - p). Only documents have
 labels: the gradient of the document's likelihood reaches the sentences through the
-noisy-or, so sentences that explain a toxic label are found without being marked.
+noisy-or, so sentences that explain a toxic label are found without being marked. A
+score counts only sentences whose words raise them above the bias: else any text that is
+long enough would be toxic.
 """
 
 from __future__ import annotations
@@ -174,7 +176,8 @@ def fit(
 
     Features are chosen by their document counts. Each round is one Spark job that adds
     up gradients over the bags; the driver sees ``kept`` + 1 numbers. Without labels of
-    both kinds the model is a constant: the share of toxic labels, or one half below 0.
+    both kinds the model is a constant for a document of any length: above one half if
+    all labels are toxic, else below.
     """
     need(docs, id_col, text_col)
     need(labels, id_col, label_col)
@@ -224,17 +227,22 @@ class _Words(dict):
 
 
 def bag_score(text: str, known: _Words, bias: float) -> tuple[float, list[tuple[int, int, float]]]:
-    """Noisy-or of the sentences, and those of one half or more with their places."""
-    plain, miss, bad = np.log1p(np.exp(bias)), 0.0, []
+    """Noisy-or of the sentences with evidence above the bias, and those of one half or more with their places.
+
+    Without any weights the score is the bias's, however many sentences there are.
+    """
+    if not known.weights:
+        return float(1 / (1 + np.exp(-bias))), []
+    miss, bad = 0.0, []
     for a, b in _sentences(text):
         found: dict[str, float] = {}
         for w in TOKEN.findall(text[a:b].lower()):
             if hit := known[w]:
                 found |= hit
-        if not found:
-            miss -= plain
+        evidence = sum(x for _, x in sorted(found.items()))
+        if evidence <= 0:
             continue
-        z = bias + sum(x for _, x in sorted(found.items()))
+        z = bias + evidence
         miss -= np.logaddexp(0, z)
         if z >= 0:
             bad.append((a, b, float(1 / (1 + np.exp(-z)))))
