@@ -90,3 +90,25 @@ def test_cards_and_ibans_beside_other_groups():
         for tail in (" 12/27", " 123", " 1234", f" {number}"):
             new = p.replace(number + tail, cipher)[0]
             assert p.replace(new, back)[0] == number + tail
+
+
+def test_values_at_starts_and_after_punctuation():
+    cipher, back = p.Cipher(b"k"), p.Cipher(b"k", back=True)
+    for kind, value in (
+        ("phone", "555-123-4567"), ("phone", "555.123.4567"), ("date", "2021-03-14"), ("date", "3/4/2021"), ("date", "14.3.2021"),
+        ("date", "3/14/2021"), ("date", "2021-3-4"), ("date", "03/4/2021"),
+    ):
+        for before in ("", "a\n", "\t", '"', "tel:", "(", "[", "/x "):
+            text = f"{before}{value}, then"
+            assert [(k, text[a:b]) for a, b, k, _ in p.find(text, cipher)] == [(kind, value)], text
+            new = p.replace(text, cipher)[0]
+            assert value not in new and len(new) == len(text) and p.replace(new, back)[0] == text
+    for text, value in (("at 2021-03-04T10:00", "2021-03-04"), ("2021-03-04T10:00:00Z", "2021-03-04"), ("2021-03-04T1000", "2021-03-04"),
+                        ("API_KEY=abcd1234", "abcd1234"), ("x\npassword: hunter22x\n", "hunter22x"), ('{"a":1,token:abcd1234,user:b}', "abcd1234"),
+                        ("(PASSWORD=Tr0ub4dor&3x y", "Tr0ub4dor&3x"), ("?token=abcd1234&user=bob", "abcd1234"), ("pwd = hunterhunter", "hunterhunter")):
+        assert [text[a:b] for a, b, _, _ in p.find(text, cipher)] in ([value], [text[text.lower().find(w) : text.find(value) + len(value)]
+            for w in ("api_key", "password", "token", "pwd") if w in text.lower()]), text
+        new = p.replace(text, cipher)[0]
+        assert value not in new and p.replace(new, back)[0] == text
+    for text in ("The secret: everything else", "token = get_token(x)", "if password == other_password:", "password=${PASSWORD}", "2021-13-4", "2021-03-04Tea", "1.2.3"):
+        assert p.replace(text, cipher) == (text, []), text

@@ -257,12 +257,15 @@ _FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 3
 
 
 def date(cipher: Cipher, m: re.Match) -> str | None:
-    """Day and month may stand in either order if both are possible; then day comes first."""
+    """Day and month may stand in either order if both are possible; then day comes first.
+
+    A day or month of one digit goes to one of one digit, so the layout tells the way back.
+    """
     year_first = m["y1"] is not None
     a, b = (int(m["a1"]), int(m["b1"])) if year_first else (int(m["a2"]), int(m["b2"]))
     year = int(m["y1"] or m["y2"])
     sep = m["s1"] if year_first else m["s2"]
-    wide = len(m["a1"] or m["a2"]) == 2 and len(m["b1"] or m["b2"]) == 2
+    widths = len(m["a1"] or m["a2"]), len(m["b1"] or m["b2"])
     for day_first in (False,) if year_first else (True, False):
         month, day = (b, a) if day_first else (a, b)
         try:
@@ -275,15 +278,15 @@ def date(cipher: Cipher, m: re.Match) -> str | None:
         def same_reading(n: int, day_first=day_first) -> bool:
             # A month-first date must not read as day-first afterwards.
             d = datetime.date.fromordinal(n + _FIRST)
-            return year_first or day_first or d.day > 12
+            two = (d.day, d.month) if day_first else (d.month, d.day)
+            return (year_first or day_first or d.day > 12) and all(w == 2 or x < 10 for w, x in zip(widths, two))
 
         def layout(n: int) -> str:
             d = datetime.date.fromordinal(n + _FIRST)
-            two = (f"{d.day:02d}", f"{d.month:02d}") if day_first else (f"{d.month:02d}", f"{d.day:02d}")
+            two = (d.day, d.month) if day_first else (d.month, d.day)
+            two = [f"{x:0{w}d}" for w, x in zip(widths, two)]
             return f"{d.year}{sep}{two[0]}{sep}{two[1]}" if year_first else f"{two[0]}{sep}{two[1]}{sep}{d.year}"
 
-        if not wide:
-            return None
         reading = "m" if not (year_first or day_first) else "d"
         return layout(cipher.permute(x, _LAST - _FIRST + 1, "date" + reading, same_reading))
     return None
@@ -297,28 +300,32 @@ def email(cipher: Cipher, m: re.Match) -> str | None:
 
 
 def secret(cipher: Cipher, m: re.Match) -> str | None:
-    value = m["value"]
+    group = "value" if m["value"] else "bare"
+    value = m[group]
     hexadecimal = re.fullmatch("[0-9a-f]{16,}|[0-9A-F]{16,}", value) is not None
-    at = m.start("value") - m.start()
+    at = m.start(group) - m.start()
     return m[0][:at] + _spelled(cipher, value, "secret", hexadecimal) + m[0][at + len(value) :]
 
 
 #: In order: an earlier kind keeps its place against a later one.
 KINDS: tuple[tuple[str, str, re.Pattern, Callable], ...] = (
     ("secret", "=:", re.compile(
-        r"(?i)(?<![A-Za-z0-9])(?:api[_-]?key|access[_-]?key|auth[_-]?key|secret|token|password|passwd|pwd)[\"']?\s{0,3}[=:]\s{0,3}"
-        r"(?P<q>[\"'])(?P<value>[A-Za-z0-9_+/=.-]{8,200})(?P=q)"), secret),
+        r"(?i)(?<![A-Za-z0-9])(?:api[_-]?key|access[_-]?key|auth[_-]?key|secret|token|password|passwd|pwd)[\"']?\s{0,3}[=:]"
+        r"(?:\s{0,3}(?P<q>[\"'])(?P<value>[A-Za-z0-9_+/=.-]{8,200})(?P=q)"
+        # Without quotes up to white space; no comparison, call, subscript or placeholder, and no plain word after a colon.
+        r"|(?!=)(?<![=!<>]=)(?:(?<==)|(?![ \t]{0,3}[A-Za-z-]+[.,;:!?)]*(?:\s|\Z)))"
+        r"[ \t]{0,3}(?![A-Za-z_][\w.]*[(\[]|\$?[{<(])(?P<bare>(?:(?![,;&][\w.-]+[\"']?[=:])[^\s\"'\x00]){8,4096}))"), secret),
     ("email", "@", re.compile(
         r"(?<![\w.%+-])[\w%+-](?:[\w.%+-]{0,62}[\w%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![\w-])"), email),
     ("iban", "0123456789", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=[ -]?[A-Z0-9])"), iban),
     ("date", "0123456789", re.compile(
-        r"(?<![\w.])(?:(?P<y1>(?:19|20)\d\d)(?P<s1>[-/.])(?P<a1>\d\d)(?P=s1)(?P<b1>\d\d)"
-        r"|(?P<a2>\d\d)(?P<s2>[-/.])(?P<b2>\d\d)(?P=s2)(?P<y2>(?:19|20)\d\d))(?![\w]|[-/.]\d)"), date),
+        r"(?<![\w.])(?:(?P<y1>(?:19|20)\d\d)(?P<s1>[-/.])(?P<a1>\d\d?)(?P=s1)(?P<b1>\d\d?)(?=[Tt]\d\d(?!\d)|[Tt]\d{4}|(?![\w]|[-/.]\d))"
+        r"|(?P<a2>\d\d?)(?P<s2>[-/.])(?P<b2>\d\d?)(?P=s2)(?P<y2>(?:19|20)\d\d)(?![\w]|[-/.]\d))"), date),
     ("social", "0123456789", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w]|-\d)"), social),
     ("card", "0123456789", re.compile(r"(?<![A-Za-z0-9.-])[0-9]+(?:[ -][0-9]+)*(?![A-Za-z0-9]|\.\d)"), card),
     ("address", ".", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)"), address),
     ("phone", "0123456789", re.compile(
-        r"(?<![A-Za-z0-9])(?:(?P<code>\+1[ .-]?)?(?P<rest>(?:\(\d{3}\) ?|(?<=[ .-])\d{3}[ .-]|(?<=1)\d{3}[ .-]?)\d{3}[ .-]?\d{4})"
+        r"(?<![A-Za-z0-9])(?:(?P<code>\+1[ .-]?)?(?P<rest>(?:\(\d{3}\) ?|(?<!\w)\d{3}[ .-]|(?<=1)\d{3}[ .-]?)\d{3}[ .-]?\d{4})"
         r"|(?P<code2>\+[2-9]\d{0,2}[ .-]?)(?P<rest2>(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}))(?![A-Za-z0-9])"), phone),
 )
 #: Kinds whose patterns find only where to look; the others take each match.
