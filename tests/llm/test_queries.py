@@ -29,7 +29,7 @@ def test_against_sql(name, spark, con, sf):
 
 def test_one_query_per_operator():
     numbers = [int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(driver.queries())
 
 
@@ -39,6 +39,11 @@ def test_contract_columns(spark, sf):
         "op3_nearest_vectors": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
         "op7_license_scan": {"doc_id": "bigint", "n_words": "bigint", "n_base": "bigint", "first_word": "bigint",
                              "last_word": "bigint", "base_labels": "string", "labels": "string", "score": "double"},
+        "op11_byte_pairs": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+        "op12_lexical_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+        "op13_dialogue_repair": {"conv_id": "bigint", "gaps": "bigint", "blank": "bigint", "duplicate": "bigint",
+                                 "truncated": "bigint", "illegal": "bigint", "cost": "bigint", "audit": "string",
+                                 "repaired_sha256": "string"},
         "op10_html_extraction": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     }
     for name, columns in want.items():

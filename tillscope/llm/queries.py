@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillscope.llm import (
+    byte_pairs,
+    dialogues,
     exact_dedup,
     html_text,
+    lexical,
     licenses,
     mixing,
     near_dups,
@@ -20,6 +23,7 @@ from tillscope.llm import (
 
 #: Files of public tokenizers; a path, never part of this repository.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+RANK_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 #: Stands in for the key that a deployment keeps in its secret store.
 PSEUDONYM_KEY = b"tillscope query key"
@@ -81,6 +85,32 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-pair ids of every text, and the bytes they decode to, as digests."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    ids = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
+    encoded = byte_pairs.encode(docs, RANK_FILE).select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        "token_ids",
+    )
+    return byte_pairs.decode(encoded, RANK_FILE).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_dialogue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired rows of every damaged conversation."""
+    damaged = dialogues.damage(table(spark, sf_dir, "conversations"))
+    return dialogues.repair(damaged, present=F.col("present"))
+
+
 QUERIES = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_sentencepiece": op2_sentencepiece,
@@ -92,6 +122,9 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "op11_byte_pairs": op11_byte_pairs,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_dialogue_repair": op13_dialogue_repair,
 }
 
 ORACLES = {
@@ -144,4 +177,29 @@ c AS (
 SELECT doc_id, size, source_size, target,
   CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM c""",
+    "op12_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+q AS (
+  SELECT row_number() OVER () AS iid, item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark),
+qt AS (SELECT iid, item_id, t, count(*) AS times FROM q GROUP BY ALL),
+s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(ts)) AS BIGINT) AS words FROM d WHERE len(ts) > 0),
+e AS (SELECT rid, doc_id, CAST(len(ts) AS BIGINT) AS n, unnest(ts) AS t FROM d),
+tf AS (SELECT rid, doc_id, n, t, count(*) AS tf FROM e WHERE t IN (SELECT t FROM qt) GROUP BY ALL),
+w AS (
+  SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, s GROUP BY t),
+r AS (
+  SELECT iid, item_id, doc_id, rid,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words)))) AS BIGINT) AS score
+  FROM tf JOIN w USING (t) JOIN qt USING (t), s GROUP BY iid, item_id, doc_id, rid),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM r WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10""",
 }
