@@ -203,7 +203,7 @@ def replay(v: Ranks, letters: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray
 class Encoder:
     """Encodes slices of texts; keeps the ids of words until there are ``most`` of them."""
 
-    def __init__(self, v: Ranks, most: int = 500_000):
+    def __init__(self, v: Ranks, most: int = 300_000):
         self.v, self.most = v, most
         blob = v.blob.tobytes()
         self.whole = pa.array([blob[a:b] or None for a, b in zip(v.starts[:-1], v.starts[1:])], pa.binary())
@@ -271,7 +271,7 @@ def _pieces(text: str, most: int) -> Iterator[str]:
 
 
 def encode(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", slice_chars: int = 4_000_000
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", slice_chars: int = 2_000_000
 ) -> DataFrame:
     """Per row of ``docs``: the identifier and ``token_ids`` by the ranks of the file at ``path``.
 
@@ -310,11 +310,13 @@ def encode(
     return rows.mapInArrow(run, f"id {kind}, token_ids array<int>").withColumnRenamed("id", id_col)
 
 
-def decode(encoded: DataFrame, path: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
+def decode(
+    encoded: DataFrame, path: str, ids_col: str = "token_ids", out_col: str = "decoded", slice_ids: int = 500_000
+) -> DataFrame:
     """``encoded`` with the bytes of its ids in place of the ids, as ``out_col``.
 
     A cast to string gives the text. NULL ids give NULL; an id that the file lacks ends
-    the job with an error.
+    the job with an error. ``slice_ids`` bounds memory, not the result.
     """
     need(encoded, ids_col)
     others = [c for c in encoded.columns if c != ids_col]
@@ -325,21 +327,22 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "token_ids", out_col: s
         blob, starts = shared.value
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
-            ids = lists.flatten().to_numpy(zero_copy_only=False)
-            if len(ids) and (ids.min() < 0 or ids.max() >= len(starts) - 1):
-                raise ValueError("an id is none of the rank file's")
-            size = starts[ids + 1] - starts[ids]
-            upto = np.cumsum(size)
-            total = int(upto[-1]) if len(upto) else 0
-            data = blob[np.repeat(starts[ids] - (upto - size), size) + np.arange(total)]
             counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            ends = np.append(0, upto)[np.append(0, np.cumsum(counts, dtype=np.int64))]
-            masked = pc.invert(lists.is_null()) if lists.null_count else None
-            made = pa.Array.from_buffers(
-                pa.large_binary(), len(lists),
-                [masked.buffers()[1] if masked is not None else None, pa.py_buffer(ends), pa.py_buffer(data)],
-            ).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [made], [*others, out_col])
+            for a, b in slices(counts.tolist(), slice_ids):
+                part = batch.slice(a, b - a)
+                lists = part.column(part.num_columns - 1)
+                ids = lists.flatten().to_numpy(zero_copy_only=False)
+                if len(ids) and (ids.min() < 0 or ids.max() >= len(starts) - 1):
+                    raise ValueError("an id is none of the rank file's")
+                size = starts[ids + 1] - starts[ids]
+                upto = np.cumsum(size)
+                data = blob[np.repeat(starts[ids] - (upto - size), size) + np.arange(size.sum())].tobytes()
+                ends = np.append(0, upto)[np.append(0, np.cumsum(counts[a:b], dtype=np.int64))].tolist()
+                made = [
+                    None if missing else data[c:d]
+                    for c, d, missing in zip(ends[:-1], ends[1:], lists.is_null().to_pylist())
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(made, pa.binary())], [*others, out_col])
 
     rows = encoded.select(*others, ids_col)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]] + [f"`{out_col}` binary"])
