@@ -183,6 +183,12 @@ oracle("transactions_page", f"""SELECT * FROM ({NAMED}) WHERE {PAGE}
   ORDER BY amount DESC, transaction_id LIMIT 50 OFFSET 50""", TX, "customers", "merchants")
 oracle("transactions_far_page", f"SELECT * FROM ({NAMED}) ORDER BY amount, transaction_id LIMIT 100 OFFSET 29900",
        TX, "customers", "merchants")
+oracle("transactions_status_page", f"""SELECT * FROM ({NAMED})
+  ORDER BY status DESC, transaction_id LIMIT 100 OFFSET 11900""", TX, "customers", "merchants")
+LATEST = "status = 'Success' AND risk_level = 'High'"
+oracle("transactions_latest_page", f"""SELECT * FROM ({NAMED}) WHERE {LATEST}
+  ORDER BY "timestamp" DESC, transaction_id LIMIT 50 OFFSET 1950""", TX, "customers", "merchants")
+on_tx("transactions_counted_total", f"SELECT count(*) AS total FROM transactions WHERE {LATEST}")
 on_tx("transactions_page_total", f"SELECT count(*) AS total FROM transactions WHERE {PAGE}")
 oracle("transaction_get", f"SELECT * FROM ({NAMED}) WHERE transaction_id IN (SELECT transaction_id FROM reviews)",
        TX, "customers", "merchants", "reviews")

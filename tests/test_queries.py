@@ -138,7 +138,7 @@ def test_lookup(lake):
 def test_page_plan_cuts_before_joins(lake):
     df = transactions.page(lake.transactions, lake.customers, lake.merchants)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.rindex("row_number") > plan.index("Join")  # the page is cut below the joins
+    assert plan.rindex("GlobalLimit") > plan.index("Join")  # the page is cut below the joins
 
 
 def test_empty_fact(lake):

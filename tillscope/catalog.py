@@ -175,6 +175,31 @@ def transactions_far_page(lh):
     )
 
 
+@query
+def transactions_status_page(lh):
+    """A far page sorted by a column of few values."""
+    return transactions.page(
+        lh.transactions, lh.customers, lh.merchants, page=120, limit=100, sort_by="status", sort_order="desc"
+    )
+
+
+@query
+def transactions_latest_page(lh):
+    """Newest first, from the months that the stored counts name."""
+    return transactions.page(
+        lh.transactions, lh.customers, lh.merchants, page=40, limit=50, index=lh.transaction_counts,
+        status="Success", risk_level="High",
+    )
+
+
+@query
+def transactions_counted_total(lh):
+    """The total behind that page, from the stored counts alone."""
+    return transactions.page_total(
+        lh.transactions, index=lh.transaction_counts, status="Success", risk_level="High"
+    )
+
+
 @query
 def transactions_page_total(lh):
     return transactions.page_total(lh.transactions, **PAGE_FILTERS)

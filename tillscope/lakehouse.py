@@ -16,8 +16,9 @@ from tillscope.functions import columns as c
 from tillscope.models import forecast, rules, segments
 from tillscope.models.features import FRAUD_FEATURES, fraud_features
 from tillscope.models.iforest import isolation_forest
+from tillscope.operators.count_index import CountIndex
 from tillscope.operators.star import enrich
-from tillscope.plans import silver, views
+from tillscope.plans import silver, transactions, views
 from tillscope.sources.lake import stage, with_audit
 from tillscope.tables import Tables
 from tillscope.text import sentiment, tickets
@@ -93,6 +94,10 @@ class Lakehouse:
             labelled, "transactions", partition_by="txn_month", sort_by="customer_id", lookup_by="transaction_id"
         )
 
+    @cached_property
+    def transaction_counts(self) -> CountIndex:
+        return transactions.counted(self.transactions)
+
     @cached_property
     def reviews(self) -> DataFrame:
         return stage(silver.reviews(self.bronze.reviews), "reviews")

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillscope.operators import refine
+
 
 def where_equal(df: DataFrame, **wanted: object) -> DataFrame:
     """AND of equalities. None and empty text mean no filter; 0 is a value."""
@@ -37,6 +39,7 @@ def page_order(by: str, descending: bool, key: str) -> list[Column]:
     return [first.desc_nulls_last() if descending else first.asc_nulls_last(), F.col(key)]
 
 
+NEAR = 1_000  # rows up to the end of a page that is a plain top-n
 _STEPS = 4096  # buckets per doubling of a value
 
 
@@ -60,14 +63,18 @@ def _bucket(df: DataFrame, by: str) -> Column:
 
 
 def page_of(df: DataFrame, by: str, key: str, page: int, limit: int, descending: bool = True) -> DataFrame:
-    """One page of ``df``, sorted; near and far pages go one way, and nothing runs while it is built.
+    """One page of ``df``, sorted; nothing runs while it is built.
 
-    Rows are counted per bucket of the sort column, running sums of the counts tell which
-    buckets hold the page (at most ``limit`` of them), and only their rows are ranked.
+    A page near the start is a top-n, for which a task hands on ``NEAR`` rows at the most. For
+    others rows are counted per bucket of the sort column, running sums of the counts tell
+    which buckets hold the page (at most ``limit`` of them), and only their rows are ranked;
+    ``far_page`` narrows down further where many rows share a bucket.
     """
     check_page(page, limit)
     offset = (page - 1) * limit
     order = page_order(by, descending, key)
+    if offset + limit <= NEAR:
+        return df.orderBy(*order).offset(offset).limit(limit)
     rows = df.withColumn("_bucket", _bucket(df, by))
     first = F.col("_bucket").desc_nulls_last() if descending else F.col("_bucket").asc_nulls_last()
     sums = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
@@ -88,6 +95,25 @@ def page_of(df: DataFrame, by: str, key: str, page: int, limit: int, descending:
     )
 
 
+def far_page(df: DataFrame, by: str, key: str, page: int, limit: int, descending: bool = True) -> DataFrame:
+    """The same page; for one far from the start, counting jobs run while it is built.
+
+    They read ``df`` once and end with the keys of the page, by which its rows are fetched,
+    so that file statistics and Bloom filters of the key apply.
+    """
+    check_page(page, limit)
+    return rows_from(df, by, key, (page - 1) * limit, limit, descending)
+
+
+def rows_from(df: DataFrame, by: str, key: str, offset: int, limit: int, descending: bool = True) -> DataFrame:
+    """``limit`` rows after the first ``offset``, as ``far_page`` finds them."""
+    order = page_order(by, descending, key)
+    if offset + limit <= NEAR:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    found = refine.keys_at(df, by, key, offset, limit, descending)
+    return df.where(F.col(key).isin(found)).orderBy(*order)
+
+
 def total_of(df: DataFrame) -> DataFrame:
     """Row count of the filtered set behind a page."""
     return df.agg(F.count(F.lit(1)).alias("total"))

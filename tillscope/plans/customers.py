@@ -72,7 +72,7 @@ def filtered(customers: DataFrame, *, city=None, search=None) -> DataFrame:
 
 def page(tx: DataFrame, customers: DataFrame, *, page: int = 1, limit: int = 25, **filters) -> DataFrame:
     summary = views.customer_summary(tx, filtered(customers, **filters))
-    return paging.page_of(summary, "total_spend", "customer_id", page, limit)
+    return paging.far_page(summary, "total_spend", "customer_id", page, limit)
 
 
 def page_total(customers: DataFrame, **filters) -> DataFrame:

@@ -73,7 +73,7 @@ def alerts_page(
 ) -> DataFrame:
     """Newest first. The page is cut on the fact alone, then enriched."""
     kept = _alerted(tx, risk_level, date_from, date_to)
-    cut = paging.page_of(kept, "timestamp", "transaction_id", page, limit)
+    cut = paging.far_page(kept, "timestamp", "transaction_id", page, limit)
     order = paging.page_order("timestamp", True, "transaction_id")
     return views.fraud_alerts(cut, customers, merchants).orderBy(*order)
 
@@ -89,7 +89,7 @@ def ml_predictions_page(
     """Flagged rows, highest score first, with transaction and names."""
     flagged = predictions.where("model_prediction = 1")
     # Every prediction has its transaction, so the page can be cut first.
-    cut = paging.page_of(flagged, "model_score", "transaction_id", page, limit)
+    cut = paging.far_page(flagged, "model_score", "transaction_id", page, limit)
     order = paging.page_order("model_score", True, "transaction_id")
     facts = tx.select(
         "transaction_id", "customer_id", "merchant_id", "amount", "timestamp", "status", "risk_level"

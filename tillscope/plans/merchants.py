@@ -26,7 +26,7 @@ def directory(tx: DataFrame, merchants: DataFrame, **filters) -> DataFrame:
 
 
 def page(tx: DataFrame, merchants: DataFrame, *, page: int = 1, limit: int = 25, **filters) -> DataFrame:
-    return paging.page_of(directory(tx, merchants, **filters), "revenue", "merchant_id", page, limit)
+    return paging.far_page(directory(tx, merchants, **filters), "revenue", "merchant_id", page, limit)
 
 
 def page_total(merchants: DataFrame, **filters) -> DataFrame:
@@ -77,7 +77,7 @@ def sentiment_page(sentiment: DataFrame, merchants: DataFrame, page: int = 1, li
     named = sentiment.join(
         merchants.select("merchant_id", "merchant_name", "category", "city"), "merchant_id"
     )
-    return paging.page_of(named, "avg_polarity", "merchant_id", page, limit)
+    return paging.far_page(named, "avg_polarity", "merchant_id", page, limit)
 
 
 def sentiment_extremes(sentiment: DataFrame, n: int = 3) -> DataFrame:
