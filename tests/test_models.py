@@ -221,6 +221,48 @@ def test_bounds_widen_and_metrics_are_separate(spark):
     assert (counts == counts.round()).all()
 
 
+def kalman(phi, variance, x):
+    """Log likelihood of a stationary autoregression, step by step over all of its state."""
+    p = len(phi)
+    move = np.vstack([phi, np.eye(p)[:-1]])
+    shock = np.zeros((p, p))
+    shock[0, 0] = variance
+    spread = np.linalg.solve(np.eye(p * p) - np.kron(move, move), shock.ravel()).reshape(p, p)
+    state, total = np.zeros(p), 0.0
+    for value in x:
+        width, error = spread[0, 0], value - state[0]
+        total -= (np.log(2 * np.pi * width) + error**2 / width) / 2
+        gain = spread[:, 0] / width
+        state, spread = move @ (state + gain * error), move @ (spread - np.outer(gain, spread[0])) @ move.T + shock
+    return total
+
+
+@pytest.mark.parametrize("lags, days", [(1, 20), (2, 16), (7, 14), (7, 90)])
+def test_coefficients_maximise_the_exact_likelihood(spark, lags, days):
+    """Against a Kalman filter over the whole series: no nearby coefficients or variance do better."""
+    rng = np.random.default_rng(days)
+    y = 50 + rng.normal(size=days).cumsum() + rng.normal(size=days)
+    row = forecast.gram(forecast.lagged_differences(frame(spark, "revenue", y), lags), lags).toPandas().iloc[0]
+    g = np.array([[row[f"g_{min(i, j)}_{max(i, j)}"] for j in range(lags + 1)] for i in range(lags + 1)])
+    start = np.array([row[f"first_d{i}"] for i in range(lags)])[::-1]
+    x = np.diff(y)
+    assert start == pytest.approx(x[:lags]) and row.n_days == days
+    phi, sigma = forecast.fit(g, start, days - 1)
+    best = kalman(phi, sigma**2, x)
+    for _ in range(40):
+        moved = phi + rng.normal(size=lags) * rng.choice([1e-3, 1e-2])
+        if abs(np.roots(np.append(1, -moved))).max() < 1:
+            assert kalman(moved, sigma**2 * rng.choice([0.99, 1, 1.01]), x) < best
+    if lags == 1:  # brute force over a grid
+        grid = np.arange(-0.9999, 1, 0.0001)
+        fitted = [kalman(np.array([k]), forecast_variance(k, x), x) for k in grid]
+        assert grid[int(np.argmax(fitted))] == pytest.approx(phi[0], abs=1e-4)
+
+
+def forecast_variance(phi, x):
+    return (x[0] ** 2 * (1 - phi**2) + ((x[1:] - phi * x[:-1]) ** 2).sum()) / len(x)
+
+
 def test_densify(spark):
     df = frame(spark, "revenue", [1]).union(frame(spark, "revenue", [4], date(2024, 1, 4)))
     assert [r.y for r in forecast.densify(df).orderBy("date").collect()] == [1.0, 0.0, 0.0, 4.0]

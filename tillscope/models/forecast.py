@@ -1,8 +1,10 @@
 """Autoregressive forecasts of many daily series in one plan.
 
-ARIMA(7,1,0) by conditional least squares: the sums of products are one
-distributed aggregation, only a 7 x 7 system per series reaches Python.
-Estimates differ slightly from exact maximum likelihood.
+ARIMA(7,1,0) by exact Gaussian likelihood. After its first seven steps the Kalman filter of
+an autoregression predicts by the coefficients alone, so all later steps enter the likelihood
+through sums of products. These are one distributed aggregation; per series only an 8 x 8 table
+and the first seven differences reach Python, where the filter runs over those seven and
+the likelihood is maximised. Its cost does not depend on the length of a series.
 """
 
 from __future__ import annotations
@@ -25,7 +27,9 @@ LAGS = 7
 HORIZON = 30
 SHORTEST = 14
 Z95 = 1.959964
-RIDGE = 1e-8
+RIDGE = 1e-12  # of the sum of squares; keeps the logarithm finite for a series that is predicted exactly
+STEPS = 100
+_FLAT = 18.0  # partial autocorrelations are tanh of something between - and + this
 
 FORECAST_SCHEMA = (
     "metric_name string, is_count boolean, forecast_date date, forecast_value double, lower_bound double, upper_bound double"
@@ -65,8 +69,8 @@ def lagged_differences(series: DataFrame, lags: int = LAGS) -> DataFrame:
 
 
 def gram(lagged: DataFrame, lags: int = LAGS) -> DataFrame:
-    """One row per series: sums of products g_i_j over the rows with all lags, the last
-    values, and the number of days."""
+    """One row per series: sums of products g_i_j over the rows with all lags, the first
+    ``lags`` differences (latest first), the last values, and the number of days."""
     names = [f"d{i}" for i in range(lags + 1)]
     full = F.col(f"d{lags}").isNotNull()
     sums = [
@@ -76,12 +80,14 @@ def gram(lagged: DataFrame, lags: int = LAGS) -> DataFrame:
         if i <= j
     ]
     last = F.max_by(F.struct("date", "y", *names[:-1]), "n")
+    first = F.max(F.when(F.col("n") == lags + 1, F.struct(*names[:-1])))
     sums_and_last = lagged.groupBy("metric_name").agg(
         F.count(F.lit(1)).alias("n_days"), F.count_if(full).alias("n_obs"), F.max("is_count").alias("is_count"),
-        last.alias("last"), *sums
+        last.alias("last"), first.alias("first"), *sums
     )
     flat = [F.col(f"last.{x}").alias(f"last_{x}") for x in ("date", "y", *names[:-1])]
-    return sums_and_last.select("*", *flat).drop("last")
+    flat += [F.col(f"first.{x}").alias(f"first_{x}") for x in names[:-1]]
+    return sums_and_last.select("*", *flat).drop("last", "first")
 
 
 def gram_ratios(grams: DataFrame, lags: int = LAGS) -> DataFrame:
@@ -96,13 +102,78 @@ def gram_ratios(grams: DataFrame, lags: int = LAGS) -> DataFrame:
     )
 
 
+def _filtered(z: np.ndarray, start: np.ndarray):
+    """Coefficients, and the filter's squared errors and log variances over the first differences.
+
+    ``z`` are the inverse hyperbolic tangents of the partial autocorrelations: any values
+    give a stationary process. Variances are relative to that of the shocks.
+    """
+    phi, scale = np.zeros(0, z.dtype), 1.0
+    share = np.tanh(z)
+    for k in share:
+        scale = scale / (1 - k * k)
+    squares = log_scale = 0.0
+    for t, k in enumerate(share):
+        error = start[t] - (phi @ start[:t][::-1] if t else 0.0)
+        squares, log_scale = squares + error * error / scale, log_scale + np.log(scale)
+        scale = scale * (1 - k * k)
+        phi = np.append(phi - k * phi[::-1], k)
+    return phi, squares, log_scale
+
+
+def _objective(z: np.ndarray, g: np.ndarray, start: np.ndarray, n: int):
+    """-2 log likelihood with the best variance of shocks, but for constants."""
+    phi, squares, log_scale = _filtered(z, start)
+    squares = squares + g[0, 0] - 2 * phi @ g[1:, 0] + phi @ g[1:, 1:] @ phi
+    return n * np.log(squares + RIDGE * (g[0, 0] + start @ start)) + log_scale
+
+
+def _gradient(z: np.ndarray, *data) -> np.ndarray:
+    """By steps along the imaginary axis, exact to rounding."""
+    steps = z + 1e-30j * np.eye(len(z))
+    return np.array([_objective(s, *data).imag for s in steps]) / 1e-30
+
+
+def fit(g: np.ndarray, start: np.ndarray, n: int) -> tuple[np.ndarray, float]:
+    """Coefficients and standard deviation of shocks that maximise the exact likelihood.
+
+    ``g`` are the sums of products of the differences and their lags from difference
+    ``len(start)`` on, ``start`` the differences before, ``n`` the number of all. Newton's
+    method, by the gradient where the second derivatives do not point down.
+    """
+    lags = len(start)
+    if not g[0, 0] + start @ start:
+        return np.zeros(lags), 0.0
+    data = (g, start, n)
+    z, value = np.zeros(lags), _objective(np.zeros(lags), *data)
+    for _ in range(STEPS):
+        slope = _gradient(z, *data)
+        if np.abs(slope).max() < 1e-11 * n:
+            break
+        wide = 1e-5
+        bend = np.array([(_gradient(z + d, *data) - _gradient(z - d, *data)) / (2 * wide) for d in wide * np.eye(lags)])
+        bend = (bend + bend.T) / 2
+        roots, axes = np.linalg.eigh(bend)
+        step = -axes @ ((axes.T @ slope) / np.maximum(np.abs(roots), 1e-6 * n))
+        share = 1.0
+        while share > 1e-12:
+            there = np.clip(z + share * step, -_FLAT, _FLAT)
+            after = _objective(there, *data)
+            if after < value:
+                break
+            share /= 2
+        else:
+            break
+        z, value = there, after
+    phi, squares, _ = _filtered(z, start)
+    squares += g[0, 0] - 2 * phi @ g[1:, 0] + phi @ g[1:, 1:] @ phi
+    return phi, float(np.sqrt(max(squares, 0.0) / n))
+
+
 def _forecast_one(row: pd.Series, lags: int, horizon: int) -> pd.DataFrame:
     g = np.array([[row[f"g_{min(i, j)}_{max(i, j)}"] for j in range(lags + 1)] for i in range(lags + 1)])
-    xtx, xty = g[1:, 1:], g[1:, 0]
-    scale = np.trace(xtx) / lags
-    phi = np.linalg.solve(xtx + (RIDGE * scale or RIDGE) * np.eye(lags), xty)
-    residual = max(g[0, 0] - 2 * phi @ xty + phi @ xtx @ phi, 0.0)
-    sigma = np.sqrt(residual / max(row["n_obs"], 1))
+    start = np.array([row[f"first_d{i}"] for i in range(lags)], float)[::-1]
+    phi, sigma = fit(g, start, int(row["n_days"]) - 1)
 
     recent = [row[f"last_d{i}"] for i in range(lags)]
     recent = [0.0 if pd.isna(v) else v for v in recent]
