@@ -315,7 +315,88 @@ FROM (SELECT metric_name, any_value(n_days) AS n_days, count(*) AS n_obs,
             WINDOW w AS (PARTITION BY metric_name ORDER BY "date"))
       WHERE d7 IS NOT NULL GROUP BY metric_name)""")
 
+# One lag: the exact likelihood's derivative has one zero between -1 and 1, found by halving.
+_SLOPE = """n * (2 * phi * (g11 - x1 * x1) - 2 * g01) * (1 - phi * phi)
+  + 2 * phi * (x1 * x1 * (1 - phi * phi) + g00 - 2 * phi * g01 + phi * phi * g11)"""
+LAG1 = f"""SELECT metric_name, CAST(last_date + CAST(h AS INTEGER) AS DATE) AS forecast_date,
+  CASE WHEN is_count THEN round_even(greatest(v, 0), 0) ELSE {r('greatest(v, 0)')} END AS forecast_value,
+  CASE WHEN is_count THEN round_even(greatest(v - e, 0), 0) ELSE {r('greatest(v - e, 0)')} END AS lower_bound,
+  CASE WHEN is_count THEN round_even(greatest(v + e, 0), 0) ELSE {r('greatest(v + e, 0)')} END AS upper_bound,
+  'arima' AS model_name
+FROM (
+  SELECT *, last_y + last_d * phi * (1 - phi ** h) / (1 - phi) AS v,
+    1.959964 * sigma * sqrt(list_sum([((1 - phi ** (j + 1)) / (1 - phi)) ** 2 for j in range(0, h)])) AS e
+  FROM (
+    WITH RECURSIVE s AS (
+      SELECT 'transactions' AS metric_name, true AS is_count, {DAY} AS "date", CAST(count(*) AS DOUBLE) AS y
+      FROM transactions GROUP BY 3
+      UNION ALL SELECT 'revenue', false, {DAY}, CAST(coalesce({total('amount', OK)}, 0) AS DOUBLE) FROM transactions GROUP BY 3),
+    d AS (SELECT *, y - lag(y) OVER (PARTITION BY metric_name ORDER BY "date") AS x FROM s),
+    p AS (SELECT *, lag(x) OVER (PARTITION BY metric_name ORDER BY "date") AS x0 FROM d),
+    g AS (
+      SELECT metric_name, any_value(is_count) AS is_count, count(*) - 1 AS n, arg_min(x, "date") FILTER (WHERE x IS NOT NULL) AS x1,
+        sum(x * x) FILTER (WHERE x0 IS NOT NULL) AS g00, sum(x * x0) AS g01, sum(x0 * x0) AS g11,
+        max("date") AS last_date, arg_max(y, "date") AS last_y, arg_max(x, "date") AS last_d
+      FROM p GROUP BY metric_name HAVING count(*) >= 14),
+    b AS (
+      SELECT metric_name, 0 AS step, CAST(-1 AS DOUBLE) AS lo, CAST(1 AS DOUBLE) AS hi FROM g
+      UNION ALL
+      SELECT metric_name, step + 1, CASE WHEN f < 0 THEN phi ELSE lo END, CASE WHEN f < 0 THEN hi ELSE phi END
+      FROM (SELECT *, {_SLOPE} AS f FROM (SELECT b.*, (lo + hi) / 2 AS phi, g.* EXCLUDE (metric_name)
+                                          FROM b JOIN g ON b.metric_name = g.metric_name WHERE step < 60)))
+    SELECT g.*, phi, sqrt((x1 * x1 * (1 - phi * phi) + g00 - 2 * phi * g01 + phi * phi * g11) / n) AS sigma
+    FROM g JOIN (SELECT metric_name, (lo + hi) / 2 AS phi FROM b WHERE step = 60) z ON g.metric_name = z.metric_name
+  ), range(1, 31) k(h))"""
+on_tx("forecast_lag1", LAG1)
+on_tx("forecast_lag1_read", f"""SELECT forecast_date, forecast_value, lower_bound, upper_bound FROM ({LAG1})
+  WHERE metric_name = 'revenue' ORDER BY forecast_date""")
+on_tx("forecast_lag1_union", f"""SELECT * FROM (WITH h AS ({HISTORY} GROUP BY 1)
+  SELECT 'transactions' AS metric, "date" AS ds, CAST(transactions AS DOUBLE) AS y, 'history' AS kind FROM h
+  UNION ALL SELECT 'revenue', "date", CAST(revenue AS DOUBLE), 'history' FROM h
+  UNION ALL SELECT metric_name, forecast_date, forecast_value, 'forecast' FROM ({LAG1}))""")
+
 # ------------------------------------------------------------------------ text
+def phrase_table(source: str, key: str, text: str, longest: int, least: int) -> str:
+    """Scored phrases of all texts, and ``g``, the phrases of each text, as CTEs."""
+    return f"""t AS (
+  SELECT {key} AS id, list_transform(regexp_extract_all(lower(coalesce({text}, '')), '\\p{{L}}+|[^\\p{{L}} \\t\\n\\r\\f]+'),
+    lambda w: CASE WHEN regexp_matches(w, '^\\p{{L}}') AND NOT list_contains([{', '.join(map(q, STOP_WORDS))}], w) THEN w END) AS ws
+  FROM {source}),
+g AS (
+  SELECT id, n, array_to_string(ws[i:i + n - 1], ' ') AS phrase
+  FROM (SELECT id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM t, range(1, {longest + 1}) k(n))
+  WHERE len(list_filter(ws[i:i + n - 1], lambda w: w IS NULL)) = 0),
+f AS (SELECT phrase, CAST(any_value(n) AS INTEGER) AS n_words, count(*) AS n FROM g GROUP BY phrase HAVING count(*) >= {least}),
+w AS (SELECT count(*) AS words FROM g WHERE n = 1),
+nested AS (
+  SELECT inner_phrase AS phrase, sum(n) / count(*) AS mean FROM (
+    SELECT DISTINCT phrase, n, array_to_string(ps[i:i + k - 1], ' ') AS inner_phrase
+    FROM (SELECT phrase, n, ps, k, unnest(range(1, len(ps) - k + 2)) AS i
+          FROM (SELECT phrase, n, string_split(phrase, ' ') AS ps FROM f), range(1, {longest}) j(k) WHERE k < len(ps)))
+  GROUP BY inner_phrase),
+alone AS (
+  SELECT f.phrase, sum(log2(u.n / (SELECT words FROM w))) AS bits
+  FROM (SELECT phrase, unnest(string_split(phrase, ' ')) AS word FROM f) f JOIN f u ON u.phrase = f.word GROUP BY f.phrase),
+p AS (
+  SELECT *, c_value * (1 + greatest(0, CASE WHEN n_words = 1 OR n = words THEN 0 ELSE pmi / -log2(n / words) END)) AS score
+  FROM (SELECT f.*, words, log2(n_words + 1) * (n - coalesce(mean, 0)) AS c_value,
+          CASE WHEN n_words = 1 THEN 0 ELSE log2(n / words) - bits END AS pmi
+        FROM f JOIN alone USING (phrase) LEFT JOIN nested USING (phrase), w))"""
+
+
+def phrases(name: str, source: str, key: str, text: str, longest: int, least: int, *needs: str) -> None:
+    made = phrase_table(source, key, text, longest, least)
+    ORACLES[f"{name}_phrases"] = with_(f"""SELECT * FROM (WITH {made}
+      SELECT phrase, n_words, n, {r('c_value', 6)} AS c_value, {r('pmi', 6)} AS pmi, {r('score', 6)} AS score FROM p)""", *needs)
+    ORACLES[f"{name}_ranked_keywords"] = with_(f"""SELECT * FROM (WITH {made},
+      k AS (SELECT id, phrase, row_number() OVER (PARTITION BY id ORDER BY round(score, 6) DESC, phrase) AS place
+            FROM (SELECT DISTINCT id, phrase FROM g) JOIN p USING (phrase) WHERE length(phrase) > 3)
+      SELECT t.id AS {key}, coalesce(string_agg(phrase, ', ' ORDER BY place), 'general') AS keywords
+      FROM t LEFT JOIN k ON t.id = k.id AND place <= 5 GROUP BY t.id)""", *needs)
+
+
+phrases("ticket", "tickets", "ticket_id", "description", 4, 2, "tickets")
+phrases("document", "documents", "doc_id", "text", 3, 3)
 _WORDS = ", ".join(f"({q(w)}, {p}::DOUBLE, {s}::DOUBLE)" for w, (p, s) in LEXICON.items())
 _STRENGTH = ", ".join(f"({q(w)}, {f}::DOUBLE)" for w, f in INTENSIFIERS.items())
 

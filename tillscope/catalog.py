@@ -31,7 +31,7 @@ from tillscope.plans import (
 from tillscope.plans import forecast as series
 from tillscope.sources.csv import read_csv, split_corrupt, write_csv
 from tillscope.sources.lake import scratch_path, stage
-from tillscope.text import sentiment, tickets
+from tillscope.text import phrases, sentiment, tickets
 
 Query = Callable[[Lakehouse], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -466,6 +466,27 @@ def forecast_read(lh):
     return series.forecast_read(lh.forecasts, "revenue")
 
 
+def _lag1(lh):
+    """The forecast with one lag, whose likelihood has its only peak where SQL can find it."""
+    made = forecast.forecast(lh.daily_series, lags=1).drop("created_at")
+    return made.withColumns({x: c.rounded(F.col(x)) for x in ("forecast_value", "lower_bound", "upper_bound")})
+
+
+@query
+def forecast_lag1(lh):
+    return _lag1(lh)
+
+
+@query
+def forecast_lag1_read(lh):
+    return series.forecast_read(_lag1(lh), "revenue")
+
+
+@query
+def forecast_lag1_union(lh):
+    return series.history_plus_forecast(series.daily_history(lh.transactions), _lag1(lh))
+
+
 @query
 def history_plus_forecast(lh):
     return series.history_plus_forecast(series.daily_history(lh.transactions), lh.forecasts)
@@ -647,6 +668,26 @@ def document_rules(lh):
     return tickets.text_rules(lh.given("documents"), ["doc_id"])
 
 
+@query
+def ticket_phrases(lh):
+    return phrases.rounded(lh.ticket_phrases)
+
+
+@query
+def ticket_ranked_keywords(lh):
+    return phrases.keywords(lh.tickets, "ticket_id", lh.ticket_phrases, "description")
+
+
+@query
+def document_phrases(lh):
+    return phrases.rounded(lh.document_phrases)
+
+
+@query
+def document_ranked_keywords(lh):
+    return phrases.keywords(lh.given("documents"), "doc_id", lh.document_phrases, longest=3)
+
+
 @query
 def conversation_sentiment(lh):
     return sentiment.text_sentiment(lh.given("conversations"), ["conv_id", "turn", "role"])

@@ -21,7 +21,7 @@ from tillscope.operators.star import enrich
 from tillscope.plans import silver, transactions, views
 from tillscope.sources.lake import stage, with_audit
 from tillscope.tables import Tables
-from tillscope.text import sentiment, tickets
+from tillscope.text import phrases, sentiment, tickets
 
 # Reference day of all relative windows over the given tables.
 AS_OF = date(2001, 8, 1)
@@ -138,6 +138,14 @@ class Lakehouse:
     def ticket_nlp(self) -> DataFrame:
         return stage(tickets.ticket_nlp(self.tickets), "ticket-nlp")
 
+    @cached_property
+    def ticket_phrases(self) -> DataFrame:
+        return stage(phrases.phrase_table(self.tickets, "description"), "ticket-phrases")
+
+    @cached_property
+    def document_phrases(self) -> DataFrame:
+        return stage(phrases.phrase_table(self.given("documents"), longest=3, least=3), "document-phrases")
+
     @cached_property
     def daily_series(self) -> DataFrame:
         return stage(forecast.daily_series(self.transactions), "daily-series")
