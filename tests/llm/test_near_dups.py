@@ -95,3 +95,14 @@ def test_survivors_and_edges(documents):
     assert near_dups.near_classes(documents([]).limit(0)).collect() == []
     assert near_dups.drop_near(documents([]).limit(0)).collect() == []
     assert near_dups.drop_near(documents([(1, None), (2, "")])).count() == 2
+
+
+def test_links_of_rows_repeated_under_one_identifier(documents):
+    """Repeated rows, also without identifier, count once each: with near copies and among themselves."""
+    base = [f"w{k}" for k in range(60)]
+    a, b, c = " ".join(base), " ".join([*base[:59], "x"]), " ".join(["y", *base[1:]])
+    rows = [(1, a), (1, a), (1, a), (2, b), (None, c), (None, c), (3, b), (4, "other text")]
+    links, roots = plain([(i, t) for i, t in rows])
+    got = near_dups.near_classes(documents(rows).repartition(3)).collect()
+    want = sorted((str(i), n, roots.count(r)) for (i, _), n, r in zip(rows, links, roots))
+    assert sorted((str(r.doc_id), r.n_links, r.class_size) for r in got) == want

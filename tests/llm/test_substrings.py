@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 
-from tillscope.llm import substrings
+from tillscope.llm import common, substrings
 
 
 def plain(texts, window):
@@ -80,3 +80,14 @@ def test_empty_and_repeated_rows(documents):
     text = " ".join(map(str, range(40)))
     got = substrings.remove_repeats(documents([(1, text), (1, text), (None, "a b")])).collect()
     assert sorted(r.n_removed for r in got) == [0, 40, 40]
+
+
+def test_texts_whose_keys_collide(documents, monkeypatch):
+    """All texts share 64 bits: marks of one still never reach another."""
+    monkeypatch.setattr(common, "content_key", lambda *columns: common.F.lit(7).cast("long"))
+    texts = corpus(8, 8)
+    got = substrings.remove_repeats(documents(list(enumerate(texts))).repartition(5), window=8).collect()
+    want = plain(texts, 8)
+    assert len(got) == len(texts)
+    for r in got:
+        assert (r.n_words, r.n_removed, r.kept_sha256) == want[r.doc_id], r.doc_id

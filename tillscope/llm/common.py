@@ -32,6 +32,37 @@ def numbered(df: DataFrame, name: str, *columns: Column | str) -> DataFrame:
     return stage(df.select(F.monotonically_increasing_id().alias("_rid"), *columns), name)
 
 
+def content_key(*columns: Column) -> Column:
+    """64 bits that equal contents share."""
+    return F.xxhash64(*columns)
+
+
+def keyed_by_content(df: DataFrame, name: str, *columns: Column) -> DataFrame:
+    """``df`` with a number ``name`` that rows share if, and but for 128-bit chance only if, ``columns`` are equal.
+
+    Contents that share 64 bits but not another 64 are found by one aggregation of these
+    numbers, and get their key from both hashes.
+    """
+    key, proof = content_key(*columns), F.xxhash64(F.lit(1), *columns)
+    clash = (
+        df.select(key.alias("_key"), proof.alias("_proof"))
+        .groupBy("_key")
+        .agg(F.min("_proof").alias("_least"), F.max("_proof").alias("_most"))
+        .where("_least != _most")
+        .select("_key")
+    )
+    clash = stage(clash, "clashes")
+    if clash.isEmpty():
+        return df.withColumn(name, key)
+    told_apart = F.when(F.col("_clash").isNotNull(), F.xxhash64(F.lit(2), key, proof)).otherwise(key)
+    return (
+        df.withColumn("_key", key)
+        .join(clash.withColumn("_clash", F.lit(True)), "_key", "left")
+        .withColumn(name, told_apart)
+        .drop("_key", "_clash")
+    )
+
+
 def slices(sizes, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive items whose sizes add up to ``most`` at the most; one item may be larger."""
     start = total = 0

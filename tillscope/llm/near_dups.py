@@ -346,7 +346,8 @@ def _classes(rows: DataFrame, words: int, threshold: float, depth: int, recall:
             yield pa.RecordBatch.from_arrays([batch["rep"], pa.array(sets, pa.binary())], ["rep", "set"])
 
     found = texts.join(wanted, texts["tkey"].eqNullSafe(wanted["key"]) & texts["id"].eqNullSafe(wanted["rid_"]))
-    sets = found.select("rep", "text").mapInArrow(to_sets, "rep long, set binary")
+    # Rows repeated under one identifier bring the same set several times.
+    sets = found.select("rep", "text").mapInArrow(to_sets, "rep long, set binary").dropDuplicates(["rep"])
     links = stage(
         needed.join(cells, ["rep", *cell]).join(sets, "rep")
         .select("run", *cell, "rep", "block", "size", "mins", "members", "leaves", "set")
@@ -415,7 +416,11 @@ def drop_near(
     recall: float = 0.999,
     small: int = 128,
 ) -> DataFrame:
-    """One row of ``docs`` per class of ``near_classes``, with all its columns."""
+    """One row of ``docs`` per class of ``near_classes``, with all its columns.
+
+    NULLs, ties and repeated rows go as there: of a class the row with the smallest identifier stays
+    (of equal ones any, NULL last); texts without words all stay. An empty table stays empty.
+    """
     need(docs, id_col, text_col)
     whole = numbered(docs, "numbered", F.struct("*").alias("_row"))
     rows = whole.select(

@@ -18,10 +18,10 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillscope.llm.common import need, slices
+from tillscope.llm.common import keyed_by_content, need, slices
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _CHARS = 4_000_000
@@ -164,16 +164,13 @@ def _repeated(asks: DataFrame) -> DataFrame:
     return hit.select(places).groupBy("p.key").agg(F.collect_set("p.pos").alias("marks"))
 
 
-def text_key(text_col: str) -> Column:
-    """Equal texts have equal results, so a text's hash stands for the text."""
-    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-
-
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """key, text and id; every join takes all three, so that the texts are shuffled once for all of them."""
-    return docs.select(
-        text_key(text_col).alias("key"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id")
-    )
+    """key, text and id; every join takes all three, so that the texts are shuffled once for all of them.
+
+    Equal texts have equal results, so a number that they share stands for the text.
+    """
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
+    return keyed_by_content(rows, "key", F.coalesce("text", F.lit(""))).select("key", "text", "id")
 
 
 def repeats(texts: DataFrame, window: int = 35, longest: int | None = None) -> list[tuple[int, DataFrame]]:
