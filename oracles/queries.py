@@ -395,6 +395,31 @@ def phrases(name: str, source: str, key: str, text: str, longest: int, least: in
       FROM t LEFT JOIN k ON t.id = k.id AND place <= 5 GROUP BY t.id)""", *needs)
 
 
+# Word weights from labelled documents; those whose doc_id 5 divides are held out.
+_LEXICON = """w AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '\\p{L}{2,}|[^\\p{L}\\p{N} \\t\\n\\r\\f]+'))) AS word
+  FROM documents),
+l AS (SELECT DISTINCT d.doc_id, quality FROM documents d JOIN labels USING (doc_id) WHERE doc_id % 5 <> 0),
+n AS (
+  SELECT word, count(*) FILTER (WHERE quality = 1) AS n_good, count(*) FILTER (WHERE quality <> 1) AS n_bad
+  FROM w JOIN l USING (doc_id) GROUP BY word),
+x AS (
+  SELECT word, n_good, n_bad, ln((n_good + 1) / (good + size)) - ln((n_bad + 1) / (bad + size)) AS weight
+  FROM n, (SELECT sum(n_good) AS good, sum(n_bad) AS bad, count(*) AS size FROM n) WHERE n_good + n_bad >= 3),
+k AS (SELECT doc_id, count(*) AS n_known, avg(weight) AS mean FROM w JOIN x USING (word) GROUP BY doc_id),
+m AS (
+  SELECT coalesce((avg(mean) FILTER (WHERE quality = 1) + avg(mean) FILTER (WHERE quality <> 1)) / 2, 0) AS middle
+  FROM k JOIN l USING (doc_id)),
+s AS (
+  SELECT doc_id, coalesce(n_known, 0) AS n_known, POLARITY AS polarity
+  FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN k USING (doc_id), m)""".replace(
+    "POLARITY", r("coalesce(mean - middle, 0)", 6))
+ORACLES["quality_lexicon"] = f"WITH {_LEXICON} SELECT word, n_good, n_bad, {r('weight', 6)} AS weight FROM x"
+ORACLES["document_quality_sentiment"] = f"""WITH {_LEXICON} SELECT *,
+  CASE WHEN polarity > 0 THEN 'positive' WHEN polarity < 0 THEN 'negative' ELSE 'neutral' END AS label FROM s"""
+ORACLES["quality_sentiment_agreement"] = f"""WITH {_LEXICON},
+h AS (SELECT polarity > 0 AS said, quality = 1 AS good FROM s JOIN labels USING (doc_id) WHERE doc_id % 5 = 0)
+SELECT good, count(*) AS n, count(*) FILTER (WHERE said = good) AS n_right,
+  {r(pct('count(*) FILTER (WHERE said = good)', 'count(*)'))} AS right_pct FROM h GROUP BY good"""
 phrases("ticket", "tickets", "ticket_id", "description", 4, 2, "tickets")
 phrases("document", "documents", "doc_id", "text", 3, 3)
 _WORDS = ", ".join(f"({q(w)}, {p}::DOUBLE, {s}::DOUBLE)" for w, (p, s) in LEXICON.items())

@@ -31,7 +31,7 @@ from tillscope.plans import (
 from tillscope.plans import forecast as series
 from tillscope.sources.csv import read_csv, split_corrupt, write_csv
 from tillscope.sources.lake import scratch_path, stage
-from tillscope.text import phrases, sentiment, tickets
+from tillscope.text import induced, phrases, sentiment, tickets
 
 Query = Callable[[Lakehouse], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -688,6 +688,25 @@ def document_ranked_keywords(lh):
     return phrases.keywords(lh.given("documents"), "doc_id", lh.document_phrases, longest=3)
 
 
+@query
+def quality_lexicon(lh):
+    return lh.quality_lexicon.withColumn("weight", c.rounded(F.col("weight"), 6))
+
+
+@query
+def document_quality_sentiment(lh):
+    return induced.score(lh.given("documents"), "doc_id", lh.quality_lexicon, lh.quality_midpoint)
+
+
+@query
+def quality_sentiment_agreement(lh):
+    """Held-out documents: how often the score's sign agrees with the label."""
+    held_out = lh.given("labels").where("doc_id % 5 = 0")
+    asked = lh.given("documents").join(held_out.select("doc_id"), "doc_id", "left_semi")
+    scored = induced.score(asked, "doc_id", lh.quality_lexicon, lh.quality_midpoint)
+    return induced.agreement(scored, held_out, "doc_id", F.col("quality") == 1)
+
+
 @query
 def conversation_sentiment(lh):
     return sentiment.text_sentiment(lh.given("conversations"), ["conv_id", "turn", "role"])

@@ -10,6 +10,7 @@ from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillscope import fixtures, schemas
 from tillscope.functions import columns as c
@@ -21,7 +22,7 @@ from tillscope.operators.star import enrich
 from tillscope.plans import silver, transactions, views
 from tillscope.sources.lake import stage, with_audit
 from tillscope.tables import Tables
-from tillscope.text import phrases, sentiment, tickets
+from tillscope.text import induced, phrases, sentiment, tickets
 
 # Reference day of all relative windows over the given tables.
 AS_OF = date(2001, 8, 1)
@@ -146,6 +147,20 @@ class Lakehouse:
     def document_phrases(self) -> DataFrame:
         return stage(phrases.phrase_table(self.given("documents"), longest=3, least=3), "document-phrases")
 
+    @cached_property
+    def _quality_taught(self) -> DataFrame:
+        """The labelled documents whose doc_id no 5 divides."""
+        return self.given("documents").join(self.given("labels").where("doc_id % 5 != 0"), "doc_id")
+
+    @cached_property
+    def quality_lexicon(self) -> DataFrame:
+        return induced.lexicon(self._quality_taught, "doc_id", F.col("quality") == 1)
+
+    @cached_property
+    def quality_midpoint(self) -> DataFrame:
+        good = F.col("quality") == 1
+        return stage(induced.midpoint(self._quality_taught, "doc_id", self.quality_lexicon, good), "quality-midpoint")
+
     @cached_property
     def daily_series(self) -> DataFrame:
         return stage(forecast.daily_series(self.transactions), "daily-series")
