@@ -81,13 +81,11 @@ def duplicates(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
 def _table_report(name: str, df: DataFrame, contract: Contract, tables: dict) -> list[DataFrame]:
     checks = row_checks(contract, df.columns)
     unique = f"unique:{','.join(contract.key)}"
-    # One pass: bad rows are counted along with the rows of each key.
-    by_key = df.groupBy(*contract.key).agg(
-        (F.count(F.lit(1)) - 1).alias(unique), *[F.count_if(bad).alias(rule) for rule, bad in checks.items()]
-    )
-    rules = [unique, *checks]
-    counts = by_key.agg(*[F.coalesce(F.sum(F.col(f"`{rule}`")), F.lit(0)).alias(rule) for rule in rules])
-    parts = [counts.unpivot([], [F.col(f"`{rule}`") for rule in rules], "rule", "violations")]
+    # What a row alone decides is one sum per task; only keys and references need their rows together.
+    counts = df.agg(*[F.count_if(bad).alias(rule) for rule, bad in checks.items()])
+    parts = [duplicates(df, contract.key).select(F.lit(unique).alias("rule"), "violations")]
+    if checks:
+        parts.append(counts.unpivot([], [F.col(f"`{rule}`") for rule in checks], "rule", "violations"))
     for column, target in contract.references.items():
         # Counted per key first: a key moves once, however many rows it has.
         keys = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -97,8 +95,8 @@ def _table_report(name: str, df: DataFrame, contract: Contract, tables: dict) ->
 
 
 def quality_report(tables: Tables, contracts: dict[str, Contract] = CONTRACTS) -> DataFrame:
-    """(rule, table_name, violations). Per table one pass for the row checks and the
-    key, and one anti join per reference."""
+    """(rule, table_name, violations). Per table one pass without a shuffle for the row
+    checks, one count per key, and one anti join per reference."""
     named = dict(tables.items())
     parts = [
         part
