@@ -650,8 +650,8 @@ ORACLES["conversation_rules"] = f"SELECT conv_id, turn, {ruled('text')} FROM con
 ORACLES["role_sentiment"] = f"""SELECT role, sentiment, count(*) AS n, {r('avg(polarity)', 4)} AS avg_polarity
   FROM ({TOLD}) GROUP BY 1, 2"""
 ORACLES["document_terms"] = """SELECT term, count(DISTINCT doc_id) AS documents, count(*) AS occurrences
-  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]{2,}')) AS term FROM documents)
-  GROUP BY 1 ORDER BY documents DESC, term LIMIT 1000"""
+  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}{2,}')) AS term FROM documents)
+  GROUP BY 1"""
 
 
 def fold(key: str) -> str:

@@ -13,8 +13,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.sources.lake import stage
+
 FOLDS = 5
-TERM = "[a-z]{2,}"
+TERM = r"\p{L}{2,}"
 
 
 def held_out(key: str) -> Column:
@@ -65,8 +67,8 @@ def confusion(scored: DataFrame) -> DataFrame:
     return scored.groupBy("held_out", "label", "predicted").agg(F.count(F.lit(1)).alias("n"))
 
 
-def terms(texts: DataFrame, text: str = "text", most: int = 1000) -> DataFrame:
-    """(term, documents, occurrences) of the ``most`` terms that stand in the most texts."""
+def terms(texts: DataFrame, text: str = "text") -> DataFrame:
+    """(term, documents, occurrences) of every term, in any script."""
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), 0)
 
     def counted(array: Column, documents: int) -> Column:
@@ -79,20 +81,24 @@ def terms(texts: DataFrame, text: str = "text", most: int = 1000) -> DataFrame:
         .select(F.explode(both).alias("t"))
         .groupBy("t.term")
         .agg(F.count_if(F.col("t.d") == 1).alias("documents"), F.count_if(F.col("t.d") == 0).alias("occurrences"))
-        .orderBy(F.desc("documents"), "term")
-        .limit(most)
     )
 
 
 def topic_model(
     texts: DataFrame, key: str = "doc_id", text: str = "text", topics: int = 8, rounds: int = 10, vocabulary: int = 2000
 ) -> DataFrame:
-    """(key, topic, weight): latent Dirichlet allocation over all texts, the strongest topic of each."""
+    """(key, topic, weight): latent Dirichlet allocation, the strongest topic of each text.
+
+    Each round draws as many texts as there are, with replacement, so a text is never drawn in
+    ten rounds with a probability of e**-10. Topics rest on the ``vocabulary`` terms that are most
+    frequent; every text gets its topic, one without known terms topic 0 with a weight of 0.
+    """
     words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TERM), 0)
     counted = CountVectorizer(inputCol="w", outputCol="features", vocabSize=vocabulary, minDF=2.0)
     rows = texts.select(key, words.alias("w"))
-    vectors = counted.fit(rows).transform(rows).select(key, "features")
-    model = LDA(k=topics, maxIter=rounds, seed=42).fit(vectors)
+    # Written, so that the rounds do not work from the texts again.
+    vectors = stage(counted.fit(rows).transform(rows).select(key, "features"), "term-vectors")
+    model = LDA(k=topics, maxIter=rounds, seed=42, subsamplingRate=1.0).fit(vectors)
     mix = vector_to_array(F.col("topicDistribution"))
     return model.transform(vectors).select(
         key,
