@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.functions import columns as c
+from tillscope.operators.ordered import with_previous
 from tillscope.plans import views
 from tillscope.sources.lake import stage
 
@@ -67,27 +68,17 @@ def churn_risk_merchants(tx: DataFrame, merchants: DataFrame, as_of: date, days:
 def rapid_repeat_payments(tx: DataFrame, minutes: int = 1440) -> DataFrame:
     """Payments of a customer to the same merchant within ``minutes`` of the one before.
 
-    Every payment looks at the one before, not at all others. A pair that holds
-    much of the data is split by day: the first payment of a day looks at the
-    last one of the pair's earlier days.
+    Every payment looks at the one before, not at all others. A pair that holds much of the
+    data, on one day even, is split into ranges (``operators/ordered.py``).
     """
     pair = ["customer_id", "merchant_id"]
     known = tx.where("customer_id IS NOT NULL AND merchant_id IS NOT NULL").select(
-        "transaction_id", *pair, "timestamp", "amount", c.day().alias("day")
-    )
-    ordered = Window.partitionBy(*pair, "day").orderBy("timestamp", "transaction_id")
-    # One row per pair and day.
-    last = known.groupBy(*pair, "day").agg(F.max("timestamp").alias("last"))
-    carried = last.withColumn(
-        "carried", F.lag("last").over(Window.partitionBy(*pair).orderBy("day"))
-    ).drop("last")
+        "transaction_id", *pair, "timestamp", "amount"
+    )
+    followed = with_previous(known, pair, ["timestamp", "transaction_id"], "timestamp", "previous")
     gap = F.timestamp_diff("SECOND", F.col("previous"), F.col("timestamp"))
-    return (
-        known.join(carried, [*pair, "day"])
-        .withColumn("previous", F.coalesce(F.lag("timestamp").over(ordered), "carried"))
-        .withColumn("gap_minutes", c.rounded(gap / 60))
-        .where(gap <= minutes * 60)
-        .select("transaction_id", *pair, "timestamp", "amount", "gap_minutes")
+    return followed.where(gap <= minutes * 60).select(
+        "transaction_id", *pair, "timestamp", "amount", c.rounded(gap / 60).alias("gap_minutes")
     )
 
 
