@@ -529,6 +529,14 @@ oracle("report_merchants", f"""SELECT merchant_name, category, city, revenue, to
   ORDER BY revenue DESC, merchant_id LIMIT 10""", TX, "merchants")
 
 
+PLACES = {"revenue": "revenue", "success": "coalesce(ok_pct, 0)", "kept": "100 - refund_pct", "honest": "100 - fraud_pct"}
+PLACED = ", ".join(f"percent_rank() OVER (ORDER BY {x}) AS {n}_rank" for n, x in PLACES.items())
+oracle("merchant_percentiles", f"""SELECT merchant_id, {", ".join(f"{r(f'{n}_rank', 4)} AS {n}_rank" for n in PLACES)},
+  CASE WHEN total_txns > 0 THEN {r('40 * revenue_rank + 30 * success_rank + 15 * kept_rank + 15 * honest_rank')} ELSE 0 END AS merchant_score
+  FROM (SELECT p.merchant_id, total_txns, {PLACED}
+    FROM ({PERFORMANCE}) p LEFT JOIN (SELECT merchant_id, {r(pct(n(OK), n()), 4)} AS ok_pct FROM transactions GROUP BY 1) s
+    ON p.merchant_id = s.merchant_id)""", TX, "merchants")
+
 # --------------------------------------------------------------------- outlook
 GROWN = f"""SELECT merchant_id, {MONTH} AS "month", {r(total('amount'))} AS revenue
   FROM transactions WHERE {OK} GROUP BY 1, 2"""
@@ -663,6 +671,30 @@ on_tx("supervised_fraud_split", f"SELECT {fold('transaction_id')} AS held_out, i
 on_tx("supervised_fraud_confusion", f"""SELECT {fold('transaction_id')} AS held_out, is_fraud AS label,
   CAST(CASE WHEN risk_level = 'High' THEN 1 ELSE 0 END AS INTEGER) AS predicted, count(*) AS n FROM transactions GROUP BY 1, 2, 3""")
 
+SCORED = f"""SELECT {fold('transaction_id')} AS held_out, is_fraud AS label, amount AS probability,
+  transaction_hour / 100.0::DOUBLE AS hour FROM transactions"""
+BY_AMOUNT = f"""SELECT held_out, probability AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+  FROM ({SCORED}) GROUP BY 1, 2"""
+on_tx("ranking_given", f"""SELECT held_out, CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives,
+  round(CAST(sum(pos * (2 * (below - neg) + neg)) AS DOUBLE) / nullif(2.0::DOUBLE * sum(pos) * sum(neg), 0), 9) AS auc,
+  round(CAST(sum(pos * (tp::DOUBLE / (tp + fp))) AS DOUBLE) / nullif(sum(pos), 0), 9) AS average_precision
+  FROM (SELECT *, sum(neg) OVER (PARTITION BY held_out ORDER BY s) AS below,
+          sum(pos) OVER (PARTITION BY held_out ORDER BY s DESC) AS tp, sum(neg) OVER (PARTITION BY held_out ORDER BY s DESC) AS fp
+        FROM ({BY_AMOUNT})) GROUP BY 1""")
+on_tx("precision_recall_given", f"""SELECT held_out, hour AS score, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+  round(tp::DOUBLE / (tp + fp), 9) AS "precision",
+  round(tp::DOUBLE / nullif(sum(pos) OVER (PARTITION BY held_out), 0), 9) AS recall
+  FROM (SELECT held_out, hour, pos, sum(pos) OVER down AS tp, sum(neg) OVER down AS fp
+        FROM (SELECT held_out, hour, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+              FROM ({SCORED}) GROUP BY 1, 2) WINDOW down AS (PARTITION BY held_out ORDER BY hour DESC))""")
+# The isotonic fit at i is the largest, over starts a <= i, of the smallest mean of a to b, over ends b >= i.
+on_tx("calibration_given", f"""SELECT * FROM (WITH c AS (SELECT round(hour, 4) AS score, count(*) AS n, count(*) FILTER (WHERE label = 1) AS positives
+    FROM ({SCORED}) GROUP BY 1),
+  u AS (SELECT *, sum(n) OVER (ORDER BY score) AS cn, sum(positives) OVER (ORDER BY score) AS cp FROM c),
+  m AS (SELECT i.score, a.score AS first, min((b.cp - a.cp + a.positives)::DOUBLE / (b.cn - a.cn + a.n)) AS lowest
+    FROM u i JOIN u a ON a.score <= i.score JOIN u b ON b.score >= i.score GROUP BY 1, 2)
+  SELECT u.score, u.n, u.positives, round(max(lowest), 9) AS calibrated FROM u JOIN m ON m.score = u.score GROUP BY 1, 2, 3)""")
+
 # ------------------------------------------------------------------ single lookups
 oracle("transaction_by_id", f"SELECT * FROM ({NAMED}) WHERE transaction_id = 'TXN000000013'", TX, "customers", "merchants")
 oracle("merchant_by_id", f"SELECT * FROM ({DIRECTORY}) WHERE merchant_id = 'MER00001'", TX, "merchants")

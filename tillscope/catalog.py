@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillscope import schemas
 from tillscope.functions import columns as c
 from tillscope.lakehouse import Lakehouse
-from tillscope.models import features, forecast, iforest, supervised
+from tillscope.models import evaluate, features, forecast, iforest, supervised
 from tillscope.models import segments as clusters
 from tillscope.operators import quality
 from tillscope.operators.cleanse import null_orphans
@@ -647,6 +647,11 @@ def churn_risk_merchants(lh):
     return outlook.churn_risk_merchants(lh.transactions, lh.merchants, lh.as_of)
 
 
+@query
+def merchant_percentiles(lh):
+    return gold.merchant_percentiles(stage(views.merchant_rates(lh.transactions, lh.merchants), "merchant-rates"))
+
+
 @query
 def geo_mismatch(lh):
     return outlook.geo_mismatch(lh.transactions, lh.customers)
@@ -766,6 +771,64 @@ def supervised_fraud_confusion(lh):
     return supervised.confusion(rule)
 
 
+def _given_scores(lh):
+    """Rows with a repeatable score of many values and one of few, and the label."""
+    return lh.transactions.select(
+        supervised.held_out("transaction_id").alias("held_out"), F.col("is_fraud").alias("label"),
+        F.col("amount").alias("probability"), (F.col("transaction_hour") / 100).alias("hour"),
+    )
+
+
+@query
+def boosted_fraud(lh):
+    return lh.boosted_fraud
+
+
+@query
+def boosted_fraud_quality(lh):
+    """Ranking figures of the boosted trees on taught and held-out rows."""
+    return evaluate.ranking(lh.boosted_fraud, ["held_out"])
+
+
+@query
+def ranking_given(lh):
+    """Exact AUC and average precision of a given score, the amount."""
+    return evaluate.ranking(_given_scores(lh), ["held_out"])
+
+
+@query
+def precision_recall_given(lh):
+    """Precision and recall at every threshold of a given score."""
+    at = evaluate.curve(_given_scores(lh), ["held_out"], "hour")
+    return at.select(
+        "held_out", "score", "tp", "fp", F.round(F.col("tp") / (F.col("tp") + F.col("fp")), 9).alias("precision"),
+        F.round(F.try_divide("tp", "positives"), 9).alias("recall"),
+    )
+
+
+@query
+def calibration_given(lh):
+    """The calibration table of a given score, the hour."""
+    return evaluate.calibration(_given_scores(lh), "hour").withColumn("calibrated", F.round("calibrated", 9))
+
+
+@query
+def issue_classifier(lh):
+    """The issue type of every ticket from its description."""
+    return supervised.class_classifier(lh.tickets, "issue_type", "ticket_id", "description")
+
+
+@query
+def role_classifier(lh):
+    """Who speaks, for every turn of the conversations."""
+    return lh.spoken_roles
+
+
+@query
+def role_confusion(lh):
+    return lh.spoken_roles.groupBy("fold", "label", "predicted").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ------------------------------------------------------------------ single lookups
 @query
 def transaction_by_id(lh):

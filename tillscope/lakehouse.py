@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillscope import fixtures, schemas
 from tillscope.functions import columns as c
-from tillscope.models import forecast, rules, segments
+from tillscope.models import forecast, rules, segments, supervised
 from tillscope.models.features import FRAUD_FEATURES, fraud_features
 from tillscope.models.iforest import isolation_forest
 from tillscope.operators.count_index import CountIndex
@@ -117,6 +117,17 @@ class Lakehouse:
     def predictions(self) -> DataFrame:
         return stage(isolation_forest(self.features, FRAUD_FEATURES), "fraud-predictions")
 
+    @cached_property
+    def boosted_fraud(self) -> DataFrame:
+        return stage(supervised.boosted_fraud(self.features, self.transactions, FRAUD_FEATURES), "boosted-fraud")
+
+    @cached_property
+    def spoken_roles(self) -> DataFrame:
+        turns = self.given("conversations").select(
+            F.format_string("%s:%s", "conv_id", "turn").alias("turn_id"), "role", "text"
+        )
+        return stage(supervised.class_classifier(turns, "role", "turn_id"), "spoken-roles")
+
     @cached_property
     def customer_summary(self) -> DataFrame:
         return stage(views.customer_summary(self.transactions, self.customers), "customer-summary")

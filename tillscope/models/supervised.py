@@ -6,22 +6,28 @@ A hash of the key decides which rows are held out, so every run splits alike.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import LDA
-from pyspark.ml.feature import CountVectorizer, HashingTF, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, HashingTF, IndexToString, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillscope.models import evaluate
 from tillscope.sources.lake import stage
 
 FOLDS = 5
 TERM = r"\p{L}{2,}"
 
 
+def fold(key: str) -> Column:
+    """0 to 4 by a hash of the key."""
+    return F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint") % FOLDS
+
+
 def held_out(key: str) -> Column:
     """One row in five."""
-    return F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint") % FOLDS == 0
+    return fold(key) == 0
 
 
 def split_counts(df: DataFrame, key: str, label: str) -> DataFrame:
@@ -46,6 +52,57 @@ def supervised_fraud(
     return _scored(steps.fit(rows.where(~held_out(key))), rows, key, "label")
 
 
+def boosted_fraud(
+    features: DataFrame, labels: DataFrame, columns: list[str], key: str = "transaction_id", rounds: int = 20, depth: int = 5
+) -> DataFrame:
+    """(key, label, held_out, probability, predicted): boosted trees on all rows that are not held out.
+
+    Both classes weigh the same in sum, so the rare one is not drowned. Needs rows of both.
+    """
+    known = labels.select(key, F.col("is_fraud").cast("double").alias("label"))
+    assembled = VectorAssembler(inputCols=columns, outputCol="vector").transform(features.join(known, key))
+    # Written: every round reads the rows again.
+    rows = stage(assembled.select(key, "label", "vector"), "fraud-vectors")
+    taught = rows.where(~held_out(key))
+    size = taught.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits")).first()
+    share = size.hits / size.n
+    weight = F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share))
+    trees = GBTClassifier(labelCol="label", featuresCol="vector", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=42)
+    return _scored(trees.fit(taught.withColumn("weight", weight)), rows, key, "label")
+
+
+def class_classifier(
+    texts: DataFrame, label: str, key: str, text: str = "text", width: int = 1 << 14
+) -> DataFrame:
+    """(key, label, fold, predicted, probability, hit, calibrated) of all texts with a label, of any number of classes.
+
+    Multinomial regression on hashed words learns from folds 2 to 4. ``probability`` is that of the
+    predicted class; fold 1 calibrates it by pooling adjacent violators, fold 0 is left to judge both.
+    NULL texts are empty; rows without a label take no part.
+    """
+    rows = texts.where(F.col(label).isNotNull()).select(
+        key, F.col(label).alias("label"), fold(key).cast("int").alias("fold"), F.coalesce(text, F.lit("")).alias("text")
+    )
+    words = Pipeline(
+        stages=[
+            StringIndexer(inputCol="label", outputCol="class", stringOrderType="alphabetAsc"),
+            RegexTokenizer(inputCol="text", outputCol="words", pattern=r"[^\p{L}\p{N}]+"),
+            HashingTF(inputCol="words", outputCol="vector", numFeatures=width, binary=True),
+        ]
+    ).fit(rows)
+    vectors = stage(words.transform(rows).select(key, "label", "fold", "class", "vector"), "text-vectors")
+    fitted = LogisticRegression(labelCol="class", featuresCol="vector", family="multinomial", regParam=0.01, maxIter=30).fit(
+        vectors.where("fold > 1")
+    )
+    named = IndexToString(inputCol="prediction", outputCol="predicted", labels=words.stages[0].labels)
+    scored = named.transform(fitted.transform(vectors)).select(
+        key, "label", "fold", "predicted", F.round(F.array_max(vector_to_array("probability")), 6).alias("probability"),
+        (F.col("label") == F.col("predicted")).cast("int").alias("hit"),
+    )
+    scored = stage(scored, "class-scores")
+    return evaluate.calibrate(scored, evaluate.calibration(scored.where("fold = 1"), label="hit"))
+
+
 def text_classifier(
     texts: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text", width: int = 1 << 14
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillscope.functions import columns as c
+from tillscope.operators.ordered import percent_rank
 from tillscope.plans import views
 from tillscope.sources.lake import stage
 
@@ -100,6 +101,31 @@ def merchant_score(rates: DataFrame) -> DataFrame:
     )
 
 
+def merchant_percentiles(rates: DataFrame) -> DataFrame:
+    """0 to 100 per merchant by its place among all: 40 points for revenue, 30 for successful, 15 for
+    not refunded and 15 for not fraudulent transactions, each times the share of the other merchants
+    that do worse.
+
+    Merchants without transactions score 0 and count among the others. ``rates`` is read several times
+    and should be a written table.
+    """
+    figures = {
+        "revenue": (F.col("revenue"), 40),
+        "success": (F.col("success_pct"), 30),
+        "kept": (100 - F.col("refund_pct"), 15),
+        "honest": (100 - F.col("fraud_pct"), 15),
+    }
+    scored = stage(rates.select("merchant_id", "total_txns", *(x.alias(n) for n, (x, _) in figures.items())), "merchant-figures")
+    for name in figures:
+        scored = scored.join(percent_rank(scored.select(name), [], name, f"{name}_rank"), name, "left")
+    points = sum(most * F.col(f"{name}_rank") for name, (_, most) in figures.items())
+    return scored.select(
+        "merchant_id",
+        *(c.rounded(F.col(f"{name}_rank"), 4).alias(f"{name}_rank") for name in figures),
+        F.when(F.col("total_txns") > 0, c.rounded(points)).otherwise(0.0).alias("merchant_score"),
+    )
+
+
 def agg_merchant_kpis(tx: DataFrame, merchants: DataFrame, as_of: date) -> DataFrame:
     """One snapshot row per merchant, dated ``as_of``. Revenue is that of Success rows."""
     rates = stage(views.merchant_rates(tx, merchants), "merchant-rates")
