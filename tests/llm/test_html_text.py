@@ -1,8 +1,10 @@
 import html
 import random
 import re
+from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tillscope.llm import html_text
 
@@ -81,7 +83,7 @@ def test_odd_markup_and_size(spark):
 
 def test_only_named_attributes_drop():
     def text(page):
-        return "\n".join(t for t, _, drop in html_text.lines(page) if not drop)
+        return "\n".join(html_text.lines(page))
 
     for attributes in (
         'style="overflow:hidden"', 'title="the hidden role"', 'aria-hidden="false"', "data-id=ad", 'data-class="ad"', "href=/x?id=comment-3",
@@ -96,3 +98,57 @@ def test_only_named_attributes_drop():
     assert text('<article class="post has-sidebar ad" id="notice"><p>one</p></article>') == "one"
     assert text("<article hidden><p>one</p></article>") == ""
     assert text('<article><p>so <a href="/blog/hidden-gems">gems</a> and <math><mi>x</mi></math> stay</p></article>') == "so gems and x stay"
+
+
+def test_the_article_is_found_without_its_element(spark, sf):
+    """The given pages with article and main renamed: differencing alone finds nearly all of the text."""
+    df = spark.read.parquet(f"{sf}/pages.parquet")
+    wanted = {r.page_id: r.text.split("\n") for r in html_text.extract(df).collect()}
+    bare = df.withColumn("html", F.regexp_replace("html", r"<(/?)(?:article|main)\b", "<$1div"))
+    got = {r.page_id: r.text.split("\n") for r in html_text.extract(bare).collect()}
+    alike = sum(got[k] == wanted[k] for k in wanted)
+    lost = sum((Counter(wanted[k]) - Counter(got[k])).total() for k in wanted)
+    extra = sum((Counter(got[k]) - Counter(wanted[k])).total() for k in wanted)
+    print(alike, len(wanted), lost, sum(map(len, wanted.values())), extra)
+    assert alike >= 0.9 * len(wanted)
+
+
+def test_a_repeated_sentence_stays_in_the_subtree_of_the_own_ones(spark):
+    def page(k):
+        body = "".join(f"<p>Sentence {i} of story {k} goes on.</p>" for i in range(6))
+        return f"<body><div><div><a>Home</a></div><div><p>Same start.</p>{body}</div><div><p>All rights.</p></div></div></body>"
+
+    got = text_of(spark, (1, "http://h/1", page(1)), (2, "http://h/2", page(2)))
+    for k in (1, 2):
+        assert got[k].split("\n") == ["Same start.", *(f"Sentence {i} of story {k} goes on." for i in range(6))]
+
+
+def test_copies_of_an_article_and_several_articles(spark):
+    same = "<article><p>One story that two pages tell.</p><p>It ends.</p></article>"
+    got = text_of(
+        spark, (1, "http://h/1", f"<body><div>x 1</div>{same}</body>"), (2, "http://h/2", f"<body><div>y 2</div>{same}</body>"),
+        (3, "http://g/1", "<body><div>Site</div><article><p>First tale</p></article><article><p>Second</p></article></body>"),
+        (4, "http://g/2", "<body><div>Site</div><p>Part</p></body>"), (5, "http://g/3", "<body><div>Site</div></body>"),
+    )
+    assert got[1] == got[2] == "One story that two pages tell.\nIt ends."
+    assert got[3] == "First tale\nSecond" and got[4] == "Part" and got[5] == "Site"
+
+
+def test_forms_around_the_page_and_inline_parts():
+    def text(page):
+        return "\n".join(html_text.lines(page))
+
+    assert text('<body><form id="aspnetForm"><article><p>Hello world</p></article></form></body>') == "Hello world"
+    assert text("<body><form><div><p>A long text</p><p>in a form</p></div></form><p>end</p></body>") == "A long text\nin a form\nend"
+    assert text("<p>A text that is longer.</p><form><label>Name</label><input></form>") == "A text that is longer."
+    assert text('<article><p>Body of it</p><form class="search"><p>Find</p></form></article>') == "Body of it"
+    assert text("<p>See <button>copy</button> code</p>") == "See code"
+    assert text('<p>So <span class="ad">buy <div>now</div> this</span> it goes</p><p>on</p>').endswith("on")
+    assert text("<div>a <select><option>b</select> c<p>d <svg><text>e</text></svg></div>f") == "a c\nd\nf"
+
+
+def test_pages_whose_keys_collide(spark, monkeypatch):
+    rows = [(k, f"http://h{k % 3}.org/p/{k}", f"<div>Site {k % 3}</div><div>Body {k}</div><div>Foot</div>") for k in range(30)]
+    wanted = text_of(spark, *rows)
+    monkeypatch.setattr(html_text, "page_key", lambda *_: F.lit(7).cast("long"))
+    assert text_of(spark, *rows, (90, None, "u"), (91, "u", None)) == wanted | {90: "u", 91: ""}

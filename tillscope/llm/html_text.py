@@ -1,11 +1,11 @@
-"""Main text of web pages by structure and by differencing with the page of nearest URL.
-
-A page is cut into lines, one per block. Pages are sorted by host and URL path, and
-each is paired with the neighbour on its host whose path shares more with its own. The
-lines of both outside an article are aligned by a longest common subsequence; lines
-they share belong to the site, not to the page, and are deleted. Lines inside an
-article (or main) element are the page's own even where another page repeats them.
-Menus, forms, adverts, comments and the like go by their elements, roles and classes.
+"""Main text of web pages by differencing with the page of nearest URL.
+
+A page is cut into lines, one per block. Menus, forms, adverts, comments and the like go
+by their elements, roles and classes. Pages are sorted by host and URL path, and each is
+paired with the neighbour on its host whose path shares more with its own. The lines of
+both are aligned by a longest common subsequence; lines they share belong to the site.
+The main text is the subtree that holds the lines which are not shared (``main_part``):
+kept whole where nearly all of it is the page's own, without shared lines elsewhere.
 """
 
 from __future__ import annotations
@@ -86,35 +86,85 @@ def _about(tag: str, attributes: str) -> tuple[bool, bool]:
     return drop, core
 
 
-def lines(page: str) -> list[tuple[str, bool, bool]]:
-    """Blocks of a page in order: text, whether inside an article, whether dropped by structure."""
-    out: list[tuple[str, bool, bool]] = []
+class Page:
+    """A page's blocks in order and the tree of elements that hold them.
+
+    ``text`` and ``node`` are per block; ``parent``, ``core`` and ``drop`` per element, element 0 being the
+    whole page and ``core`` an article's own mark. Blocks dropped by structure are left out by ``kept``.
+    """
+
+    def __init__(self):
+        self.text, self.node = [], []
+        self.parent, self.core, self.drop, self.form = [-1], [False], [False], [False]
+
+    def add(self, parent: int, core: bool, drop: bool, form: bool) -> int:
+        for column, value in zip((self.parent, self.core, self.drop, self.form), (parent, core, drop, form)):
+            column.append(value)
+        return len(self.parent) - 1
+
+    def open_forms(self, at: int) -> None:
+        """Forms around an article are frames of the page, not parts of it."""
+        while at > 0:
+            self.drop[at] = self.drop[at] and not self.form[at]
+            at = self.parent[at]
+
+    def gone(self) -> list[bool]:
+        """Per element whether it or one around it is dropped."""
+        out: list[bool] = []
+        for parent, drop in zip(self.parent, self.drop):
+            out.append(drop or parent >= 0 and out[parent])
+        return out
+
+    def kept(self) -> list[int]:
+        """Blocks that are not dropped. A form that holds most of what would be left without forms stays."""
+        if any(f and d for f, d in zip(self.form, self.drop)):
+            without = Page()
+            without.parent, without.drop = self.parent, [d and not f for d, f in zip(self.drop, self.form)]
+            out = without.gone()
+            chars = [0] * len(out)
+            for t, n in zip(self.text, self.node):
+                chars[n] += 0 if out[n] else len(t)
+            for n in range(len(chars) - 1, 0, -1):
+                chars[self.parent[n]] += chars[n]
+            self.drop = [d and not (f and 2 * c > chars[0]) for d, f, c in zip(self.drop, self.form, chars)]
+        gone = self.gone()
+        return [k for k, n in enumerate(self.node) if not gone[n]]
+
+
+def read_page(page: str) -> Page:
+    """Blocks and elements of a page. What a dropped inline element holds is cut out of the block around it."""
+    out = Page()
     held: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, dropped, core
-    dropped = cores = at = 0
-    low = page
+    stack: list[tuple[str, int, bool, list[str] | None]] = []  # element, node, whether it ends a block, text held around it
+    nodes, at, cores = [0], 0, 0
 
     def flush():
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append((text, cores > 0, dropped > 0))
+                out.text.append(text)
+                out.node.append(nodes[-1])
 
     def pop_to(k: int):
-        nonlocal dropped, cores
-        for _, d, c in stack[k:]:
-            dropped -= d
-            cores -= c
-        del stack[k:]
-
-    while at < len(low):
-        m = TAG.search(low, at)
+        nonlocal cores
+        while len(stack) > k:
+            _, node, ends, around = stack.pop()
+            if ends:
+                flush()
+            if around is not None:
+                held[:] = around
+            if node:
+                nodes.pop()
+                cores -= out.core[node]
+
+    while at < len(page):
+        m = TAG.search(page, at)
         if m is None:
-            held.append(low[at:])
+            held.append(page[at:])
             break
         if m.start() > at:
-            held.append(low[at : m.start()])
+            held.append(page[at : m.start()])
         at = m.end()
         if m[2] is None:
             continue
@@ -124,8 +174,6 @@ def lines(page: str) -> list[tuple[str, bool, bool]]:
                 flush()
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    if any(x[1] or x[2] for x in stack[k:]):
-                        flush()
                     pop_to(k)
                     break
                 if tag not in BLOCK and stack[k][0] in SCOPE:
@@ -136,12 +184,12 @@ def lines(page: str) -> list[tuple[str, bool, bool]]:
             continue
         raw = RAW.get(tag)
         if raw is not None:
-            at = raw.search(low, at).end()
+            at = raw.search(page, at).end()
             continue
         about = m[3]
         drop, core = _about(tag, about) if about and TELLING.search(about) else (False, False)
-        if tag in BLOCK:
-            flush()
+        block = tag in BLOCK
+        if block:
             ends = AUTO_CLOSE.get(tag, ()) or ({"p"} if tag in _CLOSES_P else ())
             if tag in _CLOSES_P:
                 ends = {*ends, "p"}
@@ -151,21 +199,36 @@ def lines(page: str) -> list[tuple[str, bool, bool]]:
                     break
                 if stack[k][0] in SCOPE and stack[k][0] not in ends:
                     break
+            flush()
         core = core or tag in CORE
+        form = tag == "form" and not drop
         drop = drop and tag not in ("html", "body", "main") or tag in DROPPED or tag == "header" and not cores
-        if tag in VOID:
+        if tag in VOID or m[3].endswith("/") and tag in DROPPED:
             continue
-        if drop or core:
+        around = None
+        if core and not block:
             flush()
-        if m[3].endswith("/") and tag in DROPPED:
-            continue
-        stack.append((tag, drop, core))
-        dropped += drop
-        cores += core
+        elif drop and not block:
+            around, held[:] = held[:], []
+        node = 0
+        if drop or core or block and tag not in ("html", "body"):
+            node = out.add(nodes[-1], core, drop, form)
+            nodes.append(node)
+            cores += core
+            if core:
+                out.open_forms(node)
+        stack.append((tag, node, block or core, around))
+    pop_to(0)
     flush()
     return out
 
 
+def lines(page: str) -> list[str]:
+    """Blocks of a page that structure does not drop, in order."""
+    found = read_page(page)
+    return [found.text[k] for k in found.kept()]
+
+
 def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     row = np.zeros(len(b) + 1, np.int32)
     for x in a:
@@ -195,6 +258,10 @@ def common(a: np.ndarray, b: np.ndarray, at: int = 0) -> list[int]:
     return first + middle + last
 
 
+#: The first hash of a page; tests make it collide.
+page_key = F.xxhash64
+
+
 def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
@@ -211,36 +278,97 @@ def shared_lines(own: np.ndarray, other: np.ndarray) -> list[int]:
     return some[common(own[some], other[[x in mine for x in other.tolist()]])].tolist()
 
 
-def assemble(found: list[tuple[str, bool, bool]], deleted: list[int]) -> str:
-    """The article's lines, or without an article those that are neither dropped nor deleted."""
-    return unpack(pack(found), deleted)
-
-
-def pack(found: list[tuple[str, bool, bool]]) -> bytes:
-    """What a page's text is made of: the article, or the lines outside with a mark for dropped ones."""
-    text = [t for t, core, drop in found if core and not drop]
-    if text:
-        return b"\x01" + "\n".join(text).encode()
-    return b"\x00" + "\n".join("-+"[drop] + t for t, core, drop in found if not core).encode()
-
-
-def unpack(packed: bytes, deleted: list[int]) -> str:
-    """The text of a packed page without its deleted lines."""
-    body = packed[1:].decode()
-    if packed[0] or not body:
-        return body
-    gone = set(deleted)
-    return "\n".join(t[1:] for k, t in enumerate(body.split("\n")) if t[0] == "-" and k not in gone)
+def pack(found: Page) -> tuple[list[str], bytes]:
+    """The blocks that structure leaves, and they and their elements as bytes."""
+    kept = found.kept()
+    text = [found.text[k] for k in kept]
+    parent, core = np.array(found.parent), np.array(found.core)
+    used = np.zeros(len(parent), bool)
+    for n in {0, *(found.node[k] for k in kept)}:
+        while n >= 0 and not used[n]:
+            used[n] = True
+            n = parent[n]
+    name = np.cumsum(used) - 1
+    node = name[[found.node[k] for k in kept]] if kept else np.zeros(0)
+    up = np.arange(1, used.sum()) - name[parent[used][1:]]  # distance to the element around it
+    head = np.array([len(text), used.sum()], np.int32)
+    arrays = (head, np.diff(node, prepend=0).astype(np.int32), up.astype(np.int32), core[used].astype(np.uint8))
+    return text, b"".join(x.tobytes() for x in arrays) + "\n".join(text).encode("utf-8", "surrogatepass")
+
+
+def unpack(packed: bytes, shared: list[int]) -> str:
+    """The main text of a packed page, given the blocks that its neighbour has too."""
+    n, size = np.frombuffer(packed, np.int32, 2)
+    if not n:
+        return ""
+    node = np.cumsum(np.frombuffer(packed, np.int32, n, 8))
+    up = np.frombuffer(packed, np.int32, size - 1, 8 + 4 * n)
+    core = np.frombuffer(packed, np.uint8, size, 8 + 4 * (n + size - 1)).astype(bool)
+    text = packed[8 + 4 * (n + size - 1) + size :].decode("utf-8", "surrogatepass").split("\n")
+    own = np.ones(n, bool)
+    own[shared] = False
+    parent = np.concatenate(([-1], np.arange(1, size) - up)).astype(int)
+    return "\n".join(text[k] for k in main_part(np.array([len(t) for t in text]), own, node, parent, core))
+
+
+#: A subtree with this share of a page's own text is gone into; one with the only article needs ``LIKELY``.
+CONCENTRATED, LIKELY = 0.9, 0.5
+#: A subtree whose text is the page's own to this share is kept whole, with the sentences that others have too.
+OWN = 0.75
+#: What a character tells: the page's own inside an article, shared inside an article, own outside.
+IN_ARTICLE, SHARED_IN_ARTICLE, OUTSIDE = 4, 1, 1
+
+
+def main_part(chars: np.ndarray, own: np.ndarray, node: np.ndarray, parent: np.ndarray, core: np.ndarray) -> list[int]:
+    """Blocks of the main text: those of the subtree that holds what the neighbour lacks.
+
+    From the whole page it goes into the child that holds nearly all of the page's own text, as long as there
+    is one with children of its own. Article elements are evidence: their text weighs more, and an only one
+    needs less. An article is kept whole, any other subtree if most of it is the page's own; else
+    shared blocks are deleted. Of several articles side by side all are kept.
+    """
+    if not own.any():
+        own = np.ones(len(own), bool)
+    size = len(parent)
+    inside = core.copy()  # in an article
+    for n in range(1, size):
+        inside[n] |= inside[parent[n]]
+    weight = chars * np.where(inside[node], np.where(own, IN_ARTICLE, SHARED_IN_ARTICLE), np.where(own, OUTSIDE, 0))
+    whole = np.bincount(node, weight, size)
+    article = np.bincount(node, weight * inside[node], size)
+    children: list[list[int]] = [[] for _ in range(size)]
+    for n in range(size - 1, 0, -1):
+        whole[parent[n]] += whole[n]
+        article[parent[n]] += article[n]
+        children[parent[n]].append(n)
+    at = 0
+    while not core[at] and children[at]:
+        best = max(children[at], key=lambda n: (whole[n], -n))
+        alone = article[best] > 0 and article[best] == article[at]
+        if not (children[best] or core[best]) or whole[best] < (LIKELY if alone else CONCENTRATED) * whole[at] or not whole[best]:
+            break
+        at = best
+    under = np.zeros(size, bool)
+    under[at] = True
+    for n in range(at + 1, size):
+        under[n] = under[parent[n]]
+    here = under[node]
+    if not core[at]:
+        if article[at] and article[at] >= LIKELY * whole[at]:
+            here = here & inside[node]
+        elif not at or chars[here & own].sum() < OWN * chars[here].sum():
+            here = here & own
+    return np.flatnonzero(here).tolist()
 
 
 def _neighbours(pages: DataFrame) -> DataFrame:
-    """``pages`` (key, host, path, hashes) with the partner's ``other`` hashes; without a partner a row has none.
+    """``pages`` (key, twin, host, path, hashes) with the partner's ``other`` hashes; without a partner a row has none.
 
     Range partitions of the sorted pages are written; neighbours come from a window in
     each, and across the ends from the last and first pages of the partitions, of which
     there are as many as partitions. So a host may have any share of all pages.
     """
-    order = ["host", "path", "key"]
+    order = ["host", "path", "key", "twin"]
     parts = stage(
         pages.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()), "pages"
     )
@@ -263,10 +391,10 @@ def _neighbours(pages: DataFrame) -> DataFrame:
 
         return F.when(side["host"] == F.col("host"), shared(F.col("path"), side["path"])).otherwise(-1)
 
-    marked = both.select("key", "hashes", before.alias("b"), after.alias("a"), "host", "path")
+    marked = both.select("key", "twin", "hashes", before.alias("b"), after.alias("a"), "host", "path")
     marked = marked.withColumn("nb", near(F.col("b"))).withColumn("na", near(F.col("a")))
     other = F.when((F.col("nb") >= F.col("na")) & (F.col("nb") >= 0), F.col("b.hashes")).when(F.col("na") >= 0, F.col("a.hashes"))
-    return marked.select("key", "hashes", other.alias("other"))
+    return marked.select("key", "twin", "hashes", other.alias("other"))
 
 
 def extract(
@@ -275,17 +403,19 @@ def extract(
     """Per row of ``pages``: identifier, URL, ``text``, ``n_chars``, ``n_shared``.
 
     Lines are joined by one line feed; white space in a line is one space. ``n_shared``
-    counts lines outside the article that the page of nearest URL has too. NULL html is
-    empty and has an empty text; pages without a host have no partner; rows repeated
-    are one page for the pairing. An empty table gives an empty result; other columns
-    are not read.
+    counts the lines, dropped ones apart, that the page of nearest URL has too; where it has all,
+    they are alike and nothing is deleted. NULL html is empty and has an empty text; pages without
+    a host have no partner; rows repeated are one page for the pairing. An empty table gives an
+    empty result; other columns are not read.
     """
     need(pages, id_col, url_col, html_col)
     parts = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)"
     url, page = F.col(url_col).cast("string"), F.coalesce(F.col(html_col).cast("string"), F.lit(""))
     host = F.lower(F.regexp_extract(url, parts, 1))
+    told = [x for c in (id_col, url_col, html_col) for x in (F.col(c), F.col(c).isNull())]
+    # Two hashes of different seeds name a page: 128 bits.
     rows = pages.select(
-        F.xxhash64(F.col(id_col), F.col(url_col), F.col(html_col)).alias("key"), F.col(id_col).alias("id"),
+        page_key(*told).alias("key"), F.xxhash64(F.lit("twin"), *told).alias("twin"), F.col(id_col).alias("id"),
         url.alias("url"), F.when(host != "", host).alias("host"), F.regexp_extract(url, parts, 2).alias("path"),
         page.alias("html"),
     )
@@ -295,31 +425,32 @@ def extract(
         for batch in batches:
             hashes, packed = [], []
             for p in batch["html"]:
-                found = lines(p.as_py())
-                hashes.append([_hash(t) for t, core, _ in found if not core])
-                packed.append(zlib.compress(pack(found)))
-            names = ["key", "id", "url", "host", "path"]
+                text, whole = pack(read_page(p.as_py()))
+                hashes.append([_hash(t) for t in text])
+                packed.append(zlib.compress(whole))
+            names = ["key", "twin", "id", "url", "host", "path"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[n] for n in names), pa.array(hashes, pa.list_(pa.int64())), pa.array(packed, pa.binary())],
                 [*names, "hashes", "packed"],
             )
 
     # Every page is parsed once; its lines travel compressed.
-    made = f"key long, id {kind}, url string, host string, path string, hashes array<long>, packed binary"
+    made = f"key long, twin long, id {kind}, url string, host string, path string, hashes array<long>, packed binary"
     table = stage(rows.mapInArrow(read, made), "lines")
 
     def align(batches):
         for batch in batches:
-            keys, places = [], []
-            for key, own, other in zip(batch["key"].to_pylist(), batch["hashes"], batch["other"]):
+            keys, twins, places = [], [], []
+            for key, twin, own, other in zip(batch["key"].to_pylist(), batch["twin"].to_pylist(), batch["hashes"], batch["other"]):
                 if other.is_valid and (same := shared_lines(own.values.to_numpy(), other.values.to_numpy())):
-                    keys.append(key), places.append(same)
+                    keys.append(key), twins.append(twin), places.append(same)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(places, pa.list_(pa.int32()))], ["key", "shared"]
+                [pa.array(keys, pa.int64()), pa.array(twins, pa.int64()), pa.array(places, pa.list_(pa.int32()))],
+                ["key", "twin", "shared"],
             )
 
-    light = table.select("key", "host", "path", "hashes").dropDuplicates(["key"])
-    shared = _neighbours(light).mapInArrow(align, "key long, shared array<int>")
+    light = table.select("key", "twin", "host", "path", "hashes").dropDuplicates(["key", "twin"])
+    shared = _neighbours(light).mapInArrow(align, "key long, twin long, shared array<int>")
 
     def whole(batches):
         for batch in batches:
@@ -331,7 +462,7 @@ def extract(
             )
 
     return (
-        table.select("key", "id", "url", "packed").join(shared, "key", "left")
+        table.select("key", "twin", "id", "url", "packed").join(shared, ["key", "twin"], "left")
         .mapInArrow(whole, f"id {kind}, url string, text string, n_chars long, n_shared int")
         .withColumnsRenamed({"id": id_col, "url": url_col})
     )
