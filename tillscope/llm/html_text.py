@@ -369,9 +369,9 @@ def _neighbours(pages: DataFrame) -> DataFrame:
     there are as many as partitions. So a host may have any share of all pages.
     """
     order = ["host", "path", "key", "twin"]
-    parts = stage(
-        pages.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()), "pages"
-    )
+    # Repeated rows lie in one range, so that dropping them needs no further shuffle.
+    parts = pages.repartitionByRange(*order).dropDuplicates(order).withColumn("_part", F.spark_partition_id())
+    parts = stage(parts, "pages")
     page = F.struct("host", "path", "hashes")
     w = Window.partitionBy("_part").orderBy(*order)
     rank = F.struct(*order)
@@ -449,7 +449,7 @@ def extract(
                 ["key", "twin", "shared"],
             )
 
-    light = table.select("key", "twin", "host", "path", "hashes").dropDuplicates(["key", "twin"])
+    light = table.select("key", "twin", "host", "path", "hashes")
     shared = _neighbours(light).mapInArrow(align, "key long, twin long, shared array<int>")
 
     def whole(batches):
