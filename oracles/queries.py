@@ -671,6 +671,12 @@ on_tx("supervised_fraud_split", f"SELECT {fold('transaction_id')} AS held_out, i
 on_tx("supervised_fraud_confusion", f"""SELECT {fold('transaction_id')} AS held_out, is_fraud AS label,
   CAST(CASE WHEN risk_level = 'High' THEN 1 ELSE 0 END AS INTEGER) AS predicted, count(*) AS n FROM transactions GROUP BY 1, 2, 3""")
 
+for name, key_, other, alias in (("merchants", "merchant_id", "customer_id", "unique_customers"),
+                                 ("customers", "customer_id", "merchant_id", "unique_merchants")):
+    on_tx(f"refreshed_{name}", f"""SELECT {key_}, {n()} AS total_txns, {r(f"coalesce({total('amount', OK)}, 0)")} AS revenue,
+      count(DISTINCT {other}) AS {alias}, {r(pct(n(OK), n()), 4)} AS success_pct, {r(pct(n(BACK), n()), 4)} AS refund_pct,
+      {r(pct(n(HIT), n()), 4)} AS fraud_pct, max("timestamp") AS last_txn FROM transactions GROUP BY 1""")
+
 SCORED = f"""SELECT {fold('transaction_id')} AS held_out, is_fraud AS label, amount AS probability,
   transaction_hour / 100.0::DOUBLE AS hour FROM transactions"""
 BY_AMOUNT = f"""SELECT held_out, probability AS s, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg

@@ -13,7 +13,7 @@ from tillscope.functions import columns as c
 from tillscope.lakehouse import Lakehouse
 from tillscope.models import evaluate, features, forecast, iforest, supervised
 from tillscope.models import segments as clusters
-from tillscope.operators import quality
+from tillscope.operators import pair_months, quality
 from tillscope.operators.cleanse import null_orphans
 from tillscope.plans import (
     customers,
@@ -652,6 +652,17 @@ def merchant_percentiles(lh):
     return gold.merchant_percentiles(stage(views.merchant_rates(lh.transactions, lh.merchants), "merchant-rates"))
 
 
+@query
+def refreshed_merchants(lh):
+    """Merchant figures from stored counts after a refresh of the months that had other rows before."""
+    return pair_months.merchants(lh.refreshed_pairs)
+
+
+@query
+def refreshed_customers(lh):
+    return pair_months.customers(lh.refreshed_pairs)
+
+
 @query
 def geo_mismatch(lh):
     return outlook.geo_mismatch(lh.transactions, lh.customers)

@@ -17,10 +17,11 @@ from tillscope.functions import columns as c
 from tillscope.models import forecast, rules, segments, supervised
 from tillscope.models.features import FRAUD_FEATURES, fraud_features
 from tillscope.models.iforest import isolation_forest
+from tillscope.operators import pair_months
 from tillscope.operators.count_index import CountIndex
 from tillscope.operators.star import enrich
 from tillscope.plans import silver, transactions, views
-from tillscope.sources.lake import stage, with_audit
+from tillscope.sources.lake import scratch_path, stage, with_audit
 from tillscope.tables import Tables
 from tillscope.text import induced, phrases, sentiment, tickets
 
@@ -128,6 +129,16 @@ class Lakehouse:
         )
         return stage(supervised.class_classifier(turns, "role", "turn_id"), "spoken-roles")
 
+    @cached_property
+    def refreshed_pairs(self) -> DataFrame:
+        """Counts stored when the last two years lacked their refunds, and refreshed for those months."""
+        late = F.year("txn_month") >= self.as_of.year - 2
+        path = scratch_path(self.spark, "pair-months")
+        pair_months.refresh(self.transactions.where(~(late & c.refunded())), path)
+        months = self.transactions.where(late).select("txn_month").distinct().collect()  # of the calendar
+        pair_months.refresh(self.transactions, path, [r.txn_month for r in months])
+        return pair_months.stored(self.spark, path)
+
     @cached_property
     def customer_summary(self) -> DataFrame:
         return stage(views.customer_summary(self.transactions, self.customers), "customer-summary")
