@@ -60,3 +60,10 @@ def test_few_rows(spark):
     two = table(spark, [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (3, [1.0, 1.0])])
     (row,) = neighbours.nearest(two, F.col("vec_id") % 50 == 0).collect()
     assert (row.rank, row.vec_id) == (1, 3) and abs(row.score - 0.5**0.5) < 1e-15
+
+
+def test_very_long_and_very_short_vectors(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e300, 0.0]), (2, [3e-200, 4e-200]), (3, [1e-310, 1e-310]), (4, [-1e308, 1e308])]
+    got = neighbours.nearest(table(spark, rows), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [3, 2, 1, 4]
+    assert np.allclose([r.score for r in got], [1, 1.4 / 2**0.5, 0.5**0.5, 0], rtol=0, atol=1e-12)

@@ -28,6 +28,14 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & F.forall(vector, finite) & F.exists(vector, lambda x: x != 0)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times the power of two that brings each one's largest part to between a half and one.
+
+    That rounds nothing, and squares neither overflow nor vanish.
+    """
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+
+
 def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """int8 values of unit vectors, the step of each, and the length of what rounding took away."""
     step = np.abs(unit).max(axis=1) / 127
@@ -49,6 +57,7 @@ def tile(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, step: int = 64
 ) -> list[tuple[int, int, float]]:
     """The k nearest rows of each query: (query id, id, cosine)."""
+    queries, rows = scaled(queries), scaled(rows)
     norm_q, norm = np.sqrt((queries * queries).sum(axis=1)), np.sqrt((rows * rows).sum(axis=1))
     right = quantised(rows / norm[:, None])
     out = []
