@@ -64,9 +64,36 @@ def test_large_buckets_are_split_and_cut_into_blocks(documents, monkeypatch):
 
 
 def test_runs_reach_the_recall():
+    alive = near_dups.survival(0.8)
+    assert abs(alive - (1 - (1 - 0.8 * alive) ** near_dups.fan_for(0.8))) < 1e-9 and 0.93 < alive < 0.95
     for depth in (1, 2, 3):
         runs = near_dups.runs_for(0.8, depth, 0.999)
-        assert 1 - (1 - 0.8**depth) ** runs >= 0.999 > 1 - (1 - 0.8**depth) ** (runs - 1)
+        met = 0.8**depth * alive
+        assert 1 - (1 - met) ** runs >= 0.999 > 1 - (1 - met) ** (runs - 1)
+
+
+def test_shared_boilerplate_is_split_on(documents, monkeypatch):
+    """Texts that share a passage, but are not near each other, are split on; their links stay exact.
+
+    Ending at the third level leaves buckets of 1,800 texts and 4 million comparisons here."""
+    rng = random.Random(5)
+    passage = " ".join(f"b{k}" for k in range(40))
+    own = [[f"w{rng.randrange(10**6)}" for _ in range(60)] for _ in range(12_000)]
+    near = [[*w[:30], "changed", *w[31:]] for w in own[:300]]
+    rows = [(i, f"{passage} {' '.join(w)}") for i, w in enumerate([*own, *near])]
+    seen, kept = [], near_dups._leaves
+
+    def watched(*args):
+        seen.append(kept(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(near_dups, "_leaves", watched)
+    got = {r.doc_id: (r.n_links, r.class_id) for r in near_dups.near_classes(documents(rows).repartition(8)).collect()}
+    want = {i: (0, i) for i in range(12_000)} | {i: (1, i) for i in range(300)} | {12_000 + i: (1, i) for i in range(300)}
+    assert got == want
+    sizes = [r.n for r in seen[0].select("path", "n").distinct().collect()]
+    assert max(sizes) <= 512
+    assert sum(n * n for n in sizes) < 20 * len(rows)
 
 
 def test_components(spark):

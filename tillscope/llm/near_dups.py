@@ -3,13 +3,19 @@
 Sets are split recursively on sampled shared tokens. In run r at level l every set
 follows its token of smallest hash under the pair's hash function, so two sets of
 similarity J go the same way with probability J. Buckets of at most ``small`` sets are
-compared by brute force; larger ones are split on the next token, down to ``depth``.
-Runs are repeated until a pair at the threshold is met with the target recall even if
-all its buckets go to full depth: 1 - (1 - threshold ** depth) ** runs.
-
-Buckets that are still large at full depth are compared whole as well, cut into blocks,
-one task group per pair of blocks, so nothing is capped. A pair is looked at in the
-first run alone in which it meets. The agreement of the sampled tokens screens pairs;
+compared by brute force; larger ones are split on the next token.
+
+The first ``depth`` levels follow one token each. A bucket that is still large follows
+``fan`` tokens, each into buckets of its own, and so on, so a pair lives on with a
+probability that no number of further levels brings below ``survival``. Splitting ends
+where it would not save comparisons, that is where the sets of a bucket are near each
+other, or where no token is left. Runs are repeated until a pair at the threshold is met
+with the target recall even if all its buckets go down without end:
+1 - (1 - threshold ** depth * survival) ** runs.
+
+Buckets that cannot be split with gain are compared whole, cut into blocks, one task
+group per pair of blocks, so nothing is capped. A pair is looked at in the least path
+alone in which it meets. The agreement of the sampled tokens screens pairs;
 the sets of those left are fetched and compared exactly. What leaves a block is one row
 per set, its number of links and the smallest set it is connected with, never the pairs.
 """
@@ -30,6 +36,7 @@ from tillscope.sources.lake import stage
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _CHARS = 2_000_000
 _BLOCK = 256
+_GAIN = 0.9  # a bucket is split when its parts together need at most this share of its comparisons
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -55,8 +62,21 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(_mixed(out))
 
 
+def fan_for(threshold: float) -> int:
+    """Tokens followed per level beyond the first ones: enough that a pair at ``threshold`` does not die out."""
+    return math.ceil(1.5 / threshold)
+
+
+def survival(threshold: float) -> float:
+    """Least probability that a pair lives on however many levels follow ``fan_for`` tokens."""
+    alive, fan = 1.0, fan_for(threshold)
+    for _ in range(1_000):
+        alive = 1 - (1 - threshold * alive) ** fan
+    return alive
+
+
 def runs_for(threshold: float, depth: int, recall: float) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth))
+    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth * survival(threshold)))
 
 
 def _sketcher(words: int, hashes: int):
@@ -97,7 +117,7 @@ def _sketcher(words: int, hashes: int):
     return run
 
 
-def _cells(fn, hashes: int, runs: int):
+def _cells(fn, hashes: int):
     """Apply ``fn`` to each run of rows of one cell (path, low, high); the rows come sorted by cell."""
 
     def emit(table: pa.Table, out: list):
@@ -108,15 +128,17 @@ def _cells(fn, hashes: int, runs: int):
             change[1:] |= k[1:] != k[:-1]
         cuts = np.append(np.flatnonzero(change), len(change))
         flat = table.combine_chunks()
-        cols = {
-            "mins": pa.compute.list_flatten(flat["mins"]).to_numpy().reshape(-1, hashes),
-            "leaves": pa.compute.list_flatten(flat["leaves"]).to_numpy().reshape(-1, runs),
-        }
+        cols = {"mins": pa.compute.list_flatten(flat["mins"]).to_numpy().reshape(-1, hashes)}
+        leaf = pa.compute.list_flatten(flat["leaves"]).to_numpy()
+        ends = np.append(0, np.cumsum(pa.compute.list_value_length(flat["leaves"]).to_numpy()))
         cols |= {c: flat[c].to_numpy() for c in flat.column_names if c not in ("mins", "leaves", "set")}
         sets = flat["set"].combine_chunks() if "set" in flat.column_names else None
         for a, b in zip(cuts[:-1], cuts[1:]):
             if b - a > 1:
-                out.extend(fn({k: c[a:b] for k, c in cols.items()}, None if sets is None else sets[a:b]))
+                cell = {k: c[a:b] for k, c in cols.items()}
+                cell["leaf"] = leaf[ends[a] : ends[b]]
+                cell["owner"] = np.repeat(np.arange(b - a), np.diff(ends[a : b + 1]))
+                out.extend(fn(cell, None if sets is None else sets[a:b]))
 
     def run(batches):
         import pyarrow.compute  # noqa: F401
@@ -154,14 +176,25 @@ def _cells(fn, hashes: int, runs: int):
     return run
 
 
+def _met_before(c: dict, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether a set of ``left`` and one of ``right`` share a bucket of lesser path than the cell's."""
+    less = c["leaf"] < c["path"][0]
+    _, column, times = np.unique(c["leaf"][less], return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    names, column = np.unique(column[shared], return_inverse=True)
+    table = np.zeros((len(c["path"]), len(names)), np.float32)
+    table[c["owner"][less][shared], column] = 1
+    return table[left] @ table[right].T > 0
+
+
 def _pairs(c: dict, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a cell that pass the screen and meet here first."""
+    """Pairs of a cell that pass the screen and meet in no lesser path."""
     low, high = c["low"][0], c["high"][0]
     left = np.flatnonzero(c["block"] == low)
     right = left if low == high else np.flatnonzero(c["block"] == high)
     if not len(left) or not len(right):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    n, run = c["mins"].shape[1], int(c["run"][0])
+    n = c["mins"].shape[1]
     agree = np.zeros((len(left), len(right)), np.int16)
     for k in range(n):
         agree += c["mins"][left, k][:, None] == c["mins"][right, k][None, :]
@@ -173,9 +206,8 @@ def _pairs(c: dict, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     if low == high:
         ok &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
     ok &= c["rep"][left][:, None] != c["rep"][right][None, :]
-    for r in range(run):
-        a, b = c["leaves"][left, r], c["leaves"][right, r]
-        ok &= ~((a[:, None] == b[None, :]) & (a[:, None] != 0))
+    if ok.any():
+        ok &= ~_met_before(c, left, right)
     x, y = np.nonzero(ok)
     return left[x], right[y]
 
@@ -247,8 +279,8 @@ class _Links:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["rep", "links", "low"])
 
 
-def _leaves(reps: DataFrame, runs: int, depth: int, small: int) -> DataFrame:
-    """(run, path, rep, n) of all buckets with more than one set, split as far as needed."""
+def _leaves(reps: DataFrame, runs: int, depth: int, small: int, fan: int) -> DataFrame:
+    """(path, rep, n) of all buckets with more than one set, split as far as needed."""
     run = F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")
     rows = reps.select("rep", "mins", run)
     out = []
@@ -257,19 +289,57 @@ def _leaves(reps: DataFrame, runs: int, depth: int, small: int) -> DataFrame:
         path = F.xxhash64("path", token) if level else F.xxhash64("run", token)
         rows = rows.withColumn("path", path)
         sizes = rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1")
-        rows = rows.drop("n").join(sizes, "path")
-        full = F.col("n") > (small if level + 1 < depth else 2**62)
-        out.append(rows.filter(~full).select("run", "path", "rep", "n"))
-        if level + 1 < depth:
-            rows = stage(rows.select("rep", "mins", "run", "path", "n"), f"level-{level}")
-            out[-1] = rows.filter(~full).select("run", "path", "rep", "n")
-            rows = rows.filter(full)
+        rows = stage(rows.drop("n").join(sizes, "path").select("rep", "mins", "run", "path", "n"), f"level-{level}")
+        out.append(rows.filter(F.col("n") <= small).select("path", "rep", "n"))
+        rows = rows.filter(F.col("n") > small)
+    used = F.sequence(F.col("run") * depth + 1, (F.col("run") + 1) * depth)
+    rows = rows.select("rep", "mins", "path", "n", used.alias("used"))
+    every = F.array(*(F.lit(k + 1) for k in range(runs * depth)))
+    while not rows.isEmpty():
+        whole, parts = _split(rows, every, fan)
+        out.append(whole)
+        out.append(parts.filter(F.col("n").between(2, small)).select("path", "rep", "n"))
+        rows = parts.filter(F.col("n") > small)
     leaves = out[0]
     for more in out[1:]:
         leaves = leaves.unionByName(more)
     return stage(leaves, "leaves")
 
 
+def _split(rows: DataFrame, every: Column, fan: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the buckets that splitting would not lighten (path, rep, n), and the parts of the others.
+
+    Which tokens a bucket follows depends on its path, so the buckets a pair shares live on
+    independently of each other; none is followed twice on a path.
+    """
+    free, picks = F.array_except(every, "used"), []
+    enough = F.size(free) >= fan
+    for k in range(fan):
+        at = F.pmod(F.xxhash64("path", F.lit(k)), F.greatest(F.size(free), F.lit(1))).cast("int") + 1
+        picks.append(F.try_element_at(free, at))
+        free = F.array_remove(free, picks[-1])
+    parts = (
+        rows.filter(enough)
+        .select("rep", "mins", "used", F.col("path").alias("parent"), F.col("n").alias("of"), F.array(*picks).alias("picks"))
+        .withColumn("pick", F.explode("picks"))
+        .withColumn("path", F.xxhash64("parent", "pick", F.element_at("mins", F.col("pick"))))
+        .select("rep", "mins", "parent", "of", "path", F.array_append("used", F.col("pick")).alias("used"))
+    )
+    parts = stage(parts, "parts")
+    sizes = stage(
+        parts.groupBy("path").agg(F.min("parent").alias("parent"), F.min("of").alias("of"), F.count("*").alias("n")), "sizes"
+    )
+    work, was = F.sum(F.col("n").cast("double") * F.col("n")), F.min("of").cast("double")
+    lighter = stage(
+        sizes.groupBy("parent").agg(work.alias("work"), (was * was).alias("was")).filter(F.col("work") <= _GAIN * F.col("was"))
+        .select("parent"),
+        "lighter",
+    )
+    whole = rows.join(lighter.withColumnRenamed("parent", "path"), "path", "left_anti").select("path", "rep", "n")
+    went = sizes.filter("n > 1").join(lighter, "parent").select("path", "n")
+    return whole, stage(parts.join(went, "path").select("rep", "mins", "path", "n", "used"), "deeper")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v): the smallest node it is connected with.
 
@@ -319,22 +389,20 @@ def _classes(rows: DataFrame, words: int, threshold: float, depth: int, recall:
         .select("one", "two", F.col("b.rid").alias("rep"), "b.id", "b.tkey", "b.size", "b.mins", "members"),
         "reps",
     )
-    leaves = _leaves(reps, runs, depth, small)
-    by_run = F.map_from_entries(F.collect_list(F.struct("run", "path")))
-    known = leaves.groupBy("rep").agg(by_run.alias("m"))
-    keys = F.array(*(F.coalesce(F.element_at("m", F.lit(r)), F.lit(0)) for r in range(runs))).alias("leaves")
-    facts = reps.select("rep", "size", "mins", "members").join(known.select("rep", keys), "rep")
+    leaves = _leaves(reps, runs, depth, small, fan_for(threshold))
+    known = leaves.groupBy("rep").agg(F.collect_list("path").alias("leaves"))
+    facts = reps.select("rep", "size", "mins", "members").join(known, "rep")
     blocks = F.ceil(F.col("n") / _BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     cells = (
-        leaves.select("run", "path", "rep", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-        .select("run", "path", "rep", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        leaves.select("path", "rep", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+        .select("path", "rep", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
         .join(facts, "rep")
     )
     cell = ["path", "low", "high"]
     needed = stage(
         cells.repartition(*cell).sortWithinPartitions(*cell)
-        .mapInArrow(_cells(_Needed(threshold), hashes, runs), _Needed.schema),
+        .mapInArrow(_cells(_Needed(threshold), hashes), _Needed.schema),
         "needed",
     )
     texts = keyed.select(F.col("id"), F.col("tkey"), "text")
@@ -350,9 +418,9 @@ def _classes(rows: DataFrame, words: int, threshold: float, depth: int, recall:
     sets = found.select("rep", "text").mapInArrow(to_sets, "rep long, set binary").dropDuplicates(["rep"])
     links = stage(
         needed.join(cells, ["rep", *cell]).join(sets, "rep")
-        .select("run", *cell, "rep", "block", "size", "mins", "members", "leaves", "set")
+        .select(*cell, "rep", "block", "size", "mins", "members", "leaves", "set")
         .repartition(*cell).sortWithinPartitions(*cell)
-        .mapInArrow(_cells(_Links(threshold), hashes, runs), _Links.schema),
+        .mapInArrow(_cells(_Links(threshold), hashes), _Links.schema),
         "links",
     )
     roots = components(links.select(F.col("rep").alias("u"), F.col("low").alias("v")))
