@@ -1,4 +1,5 @@
 import os
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -63,5 +64,46 @@ def test_draws_follow_the_lattice(vocabulary):
         assert abs(seen.get(k, 0) / n - w / total) < 5 * (w / total / n) ** 0.5 + 1e-3
 
 
+def shares(v, chunk):
+    """By node: the probability of each edge into it, longest first, by exact fractions."""
+    by_text = {t.decode(): i for i, t in enumerate(v.text) if t and i not in set(v.byte_ids.tolist())}
+    forward, out = [Fraction(1)], []
+    for end in range(1, len(chunk) + 1):
+        into = []
+        for n in range(min(v.longest, end), 0, -1):
+            part = chunk[end - n : end]
+            if part in by_text:
+                into.append(forward[end - n] * Fraction(v.weights[by_text[part]]))
+            elif n == 1:
+                into.append(forward[end - 1] * Fraction(v.weights[v.byte_ids[0]]) ** len(part.encode()))
+        forward.append(sum(into))
+        out.append([float(x / forward[-1]) for x in into])
+    return out
+
+
+@pytest.mark.parametrize("chunk", ["https://example.org/" + "a1Zq%3f" * 55, " " * 16, " " * 400, "漢字かな交じり文" * 40 + "\U00013000" * 90])
+def test_long_runs_are_one_lattice(vocabulary, chunk):
+    lat = pieces.lattices(vocabulary, ["short", chunk, "x"])
+    origin = int(lat.first[1]) + 1
+    edges = [*lat.edges.tolist(), len(lat.limit)]
+    for k, want in enumerate(shares(vocabulary, chunk)):
+        a, b = edges[origin + k + 1], edges[origin + k + 2]
+        upto = (lat.limit[a:b].astype(np.float64) + 1) / 2**32
+        assert np.allclose(np.diff(upto, prepend=0), want, atol=1e-7), k
+
+
+@pytest.mark.parametrize("segment", [16, 37, 1000])
+def test_segments_draw_as_the_whole_lattice(vocabulary, monkeypatch, segment):
+    texts = ["q" * 700 + " " * 90 + "ünïcödé漢字" * 80, " " * 600, "\U00013000abc" * 200 + "\nend", "Zm9vYmFy" * 150]
+    seeds = np.arange(len(texts)).astype(np.uint64) * np.uint64(977)
+    monkeypatch.setattr(pieces, "_LONG", 10**6)
+    want, counts = pieces.Sampler(vocabulary).encode(texts, seeds)
+    monkeypatch.setattr(pieces, "_LONG", 50)
+    monkeypatch.setattr(pieces, "_SEGMENT", segment)
+    got, again = pieces.Sampler(vocabulary).encode(texts, seeds)
+    assert counts.tolist() == again.tolist() and got.tolist() == want.tolist()
+    assert pieces.decode_ids(vocabulary.text, got.tolist()) == "".join(texts)
+
+
 def test_empty(documents):
     assert pieces.encode(documents([]).limit(0), PIECE_MODEL).collect() == []

@@ -6,13 +6,19 @@ reach it; the backward pass draws one segmentation from the end, each with proba
 proportional to the product of its piece weights. Draws depend on the seed, the row's
 key and the place in the row alone, so reruns and other partitionings agree.
 
-Pre-tokens (spaces and what follows them) are lattices of their own, as no piece
-crosses them. The forward pass runs once per distinct pre-token of a slice of texts.
+Pre-tokens (spaces and what follows them up to the next space or line end) are lattices
+of their own, as no piece crosses them; ``vocabulary`` refuses a model where one does.
+They are whole, whatever their length. The forward pass runs once per distinct pre-token
+of a slice of texts. It rescales as it goes, so long ones do not underflow. A pre-token
+of more than ``_LONG`` characters goes in segments: the forward pass keeps the weights
+before each, and the backward pass builds each segment's lattice again from them, so
+memory does not grow with a lattice.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from dataclasses import dataclass
 
@@ -24,8 +30,9 @@ from pyspark.sql import functions as F
 
 from tillscope.llm.common import need, slices
 
-#: A pre-token has at most 32 characters; a longer run is several.
-PRETOKEN = re.compile(r" {0,8}[^ \n]{1,24}| {1,8}|\n")
+PRETOKEN = re.compile(r" *[^ \n]+| +|\n")
+_CROSSING = re.compile(r"[^ ] |\n.|.\n", re.DOTALL)
+_LONG, _SEGMENT = 512, 20_000
 MARK = "▁"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -75,6 +82,8 @@ def vocabulary(model_file: str, sharpness: float = 0.5) -> Vocabulary:
             byte_ids[int(piece[3:5], 16)] = i
             text[i] = bytes([int(piece[3:5], 16)])
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+            if _CROSSING.search(piece.replace(MARK, " ")):
+                raise ValueError(f"piece {i} crosses the end of a word or a line")
             text[i] = piece.replace(MARK, " ").encode()
             points = [ord(c) for c in piece.replace(MARK, " ")]
             entries[tuple(points)] = i
@@ -130,10 +139,14 @@ class Lattices:
     limit: np.ndarray  # by edge: cumulative probability within its node, in units of 1 / _FINE, less one
     length: np.ndarray
     piece: np.ndarray  # -1: the bytes of one character
+    tail: np.ndarray  # weights, in one scale, of the last nodes but the very last
 
 
-def lattices(v: Vocabulary, chunks: list[str]) -> Lattices:
-    """Forward filtering of each pre-token."""
+def lattices(v: Vocabulary, chunks: list[str], given: np.ndarray | None = None) -> Lattices:
+    """Forward filtering of each pre-token.
+
+    ``given`` are the known weights of the first nodes of the one chunk there is then.
+    """
     flat = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32)
     sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
     first = np.cumsum(sizes) - sizes
@@ -156,7 +169,11 @@ def lattices(v: Vocabulary, chunks: list[str]) -> Lattices:
         on = (got > -2) & (room[at] > k)
         at, h = at[on], h[on]
     start, length, piece = np.concatenate(starts), np.concatenate(lengths), np.concatenate(pieces)
-    order = np.argsort(depth[start].astype(np.uint8), kind="stable")
+    if given is not None:
+        new = start + length >= len(given)
+        start, length, piece = start[new], length[new], piece[new]
+    narrow = np.uint8 if sizes.max() <= 256 else np.uint16 if sizes.max() <= 65536 else np.uint32
+    order = np.argsort(depth[start].astype(narrow), kind="stable")
     start, length, piece = start[order], length[order], piece[order]
     chars = flat[start]
     n_bytes = 1 + (chars >= 0x80).astype(np.int8) + (chars >= 0x800) + (chars >= 0x10000)
@@ -165,23 +182,82 @@ def lattices(v: Vocabulary, chunks: list[str]) -> Lattices:
     begin = start + token[start]
     end = begin + length
     forward = np.zeros(len(flat) + len(sizes))
-    forward[first + np.arange(len(sizes))] = 1.0
+    node0 = first + np.arange(len(sizes))
+    forward[node0] = 1.0
+    if given is not None:
+        forward[: len(given)] = given
     flow = np.empty(len(start))
     cuts = np.searchsorted(depth[start], np.arange(int(sizes.max()) + 1))
-    for a, b in zip(cuts[:-1], cuts[1:]):
+    # Every ``step`` characters the weights ahead are scaled by a power of two; ``scales``
+    # has the sum of exponents by pre-token and stretch.
+    step = int(min(200, 200 / max(1.0, -4 * math.log10(v.weights.min()))))
+    stretches = (sizes + step - 1) // step
+    scale0 = np.cumsum(stretches) - stretches
+    scales = np.zeros(int(stretches.sum()), np.int64)
+    for d, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if d and d % step == 0:
+            on = np.flatnonzero(sizes > d)
+            by = -np.frexp(forward[node0[on] + d])[1]
+            scales[scale0[on] + d // step] = scales[scale0[on] + d // step - 1] + by
+            ahead = node0[on][:, None] + np.minimum(d + np.arange(v.longest), sizes[on][:, None] + 1)
+            inside = d + np.arange(v.longest) <= sizes[on][:, None]
+            forward[ahead[inside]] *= np.repeat(np.ldexp(1.0, by), inside.sum(axis=1))
         flow[a:b] = forward[begin[a:b]] * weight[a:b]
         forward[end[a:b]] += flow[a:b]
+    if len(scales) > len(sizes):  # flows that go from one stretch to another
+        where, room = depth[start], sizes[token[start]]
+        ahead = np.flatnonzero(np.minimum(where + length, room - 1) // step > where // step)
+        base = scale0[token[start[ahead]]]
+        to = base + np.minimum(where[ahead] + length[ahead], room[ahead] - 1) // step
+        flow[ahead] = np.ldexp(flow[ahead], scales[to] - scales[base + where[ahead] // step])
+    last = np.arange(max(0, len(flat) - v.longest), len(flat))
+    tail = np.zeros(0)
+    if len(sizes) == 1:
+        exponents = scales[last // step]
+        tail = np.ldexp(forward[last], exponents[-1] - exponents)
     # Within a node the longest pieces come first, as they are the likeliest.
-    by_end = np.argsort(end * 64 - length, kind="stable")
+    by_end = np.argsort(end * (v.longest + 1) - length, kind="stable")
     end, length, piece = end[by_end], length[by_end], piece[by_end]
     share = np.floor(flow[by_end] / forward[end] * _FINE).astype(np.int64)
     upto = np.cumsum(share)
     edges = np.searchsorted(end, np.arange(len(forward) + 1))
-    base = np.append(0, upto)[edges[end]]
-    limit = upto - base
+    limit = upto - np.append(0, upto)[edges[end]]
     limit[edges[1:][edges[1:] > edges[:-1]] - 1] = _FINE  # the last edge takes what rounding left
     limit = np.maximum(limit - 1, 0).astype(np.uint32)
-    return Lattices(flat, first, sizes, edges[:-1], limit, length, piece)
+    return Lattices(flat, first, sizes, edges[:-1], limit, length, piece, tail)
+
+
+def draw_long(v: Vocabulary, chunk: str, stream: np.uint64) -> list[int]:
+    """Ids of one long pre-token, drawn as ``_encode`` draws, segment by segment from the end."""
+    befores: list[np.ndarray | None] = [None]
+    starts = list(range(0, len(chunk), max(_SEGMENT, v.longest)))
+
+    def segment(j: int) -> tuple[Lattices, int]:
+        known = 0 if j == 0 else len(befores[j])
+        upto = starts[j + 1] if j + 1 < len(starts) else len(chunk)
+        return lattices(v, [chunk[starts[j] - known : upto]], befores[j]), known
+
+    for j in range(len(starts) - 1):
+        befores.append(segment(j)[0].tail)
+    out: list[int] = []
+    node, step = len(chunk), 0
+    for j in reversed(range(len(starts))):
+        lat, known = segment(j)
+        origin = starts[j] - known
+        draws = (_scramble(stream + np.arange(step, step + node - origin, dtype=np.uint64)) >> np.uint64(32)).tolist()
+        edges, limit, length, piece = lat.edges.tolist(), lat.limit.tolist(), lat.length.tolist(), lat.piece.tolist()
+        begun = step
+        while node > starts[j]:
+            draw, edge = draws[step - begun], edges[node - origin]
+            while draw > limit[edge]:
+                edge += 1
+            node -= length[edge]
+            step += 1
+            if piece[edge] >= 0:
+                out.append(piece[edge])
+            else:
+                out.extend(v.byte_ids[list(chunk[node].encode())].tolist()[::-1])
+    return out[::-1]
 
 
 class _Column:
@@ -224,7 +300,7 @@ class Sampler:
             made = lattices(self.v, new)
             shifts = (0, self.columns[0].n, 0, self.columns[4].n, 0, 0, 0)
             parts = (made.flat, made.first, made.sizes, made.edges, made.limit, made.length, made.piece)
-            self.lat = Lattices(*(c.add(x + k if k else x) for c, x, k in zip(self.columns, parts, shifts)))
+            self.lat = Lattices(*(c.add(x + k if k else x) for c, x, k in zip(self.columns, parts, shifts)), made.tail)
             self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
         return np.fromiter(map(self.codes.__getitem__, distinct), np.int64, len(distinct))
 
@@ -241,15 +317,18 @@ def _encode(sampler: Sampler, texts: list[str], seeds: np.ndarray) -> tuple[np.n
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
     every = np.empty(int(per_row.sum()), dtype=object)
     every[:] = [c for f in found for c in f]
-    nth, distinct = pd.factorize(every)
-    codes = sampler._known(distinct.tolist())[nth]
+    long = np.fromiter(map(len, every), np.int64, len(every)) > _LONG
+    short = np.flatnonzero(~long)
+    codes = np.zeros(len(every), np.int64)
+    nth, distinct = pd.factorize(every[short])
+    codes[short] = sampler._known(distinct.tolist() or ["\n"])[nth]
     lat = sampler.lat
     row = np.repeat(np.arange(len(texts)), per_row)
     nth = np.arange(len(codes)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
     stream = _scramble(seeds[row] + nth.astype(np.uint64) * _MIX)
     origin = (lat.first[codes] + codes).astype(np.int64)  # node 0 of the pre-token
     node, steps = origin + lat.sizes[codes], []
-    live, step = np.arange(len(codes)), 0
+    live, step = short, 0
     while len(live):
         draw = (_scramble(stream[live] + np.uint64(step)) >> np.uint64(32)).astype(np.uint32)
         edge = lat.edges[node[live]]
@@ -274,8 +353,13 @@ def _encode(sampler: Sampler, texts: list[str], seeds: np.ndarray) -> tuple[np.n
         count[bare] = [len(r) for r in raw]
         total[live] += count
         begins.append((bare, raw, count))
+    drawn = {k: draw_long(v, every[k], stream[k]) for k in np.flatnonzero(long).tolist()}
+    for k, ids in drawn.items():
+        total[k] = len(ids)
     end = np.cumsum(total)
     out = np.zeros(int(end[-1]), np.int32)
+    for k, ids in drawn.items():
+        out[end[k] - len(ids) : end[k]] = ids
     for (live, edge), (bare, raw, count) in zip(steps, begins):
         end[live] -= count
         out[end[live]] = lat.piece[edge]
