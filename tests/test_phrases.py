@@ -78,3 +78,35 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "id int, text string")
     table = phrases.phrase_table(df)
     assert table.collect() == [] and phrases.keywords(df, "id", table).collect() == []
+
+
+@pytest.mark.parametrize("known", [0, 3, 6, 1000])
+def test_keywords_do_not_depend_on_the_known_phrases(spark, texts, known):
+    """Texts that the best phrases settle and texts that need the whole table get the same keywords."""
+    again = [(i % 140, text) for i, text in enumerate(texts)]  # some texts lie in two rows
+    df = spark.createDataFrame(again, "id int, text string")
+    table = phrases.phrase_table(df)
+    score = {r.phrase: round(r.score, 6) for r in table.collect()}
+    got = {r.id: r.keywords for r in phrases.keywords(df, "id", table, known=known).collect()}
+    for key in range(140):
+        own = {" ".join(p) for i, text in again if i == key for p in places(text, 4)} & score.keys()
+        best = sorted((-score[p], p) for p in own if len(p) > 3)[:5]
+        assert got[key] == (", ".join(p for _, p in best) or "general")
+    assert got.keys() == set(range(140))
+
+
+def test_only_unsettled_texts_are_joined_with_the_whole_table(spark, monkeypatch):
+    """Texts with enough of the known phrases do not ship their places."""
+    long = "alpha bravo charlie delta echoes "
+    df = spark.createDataFrame([(i, long * 40) for i in range(50)] + [(50, "alpha, foxtrot the golf")], "id int, text string")
+    table = spark.createDataFrame([(w, 9.0 - i) for i, w in enumerate((long + "foxtrot").split())], "phrase string, score double")
+    staged = {}
+
+    def counting(df, name):
+        staged[name] = df.count()
+        return df
+
+    monkeypatch.setattr(phrases, "stage", counting)
+    got = {r.id: r.keywords for r in phrases.keywords(df, "id", table, known=5).collect()}
+    assert got == {i: ", ".join(long.split()) for i in range(50)} | {50: "alpha, foxtrot"}
+    assert staged["places"] == 3  # alpha, foxtrot and golf (four letters) of the one short text

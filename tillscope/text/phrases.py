@@ -17,7 +17,8 @@ from tillscope.sources.lake import stage
 from tillscope.text.lexicon import STOP_WORDS
 
 LONGEST, LEAST, MOST_KEYWORDS = 4, 2, 5
-_TOKEN = r"\p{L}+|[^\p{L} \t\n\r\f]+"
+KNOWN = 20_000  # phrases of the highest scores that every task gets
+_MARKS, _SPACE = r"[^\p{L} \t\n\r\f]+", r"[ \t\n\r\f]+"
 
 
 def _inner(words: Column, longest: Column) -> Column:
@@ -33,16 +34,30 @@ def _inner(words: Column, longest: Column) -> Column:
     )
 
 
-def candidates(texts: DataFrame, column: str = "text", longest: int = LONGEST, keys: list[str] | None = None) -> DataFrame:
-    """One row per place of a candidate phrase: ``keys`` and ``phrase``. NULL and empty texts have none."""
-    tokens = F.regexp_extract_all(F.lower(F.col(column)), F.lit(_TOKEN), F.lit(0))
-    stop = F.array(*map(F.lit, STOP_WORDS))
-    kept = F.transform(tokens, lambda w: F.when(w.rlike(r"^\p{L}") & ~F.array_contains(stop, w), w).otherwise("|"))
-    runs = F.transform(F.split(F.array_join(kept, " "), r"\|"), lambda x: F.trim(x))
+def _words(column: str) -> Column:
+    """The words of a text in order, NULL for every stop word and every run of digits or marks."""
+    tokens = F.split(F.regexp_replace(F.lower(F.col(column)), _MARKS, " | "), _SPACE)
+    return F.transform(tokens, lambda w: F.when(~w.isin("", "|", *STOP_WORDS), w))
+
+
+def candidates(
+    texts: DataFrame, column: str = "text", longest: int = LONGEST, keys: list[str] | None = None, once: bool = False
+) -> DataFrame:
+    """One row per place of a candidate phrase: ``keys`` and ``phrase``. NULL and empty texts have none.
+
+    With ``once`` a row of ``texts`` gives each of its phrases a single time.
+    """
+    words = F.col("_words")
+    # lengths[n - 1] holds the phrase of n words that begins at each place, NULL where a break comes before its end.
+    lengths = [words]
+    for n in range(1, longest):
+        after = F.slice(words, F.lit(n + 1), F.greatest(F.size(words) - n, F.lit(0)))
+        lengths.append(F.zip_with(lengths[-1], after, lambda a, b: F.concat(a, F.lit(" "), b)))
+    places = F.concat(*lengths)
     return (
-        texts.select(*(keys or []), F.explode(runs).alias("run"))
-        .where("run != ''")
-        .select(*(keys or []), F.explode(_inner(F.split("run", " "), F.lit(longest))).alias("phrase"))
+        texts.select(*(keys or []), _words(column).alias("_words"))
+        .select(*(keys or []), F.explode(F.array_distinct(places) if once else places).alias("phrase"))
+        .where(F.col("phrase").isNotNull())
     )
 
 
@@ -89,23 +104,43 @@ def rounded(table: DataFrame) -> DataFrame:
     return table.withColumns({x: c.rounded(F.col(x), 6) for x in ("c_value", "pmi", "score")})
 
 
+def _best(own: DataFrame, key: str, table: DataFrame, most: int) -> DataFrame:
+    """(key, list): the ``most`` best of each text's phrases in ``table``, a phrase once."""
+    best = Window.partitionBy(key).orderBy(F.desc("score"), "phrase")
+    return (
+        own.join(table, "phrase")
+        .withColumn("place", F.dense_rank().over(best))  # a phrase that comes again has the same place
+        .where(F.col("place") <= most)
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_set(F.struct("place", "phrase"))).alias("list"))
+    )
+
+
 def keywords(
-    texts: DataFrame, key: str, table: DataFrame, column: str = "text", longest: int = LONGEST, most: int = MOST_KEYWORDS
+    texts: DataFrame, key: str, table: DataFrame, column: str = "text", longest: int = LONGEST, most: int = MOST_KEYWORDS,
+    known: int = KNOWN,
 ) -> DataFrame:
     """Per text its best phrases of more than three characters, best first, else general.
 
     ``key`` names a text; rows of one key are one text. Equal scores go by the phrase.
+
+    Every task gets the phrases of the highest scores, at most ``known``, so the places of a text need not
+    be shuffled to find these. A text that holds ``most`` of them is settled, as any other phrase scores
+    lower; only the other texts are joined with the whole table.
     """
-    best = Window.partitionBy(key).orderBy(F.round("score", 6).desc(), "phrase")
-    own = candidates(texts, column, longest, [key]).where(F.length("phrase") > 3).distinct()
-    ranked = (
-        own.join(table.select("phrase", "score"), "phrase")
-        .withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= most)
-        .groupBy(key)
-        .agg(F.array_sort(F.collect_list(F.struct("place", "phrase"))).alias("list"))
-    )
+    scored = table.where(F.length("phrase") > 3).select("phrase", F.round("score", 6).alias("score"))
+    # Equal scores stay together: those of the first phrase beyond the bound go to the rest.
+    cut = scored.orderBy(F.desc("score")).offset(known).limit(1).select("score").first()
+    high = F.broadcast(scored.where(F.col("score") > cut.score) if cut else scored)  # at most ``known`` rows
+    found = _best(candidates(texts, column, longest, [key], once=True), key, high, most)
+    if cut:
+        found = stage(found, "keywords")
+        settled = found.where(F.size("list") == most)
+        rest = texts.join(settled.select(key), key, "left_anti")
+        # Written: what is left are few and short texts, and the planner then knows their size.
+        own = stage(candidates(rest, column, longest, [key], once=True).where(F.length("phrase") > 3), "places")
+        found = settled.unionByName(_best(own, key, scored, most))
     listed = F.array_join(F.transform("list", lambda x: x["phrase"]), ", ")
-    return texts.select(key).distinct().join(ranked, key, "left").select(
+    return texts.select(key).distinct().join(found, key, "left").select(
         key, F.coalesce(listed, F.lit("general")).alias("keywords")
     )
