@@ -41,3 +41,27 @@ def test_nothing_is_left_when_the_application_ends(tmp_path):
     )
     assert "FILES 1" in done.stdout, done.stderr[-2000:]
     assert not [f for f in os.listdir(folder) if f.startswith("tillscope-")]
+
+
+def test_columns_that_follow_are_not_moved(spark, monkeypatch):
+    """Raw rows are not written on the way to the transactions, and only what nothing else gives is shuffled by month."""
+    from tests.conftest import SF_DIR
+    from tillscope import lakehouse as lakes
+
+    moved, stage = {}, lakes.stage
+
+    def recording(df, name, *args, **options):
+        moved[name] = df.columns
+        return stage(df, name, *args, **options)
+
+    monkeypatch.setattr(lakes, "stage", recording)
+    lake = lakes.Lakehouse(spark, SF_DIR)
+    assert lake.transactions.columns == [*lakes._TRANSACTION_COLUMNS[:-1], "is_fraud", "txn_month"]
+    assert "raw-transactions" not in moved
+    follow = {"fraud_score", "risk_level", "transaction_hour", "weekend_flag", "txn_hour", "is_weekend", "is_high_value", "is_late_night", "is_fraud"}
+    assert follow == set(lake.transactions.columns) - set(moved["transactions"])
+    assert moved["transactions"] == moved["scored-transactions"]
+    # The label of the top fraction is the same as over the scored rows.
+    rest = lake.transactions.select(lake.scored.columns + ["is_fraud"])
+    assert rest.exceptAll(lake.top_fraction.label(lake.scored)).count() == 0
+    assert rest.count() == lake.scored.count()

@@ -36,22 +36,26 @@ def score(enriched: DataFrame) -> DataFrame:
         + _points(F.col("merchant_risk") > RISKY_FROM, RISKY_POINTS)
     )
     return (
-        enriched.withColumn("fraud_points", points)
-        .withColumns(
-            {
-                "fraud_score": F.col("fraud_points") / F.lit(100.0),
-                "risk_level": F.when(F.col("fraud_points") < MEDIUM_FROM, "Low")
-                .when(F.col("fraud_points") < HIGH_FROM, "Medium")
-                .otherwise("High"),
-                "transaction_hour": F.col("txn_hour"),
-                "weekend_flag": F.col("is_weekend"),
-                "customer_merchant_distance": c.rounded(F.col("raw_distance")),
-            }
-        )
+        graded(enriched.withColumn("fraud_points", points))
+        .withColumn("customer_merchant_distance", c.rounded(F.col("raw_distance")))
         .drop("raw_distance", "mean_amount", "merchant_risk")
     )
 
 
+def graded(tx: DataFrame) -> DataFrame:
+    """Adds what follows from the points and the flags: fraud_score, risk_level, transaction_hour, weekend_flag."""
+    return tx.withColumns(
+        {
+            "fraud_score": F.col("fraud_points") / F.lit(100.0),
+            "risk_level": F.when(F.col("fraud_points") < MEDIUM_FROM, "Low")
+            .when(F.col("fraud_points") < HIGH_FROM, "Medium")
+            .otherwise("High"),
+            "transaction_hour": F.col("txn_hour"),
+            "weekend_flag": F.col("is_weekend"),
+        }
+    )
+
+
 @dataclass(frozen=True)
 class TopFraction:
     """Rows above ``points``, and those at ``points`` up to ``last_id``."""

@@ -41,8 +41,8 @@ def merchants(raw: DataFrame) -> DataFrame:
     )
 
 
-def transactions(raw: DataFrame) -> DataFrame:
-    """Typed, normalised and flagged. What does not parse becomes NULL."""
+def typed_transactions(raw: DataFrame) -> DataFrame:
+    """Cleansed, typed and normalised. What does not parse becomes NULL."""
     ts = F.col("timestamp")
     if dict(raw.dtypes)["timestamp"] == "string":
         ts = F.try_to_timestamp(ts)
@@ -54,17 +54,28 @@ def transactions(raw: DataFrame) -> DataFrame:
         .withColumns(typed)
         .withColumns(
             {
-                "txn_hour": F.hour("timestamp"),
-                "is_weekend": c.weekend(F.col("timestamp")),
-                "is_high_value": F.when(F.col("amount") > HIGH_VALUE, 1).otherwise(0),
                 "payment_method": F.lower(F.trim("payment_method")),
                 "device_type": F.lower(F.trim("device_type")),
             }
         )
-        .withColumn("is_late_night", F.when(F.col("txn_hour") <= LATE_UNTIL, 1).otherwise(0))
     )
 
 
+def flagged(tx: DataFrame) -> DataFrame:
+    """Adds the flags that hang on a row's time and amount."""
+    flags = {
+        "txn_hour": F.hour("timestamp"),
+        "is_weekend": c.weekend(F.col("timestamp")),
+        "is_high_value": F.when(F.col("amount") > HIGH_VALUE, 1).otherwise(0),
+    }
+    return tx.withColumns(flags).withColumn("is_late_night", F.when(F.col("txn_hour") <= LATE_UNTIL, 1).otherwise(0))
+
+
+def transactions(raw: DataFrame) -> DataFrame:
+    """Typed, normalised and flagged. What does not parse becomes NULL."""
+    return flagged(typed_transactions(raw))
+
+
 def reviews(raw: DataFrame) -> DataFrame:
     return (
         _cleansed(raw, "reviews")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +25,7 @@ def read_table(
 
 def write_table(
     df: DataFrame, path: str, partition_by: str | None = None, sort_by: str | None = None, fmt: str = FORMAT,
-    lookup_by: str | None = None, **options: str,
+    lookup_by: str | None = None, then: Callable[[DataFrame], DataFrame] | None = None, **options: str,
 ) -> None:
     """Replace the table at ``path``.
 
@@ -33,17 +33,19 @@ def write_table(
     gets few, evenly sized files, and a folder that holds much of the data is
     written by many tasks. Sorting inside the files lets a lookup on that column
     skip row groups; a Bloom filter does so for ``lookup_by``, which the files are not
-    sorted by.
+    sorted by. ``then`` adds columns after the rows have moved, so those that follow from
+    others are neither shuffled nor sorted.
     """
+    then = then or (lambda moved: moved)
     if lookup_by:
         options[f"parquet.bloom.filter.enabled#{lookup_by}"] = "true"
     if partition_by is None:
-        df.write.format(fmt).options(**options).mode("overwrite").save(path)
+        then(df).write.format(fmt).options(**options).mode("overwrite").save(path)
     else:
         df = df.hint("rebalance", F.col(partition_by))
         if sort_by:
             df = df.sortWithinPartitions(partition_by, sort_by)
-        df.write.format(fmt).options(**options).mode("overwrite").partitionBy(partition_by).save(path)
+        then(df).write.format(fmt).options(**options).mode("overwrite").partitionBy(partition_by).save(path)
 
 
 def replace_partition(df: DataFrame, path: str, partition_by: str, fmt: str = FORMAT) -> None:
@@ -125,7 +127,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def stage(
-    df: DataFrame, name: str, partition_by: str | None = None, sort_by: str | None = None, lookup_by: str | None = None
+    df: DataFrame, name: str, partition_by: str | None = None, sort_by: str | None = None, lookup_by: str | None = None,
+    then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
@@ -133,6 +136,6 @@ def stage(
     executor, the reader prunes columns, and the planner knows the size.
     """
     path = scratch_path(df.sparkSession, name)
-    schema = df.schema
-    write_table(df, path, partition_by, sort_by, lookup_by=lookup_by, compression="zstd")
+    schema = (then(df) if then else df).schema
+    write_table(df, path, partition_by, sort_by, lookup_by=lookup_by, then=then, compression="zstd")
     return read_table(df.sparkSession, path, schema)
