@@ -162,6 +162,32 @@ def test_segments_do_not_depend_on_partitions(spark, lake):
     assert segments.kmeans(made.limit(0), restarts=2).count() == 0
 
 
+def test_nearest_centre_feature_by_feature():
+    """The same centres and distances, bit by bit, as from the table of all gaps; the first of equally near ones."""
+    rng = np.random.default_rng(5)
+    x, centres = rng.integers(-4, 5, (500, 7)) * 250_000, rng.integers(-4, 5, (5, 7)) * 250_000.0
+    centres[3] = centres[1]
+    gaps = (((x[:, None, :] - centres[None, :, :]) / segments.UNIT) ** 2).sum(axis=2)
+    near, least = segments._nearest(np.ascontiguousarray(x.T).astype(float), centres)
+    assert (near == gaps.argmin(axis=1)).all() and (least == gaps.min(axis=1)).all()
+
+
+def test_rounds_read_even_slices(spark, lake, monkeypatch):
+    """The written points lie in as many slices as their number asks for, and the segments stay the same."""
+    made = segments.segment_features(lake.customer_summary, date(2001, 8, 1)).coalesce(1)
+    want = sorted((r.customer_id, r.segment_id) for r in segments.kmeans(made, restarts=3).collect())
+    parts, stage = [], segments.stage
+
+    def recording(df, name):
+        parts.append((name, df.rdd.getNumPartitions()))
+        return stage(df, name)
+
+    monkeypatch.setattr(segments, "stage", recording)
+    monkeypatch.setattr(segments, "_SLICE", 30)
+    assert sorted((r.customer_id, r.segment_id) for r in segments.kmeans(made, restarts=3).collect()) == want
+    assert parts == [("segment-points", min(made.count() // 30 + 1, 4 * spark.sparkContext.defaultParallelism))]
+
+
 def test_recency(spark):
     df = spark.createDataFrame(
         [("a", None, 0.0, 0), ("b", "2024-01-01 12:00:00", 10.0, 4), ("c", "2024-01-10 00:00:00", 10.0, 1)],

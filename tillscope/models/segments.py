@@ -32,6 +32,7 @@ SEGMENT_FEATURES = [
 SEGMENT_NAMES = ["high_value", "luxury_spender", "frequent", "diverse_shopper", "casual"]
 NEVER_DAYS = 999
 UNIT = 1_000_000
+_SLICE = 20_000  # customers a task works on at least, so that the rounds use every core
 
 
 def segment_features(summary: DataFrame, as_of: date) -> DataFrame:
@@ -72,9 +73,17 @@ def _starts(points: DataFrame, k: int, seed: int, restarts: int) -> np.ndarray:
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    gaps = ((x[:, None, :] - centres[None, :, :]) / UNIT) ** 2
-    distance = gaps.sum(axis=2)
-    return distance.argmin(axis=1), distance.min(axis=1)
+    """Index of the nearest centre, the first of equally near ones, and its distance, for points in columns."""
+    near, least = np.zeros(x.shape[1], np.int64), np.full(x.shape[1], np.inf)
+    for j, centre in enumerate(centres):
+        distance = np.zeros(x.shape[1])
+        for column, at in zip(x, centre):  # feature by feature: no table of all gaps
+            gap = (column - at) / UNIT
+            distance += gap * gap
+        closer = distance < least
+        near[closer] = j
+        np.minimum(least, distance, out=least)
+    return near, least
 
 
 def assign(points: DataFrame, centres: np.ndarray) -> DataFrame:
@@ -83,7 +92,7 @@ def assign(points: DataFrame, centres: np.ndarray) -> DataFrame:
     @F.pandas_udf("int")
     def nearest(point: pd.Series) -> pd.Series:
         x = np.array(point.tolist(), float).reshape(len(point), centres.shape[1])
-        return pd.Series(_nearest(x, centres)[0].astype("int32"))
+        return pd.Series(_nearest(np.ascontiguousarray(x.T), centres)[0].astype("int32"))
 
     return points.withColumn("segment_id", nearest("_point"))
 
@@ -92,36 +101,44 @@ def kmeans(features: DataFrame, k: int = 5, seed: int = 42, restarts: int = 10,
     """Adds segment_id: k-means on the scaled features, the best of ``restarts`` starts.
 
     All starts move on together, one job a round that adds up whole numbers per cluster,
-    until no centre moves. Neither the starts nor the sums depend on the partitioning.
+    until no centre moves. Neither the starts nor the sums depend on the partitioning. A start
+    whose centres have come to rest keeps its figures and is not worked out again.
     """
-    points = stage(_points(features), "segment-points")
+    slices = features.count() // _SLICE + 1
+    even = _points(features).repartition(min(slices, 4 * features.sparkSession.sparkContext.defaultParallelism), "customer_id")
+    points = stage(even, "segment-points")
     centres = _starts(points, k, seed, restarts)
     size = centres.shape[2]
     best = 0
+    moving, cost = list(range(restarts)), [0] * restarts
     for _ in range(rounds):
 
-        def part(batches, centres=centres):
+        def part(batches, centres=centres, moving=moving):
             sums, cost = np.zeros((restarts, k, size + 1), np.int64), np.zeros(restarts, np.int64)
             for batch in batches:
-                x = np.array(batch.column("_point").to_pylist(), np.int64).reshape(batch.num_rows, size)
-                for r in range(restarts):
-                    near, distance = _nearest(x.astype(float), centres[r])
+                whole = batch.column("_point").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, size)
+                x = np.ascontiguousarray(whole.T)
+                points = x.astype(float)
+                for r in moving:
+                    near, distance = _nearest(points, centres[r])
                     cost[r] += int(np.rint(distance * UNIT).astype(np.int64).sum())
                     for j in range(k):
-                        sums[r, j, :size] += x[near == j].sum(axis=0)
-                        sums[r, j, size] += int((near == j).sum())
+                        mine = np.flatnonzero(near == j)
+                        sums[r, j, :size] += np.take(x, mine, axis=1).sum(axis=1)
+                        sums[r, j, size] += len(mine)
             yield pa.RecordBatch.from_arrays([pa.array([[*sums.ravel(), *cost]], pa.list_(pa.int64()))], ["v"])
 
         parts = points.select("_point").mapInArrow(part, "v array<bigint>").select(F.posexplode("v").alias("at", "x"))
         total = {r["at"]: int(r["x"]) for r in parts.groupBy("at").agg(F.sum(F.col("x").cast("decimal(38,0)")).alias("x")).collect()}
         flat = np.array([total.get(i, 0) for i in range(restarts * k * (size + 1))], object).reshape(restarts, k, size + 1)
-        cost = [total.get(restarts * k * (size + 1) + r, 0) for r in range(restarts)]
+        cost = [total.get(restarts * k * (size + 1) + r, 0) if r in moving else cost[r] for r in range(restarts)]
         best = min(range(restarts), key=lambda r: (cost[r], r))
         moved = np.array(
-            [[[flat[r, j, i] / flat[r, j, size] if flat[r, j, size] else centres[r, j, i] for i in range(size)]
+            [[[flat[r, j, i] / flat[r, j, size] if r in moving and flat[r, j, size] else centres[r, j, i] for i in range(size)]
               for j in range(k)] for r in range(restarts)], float,
         )
-        if (moved == centres).all():
+        moving = [r for r in moving if (moved[r] != centres[r]).any()]
+        if not moving:
             break
         centres = moved
     return assign(points, centres[best]).drop("_point")
