@@ -65,3 +65,19 @@ def test_columns_that_follow_are_not_moved(spark, monkeypatch):
     rest = lake.transactions.select(lake.scored.columns + ["is_fraud"])
     assert rest.exceptAll(lake.top_fraction.label(lake.scored)).count() == 0
     assert rest.count() == lake.scored.count()
+
+
+def test_reviews_do_not_write_the_raw_transactions(spark, monkeypatch):
+    from tests.conftest import SF_DIR
+    from tillscope import lakehouse as lakes
+
+    names, stage = [], lakes.stage
+
+    def recording(df, name, *args, **options):
+        names.append(name)
+        return stage(df, name, *args, **options)
+
+    monkeypatch.setattr(lakes, "stage", recording)
+    lake = lakes.Lakehouse(spark, SF_DIR)
+    assert lake.reviews.count() > 0
+    assert sorted(names) == ["customers", "merchants", "reviews", "scored-transactions"]

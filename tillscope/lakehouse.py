@@ -119,7 +119,8 @@ class Lakehouse:
 
     @cached_property
     def reviews(self) -> DataFrame:
-        return stage(silver.reviews(self.bronze.reviews), "reviews")
+        # Not by way of ``bronze``, which writes the raw transactions.
+        return stage(silver.reviews(fixtures.reviews(self.scored, self.merchants)), "reviews")
 
     @cached_property
     def tickets(self) -> DataFrame:
