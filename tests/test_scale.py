@@ -10,10 +10,12 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tillscope import fixtures
+from tillscope.catalog import QUERIES
 from tillscope.models import forecast, iforest, rules
+from tillscope.models.features import fraud_features
 from tillscope.operators.cleanse import null_orphans
 from tillscope.operators.star import enrich, star
-from tillscope.plans import customers, executive, silver, views
+from tillscope.plans import customers, executive, fraud, silver, views
 from tillscope.sources.lake import write_table
 
 
@@ -152,6 +154,14 @@ def test_hot_month_is_written_by_many_tasks(spark, tmp_path):
     assert spark.read.parquet(path).count() == 100_000
 
 
+def test_models_meet_no_dimension_again(spark, lake):
+    made = fraud_features(lake.transactions, lake.customers, lake.merchants)
+    assert made.exceptAll(lake.features).isEmpty() and lake.features.exceptAll(made).isEmpty()
+    compared = QUERIES["ml_fraud_comparison"](lake)
+    assert "Join" not in final_plan(compared)  # the label travels with the scores
+    assert compared.collect() == fraud.ml_comparison(lake.transactions, lake.predictions).collect()
+
+
 def test_a_lookup_skips_files_by_their_bloom_filter(spark, tmp_path):
     def scanned(path, key):
         with settings(spark, spark__sql__adaptive__enabled="false"):

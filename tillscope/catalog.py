@@ -413,7 +413,7 @@ def ml_predictions_page(lh):
 
 @query
 def ml_fraud_comparison(lh):
-    return fraud.ml_comparison(lh.transactions, lh.predictions)
+    return fraud.judged_comparison(lh.judged)
 
 
 @query
@@ -574,7 +574,7 @@ def _summaries(lh: Lakehouse) -> DataFrame:
     return insights.executive_summaries(
         lh.transactions,
         lh.as_of,
-        fraud.agreement(lh.transactions, lh.predictions),
+        fraud.judged_agreement(lh.judged),
         lh.merchant_sentiment,
         customers.segments_ml(lh.segments),
     )

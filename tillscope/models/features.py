@@ -53,12 +53,7 @@ def with_codes(df: DataFrame, codes: DataFrame, columns: list[str]) -> DataFrame
 
 
 def fraud_features(tx: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:
-    """transaction_id and the 13 features, missing numbers as 0.
-
-    The vocabulary is written first: its measured size decides whether the code
-    joins broadcast it, and the fact is not shuffled by a handful of values.
-    """
-    codes = stage(category_codes(tx, CATEGORICAL), "codes")
+    """transaction_id and the 13 features, missing numbers as 0."""
     joined = star(
         tx, customers, merchants,
         [
@@ -68,6 +63,16 @@ def fraud_features(tx: DataFrame, customers: DataFrame, merchants: DataFrame) ->
         ],
         [F.col("risk_score").alias("merchant_risk")],
     )
+    return joined_features(joined, tx)
+
+
+def joined_features(joined: DataFrame, tx: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """The features of rows that have met their customer and merchant; ``keep`` columns come along.
+
+    The vocabulary is that of ``tx``. It is written first: its measured size decides whether the code
+    joins broadcast it, and the fact is not shuffled by a handful of values.
+    """
+    codes = stage(category_codes(tx, CATEGORICAL), "codes")
     coded = with_codes(joined, codes, CATEGORICAL).withColumns(
         {
             "amount_vs_customer_mean": F.col("amount") / (F.col("customer_mean") + 1),
@@ -77,6 +82,7 @@ def fraud_features(tx: DataFrame, customers: DataFrame, merchants: DataFrame) ->
     return coded.select(
         "transaction_id",
         *[F.coalesce(F.col(name).cast("double"), F.lit(0.0)).alias(name) for name in FRAUD_FEATURES],
+        *keep,
     )
 
 

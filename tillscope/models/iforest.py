@@ -105,8 +105,10 @@ def grow(sampled: DataFrame, columns: list[str], key: str, seed: int = SEED) ->
     return sampled.groupBy("tree").applyInPandas(one, _NODES)
 
 
-def score(features: DataFrame, nodes: DataFrame, columns: list[str], key: str, size: int) -> DataFrame:
-    """(key, score): 2 ** (-mean path / expected path), batch-wise on the executors."""
+def score(
+    features: DataFrame, nodes: DataFrame, columns: list[str], key: str, size: int, keep: list[str] = ()
+) -> DataFrame:
+    """(key, score[, keep]): 2 ** (-mean path / expected path), batch-wise on the executors."""
     table = nodes.toPandas().sort_values(["tree", "node"])
     starts = table.groupby("tree", sort=True)["node"].size().cumsum().shift(fill_value=0)
     base = table["tree"].map(starts).to_numpy()
@@ -137,9 +139,10 @@ def score(features: DataFrame, nodes: DataFrame, columns: list[str], key: str, s
                     at = f["child"][2 * at + goes_left]
                 total += f["path"][at]
             mean = total / max(len(f["roots"]), 1)
-            yield pd.DataFrame({key: pdf[key], "score": np.power(2.0, -mean / f["expected"])})
+            yield pdf[[key, *keep]].assign(score=np.power(2.0, -mean / f["expected"]))[[key, "score", *keep]]
 
-    return features.select(key, *columns).mapInPandas(batches, f"{key} string, score double")
+    kept = "".join(f", {x} {features.schema[x].dataType.simpleString()}" for x in keep)
+    return features.select(key, *columns, *keep).mapInPandas(batches, f"{key} string, score double{kept}")
 
 
 def threshold(scored: DataFrame, contamination: float = CONTAMINATION) -> float:
@@ -162,20 +165,22 @@ def threshold(scored: DataFrame, contamination: float = CONTAMINATION) -> float:
 def isolation_forest(
     features: DataFrame, columns: list[str], key: str = "transaction_id",
     trees: int = TREES, size: int = SAMPLE, contamination: float = CONTAMINATION, seed: int = SEED,
+    keep: list[str] = (),
 ) -> DataFrame:
-    """(key, model_prediction, model_score, model_name, created_at).
+    """(key, model_prediction, model_score[, keep], model_name, created_at).
 
-    ``features`` should be a written table: it is read for the sample and for
-    the scores. model_score is above 0 for exactly the flagged rows.
+    ``features`` should be a written table or follow from one without a shuffle: it is read for the
+    sample and for the scores. model_score is above 0 for exactly the flagged rows. The scores are
+    written, the rest follows from them; created_at is the time of their writing.
     """
     drawn = sample(features, key, trees, size, seed)
     nodes = stage(grow(drawn, columns, key, seed), "forest")
     psi = min(size, features.count())
-    scored = stage(score(features, nodes, columns, key, psi), "anomaly-scores")
+    scored = stage(with_audit(score(features, nodes, columns, key, psi, keep), model_name="isolation_forest"), "anomaly-scores")
     cut = threshold(scored, contamination)
-    flagged = scored.select(
+    return scored.select(
         key,
         F.when(F.col("score") > cut, 1).otherwise(0).alias("model_prediction"),
         (F.col("score") - F.lit(cut)).alias("model_score"),
-    )
-    return with_audit(flagged, model_name="isolation_forest")
+        *keep, "model_name", "created_at",
+    )

@@ -27,14 +27,15 @@ def with_names(fact: DataFrame, customers: DataFrame, merchants: DataFrame) -> D
     return star(fact, customers, merchants, ["customer_name"], ["merchant_name"])
 
 
-def enrich(tx: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:
+def enrich(tx: DataFrame, customers: DataFrame, merchants: DataFrame, customer_columns: list = ()) -> DataFrame:
     """Attach what the rules need, in one pass over the dimensions.
 
     Unknown customers and merchants become NULL keys, the place and category of
     the merchant fill in where the row has none, and the distance is computed.
+    ``customer_columns`` come along.
     """
     buyer = customers.select(
-        F.col("customer_id").alias("_buyer"), "x_customer_id", "y_customer_id", "mean_amount"
+        F.col("customer_id").alias("_buyer"), "x_customer_id", "y_customer_id", "mean_amount", *customer_columns
     )
     seller = merchants.select(
         F.col("merchant_id").alias("_seller"),

@@ -121,8 +121,13 @@ def _matched(tx: DataFrame, predictions: DataFrame) -> DataFrame:
 
 def ml_comparison(tx: DataFrame, predictions: DataFrame) -> DataFrame:
     """2 x 2 counts of rule label against model label."""
+    return judged_comparison(_matched(tx, predictions))
+
+
+def judged_comparison(judged: DataFrame) -> DataFrame:
+    """The same of rows that carry both labels, is_fraud and model_prediction."""
     rule, model = F.col("is_fraud"), F.col("model_prediction")
-    return _matched(tx, predictions).agg(
+    return judged.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if((rule == 1) & (model == 1)).alias("both_flagged"),
         F.count_if((rule == 1) & (model == 0)).alias("heuristic_only"),
@@ -133,8 +138,13 @@ def ml_comparison(tx: DataFrame, predictions: DataFrame) -> DataFrame:
 
 def agreement(tx: DataFrame, predictions: DataFrame) -> DataFrame:
     """Percent of rows on which rule and model agree."""
+    return judged_agreement(_matched(tx, predictions))
+
+
+def judged_agreement(judged: DataFrame) -> DataFrame:
+    """The same of rows that carry both labels."""
     same = F.count_if(F.col("is_fraud") == F.col("model_prediction"))
-    return _matched(tx, predictions).agg(
+    return judged.agg(
         F.count(F.lit(1)).alias("total"),
         same.alias("agreed"),
         c.rounded(c.percent(same, F.count(F.lit(1)))).alias("agreement_pct"),
