@@ -6,14 +6,14 @@ A hash of the key decides which rows are held out, so every run splits alike.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer, HashingTF, IndexToString, RegexTokenizer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillscope.models import evaluate
+from tillscope.models import boosting, evaluate
 from tillscope.sources.lake import stage
 
 FOLDS = 5
@@ -53,22 +53,19 @@ def supervised_fraud(
 
 
 def boosted_fraud(
-    features: DataFrame, labels: DataFrame, columns: list[str], key: str = "transaction_id", rounds: int = 20, depth: int = 5
+    features: DataFrame, labels: DataFrame | None, columns: list[str], key: str = "transaction_id", rounds: int = 20, depth: int = 5
 ) -> DataFrame:
     """(key, label, held_out, probability, predicted): boosted trees on all rows that are not held out.
 
     Both classes weigh the same in sum, so the rare one is not drowned. Needs rows of both.
+    Without ``labels`` the features carry is_fraud themselves; rows without a label take no part.
     """
-    known = labels.select(key, F.col("is_fraud").cast("double").alias("label"))
-    assembled = VectorAssembler(inputCols=columns, outputCol="vector").transform(features.join(known, key))
-    # Written: every round reads the rows again.
-    rows = stage(assembled.select(key, "label", "vector"), "fraud-vectors")
-    taught = rows.where(~held_out(key))
-    size = taught.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits")).first()
-    share = size.hits / size.n
-    weight = F.when(F.col("label") == 1, 0.5 / share).otherwise(0.5 / (1 - share))
-    trees = GBTClassifier(labelCol="label", featuresCol="vector", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=42)
-    return _scored(trees.fit(taught.withColumn("weight", weight)), rows, key, "label")
+    rows = features if labels is None else features.join(labels.select(key, "is_fraud"), key)
+    rows = rows.where(F.col("is_fraud").isNotNull())
+    trees, cuts = boosting.fit(rows.where(~held_out(key)), columns, "is_fraud", key, rounds, depth)
+    return boosting.score(rows, columns, key, "is_fraud", trees, cuts).select(
+        key, F.col("is_fraud").alias("label"), held_out(key).alias("held_out"), F.round("probability", 6).alias("probability"), "predicted"
+    )
 
 
 def class_classifier(
