@@ -1,6 +1,7 @@
 from datetime import date, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,6 +110,31 @@ def test_forest_flags_the_share_and_the_outlier(cloud):
     assert made.orderBy(F.desc("model_score")).first().transaction_id == "T00000"
 
 
+def test_turns_of_all_rows_at_once_are_those_of_each_row():
+    rng = np.random.default_rng(2)
+    points = np.column_stack([rng.normal(size=700), rng.integers(0, 3, 700), np.ones(700)])
+    trees = [iforest._grow(points[rng.choice(700, size, replace=False)], rng) for size in (256, 1, 40, 600)]
+    points[:5, 0] = [np.nan, np.inf, -np.inf, 0.0, -0.0]
+    table = pd.DataFrame(
+        [(t, *node) for t, tree in enumerate(trees) for node in tree],
+        columns=["tree", "node", "feature", "split", "left", "right", "path"],
+    )
+
+    def walked(row):
+        total = 0.0
+        for tree in trees:
+            by_number = {n[0]: n for n in tree}
+            node = by_number[0]
+            while node[1] >= 0:
+                node = by_number[node[3] if row[node[1]] <= node[2] else node[4]]
+            total += node[5]
+        return total
+
+    for rows in (700, 9, 1):
+        got = iforest._path_sums(*iforest._forest(table.sample(frac=1, random_state=1), 3), list(points[:rows].T))
+        assert got.tolist() == [walked(p) for p in points[:rows]]
+
+
 def test_forest_does_not_depend_on_partitions(cloud):
     def run(parts):
         made = iforest.isolation_forest(cloud.repartition(parts), ["a", "b", "c"], trees=20)

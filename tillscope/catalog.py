@@ -408,7 +408,8 @@ def isolation_forest(lh):
 
 @query
 def ml_predictions_page(lh):
-    return fraud.ml_predictions_page(lh.predictions, lh.transactions, lh.customers, lh.merchants)
+    # The page needs no label and no months, so the scored rows do.
+    return fraud.ml_predictions_page(lh.predictions, lh.scored, lh.customers, lh.merchants)
 
 
 @query

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ TREES = 200
 SAMPLE = 256
 CONTAMINATION = 0.015
 SEED = 42
+_SCORED = 1 << 14  # rows scored at a time, at least
 _OVERDRAW = 2  # candidates per sampled row, so that no tree comes up short
 
 _NODES = "tree int, node int, feature int, split double, left int, right int, path double"
@@ -45,15 +47,17 @@ def _depth(rows: int) -> int:
     return max(1, math.ceil(math.log2(max(rows, 2))))
 
 
-def sample(features: DataFrame, key: str, trees: int = TREES, size: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """Rows with a ``tree`` column: per tree the ``size`` rows of lowest hash.
+def sample(
+    features: DataFrame, key: str, trees: int = TREES, size: int = SAMPLE, seed: int = SEED, rows: int | None = None
+) -> DataFrame:
+    """Rows with a ``tree`` column: per tree the ``size`` rows of lowest hash. ``rows``: their number, if known.
 
     The hash of the key decides, so the draw does not depend on the partitioning. A row
     serves as many trees as twice the needed draws come to per row: the whole part of
     that number, and one more with the probability of its fraction. From a first tree
     by hash on, a stride without common divisor spreads them over different trees.
     """
-    rows = features.count()
+    rows = features.count() if rows is None else rows
     share = min(float(trees), _OVERDRAW * size * trees / max(rows, 1))
     unit = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(2**53)).cast("double") / 2.0**53
     draws = (F.floor(F.lit(share)) + F.when(unit < share - math.floor(share), 1).otherwise(0)).cast("int")
@@ -105,44 +109,95 @@ def grow(sampled: DataFrame, columns: list[str], key: str, seed: int = SEED) ->
     return sampled.groupBy("tree").applyInPandas(one, _NODES)
 
 
+def _forest(table: pd.DataFrame, width: int) -> tuple[list[np.ndarray], list[tuple]]:
+    """The distinct splits per feature in rising order, and the trees as (levels, paths).
+
+    A level lists its inner nodes by their place among the children of the level above, with their splits'
+    places among all splits. A path has the number made of a row's turns, 1 for left, the first turn highest.
+    """
+    inner = table[table["feature"] >= 0]
+    splits = [np.unique(inner["split"][inner["feature"] == f]) for f in range(width)]
+    offsets = np.cumsum([0, *map(len, splits)])
+    trees = []
+    for _, tree in table.sort_values(["tree", "node"]).groupby("tree", sort=True):
+        feature, split, left, right, path = (tree[x].to_numpy() for x in ("feature", "split", "left", "right", "path"))
+        levels, leaves, here = [], [], [(0, 0)]
+        while here:
+            leaves += [(turns, len(levels), path[node]) for node, turns in here if feature[node] < 0]
+            places = [i for i, (node, _) in enumerate(here) if feature[node] >= 0]
+            if not places:
+                break
+            parents = [here[i] for i in places]
+            used = [offsets[feature[node]] + np.searchsorted(splits[feature[node]], split[node]) for node, _ in parents]
+            levels.append((np.array(places), np.array(used)))
+            here = [(left[node], 2 * turns + 1) for node, turns in parents] + [(right[node], 2 * turns) for node, turns in parents]
+        paths = np.zeros(1 << len(levels))
+        for turns, depth, value in leaves:
+            paths[turns << (len(levels) - depth)] = value
+        trees.append((levels, paths))
+    return splits, trees
+
+
+def _path_sums(splits: list[np.ndarray], trees: list[tuple], values: list[np.ndarray]) -> np.ndarray:
+    """Per row the sum of its path lengths. All rows take all turns of a level at once, a bit per row and node.
+
+    Splits between which the rows have no value part them alike, so their bits are made once.
+    """
+    n = len(values[0])
+    width = -(-n // 8)
+    masks, places, made = [np.empty((0, width), np.uint8)], [], 0
+    for limits, column in zip(splits, values):
+        rank = np.searchsorted(limits, column).astype(np.min_scalar_type(len(limits)))  # a NaN lies beyond all
+        kinds = np.cumsum(np.bincount(rank, minlength=len(limits) + 1)[: len(limits)] > 0)
+        firsts = np.flatnonzero(np.diff(kinds, prepend=-1))
+        places.append(made + np.searchsorted(firsts, np.arange(len(limits)), side="right") - 1)
+        made += len(firsts)
+        for i in range(0, len(firsts), 64):
+            masks.append(np.packbits(rank <= firsts[i : i + 64, None].astype(rank.dtype), axis=1))
+    masks, places = np.concatenate(masks), np.concatenate(places)
+    total = np.zeros(n)
+    for levels, paths in trees:
+        children, turns = np.full((1, width), 255, np.uint8), np.zeros(n, np.min_scalar_type(len(paths) - 1))
+        for inner, used in levels:
+            here = children if len(inner) == len(children) else children[inner]
+            left = masks[places[used]]
+            left &= here
+            turns += turns
+            turns += np.unpackbits(np.bitwise_or.reduce(left, axis=0), count=n)
+            children = np.concatenate([left, here ^ left])
+        total += paths.take(turns)
+    return total
+
+
 def score(
     features: DataFrame, nodes: DataFrame, columns: list[str], key: str, size: int, keep: list[str] = ()
 ) -> DataFrame:
     """(key, score[, keep]): 2 ** (-mean path / expected path), batch-wise on the executors."""
-    table = nodes.toPandas().sort_values(["tree", "node"])
-    starts = table.groupby("tree", sort=True)["node"].size().cumsum().shift(fill_value=0)
-    base = table["tree"].map(starts).to_numpy()
-    leaf = table["feature"].to_numpy() < 0
-    # A leaf sends every row to itself, so all rows take the same number of steps.
-    forest = {
-        "roots": starts.to_numpy(),
-        "feature": np.where(leaf, 0, table["feature"]),
-        "split": np.where(leaf, np.inf, table["split"]),
-        # child of node i: entry 2 i + (1 if the row goes left)
-        "child": np.column_stack([table["right"] + base, table["left"] + base]).ravel(),
-        "path": table["path"].to_numpy(),
-        "depth": _depth(size),
-        "expected": _mean_path(size) or 1.0,
-    }
-    shared = features.sparkSession.sparkContext.broadcast(forest)
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        f = shared.value
-        for pdf in frames:
-            n = len(pdf)
-            values = np.concatenate([pdf[x].to_numpy(dtype=float) for x in columns])  # column by column
-            rows, total = np.arange(n), np.zeros(n)
-            for root in f["roots"]:
-                at = np.full(n, root)
-                for _ in range(f["depth"]):
-                    goes_left = values[f["feature"][at] * n + rows] <= f["split"][at]
-                    at = f["child"][2 * at + goes_left]
-                total += f["path"][at]
-            mean = total / max(len(f["roots"]), 1)
-            yield pdf[[key, *keep]].assign(score=np.power(2.0, -mean / f["expected"]))[[key, "score", *keep]]
+    shared = features.sparkSession.sparkContext.broadcast(_forest(nodes.toPandas(), len(columns)))
+    expected = _mean_path(size) or 1.0
+
+    def scored(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        total = _path_sums(*shared.value, [rows[x].to_numpy().astype(float) for x in columns])
+        mean = total / max(len(shared.value[1]), 1)
+        made = rows.select([key]).append_column("score", pa.array(np.power(2.0, -mean / expected)))
+        for name in keep:
+            made = made.append_column(name, rows[name])
+        return made.to_batches()
+
+    def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in parts:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= _SCORED:
+                yield from scored(held)
+                held, n = [], 0
+        if n:
+            yield from scored(held)
 
     kept = "".join(f", {x} {features.schema[x].dataType.simpleString()}" for x in keep)
-    return features.select(key, *columns, *keep).mapInPandas(batches, f"{key} string, score double{kept}")
+    return features.select(key, *columns, *keep).mapInArrow(batches, f"{key} string, score double{kept}")
 
 
 def threshold(scored: DataFrame, contamination: float = CONTAMINATION) -> float:
@@ -173,9 +228,9 @@ def isolation_forest(
     sample and for the scores. model_score is above 0 for exactly the flagged rows. The scores are
     written, the rest follows from them; created_at is the time of their writing.
     """
-    drawn = sample(features, key, trees, size, seed)
-    nodes = stage(grow(drawn, columns, key, seed), "forest")
-    psi = min(size, features.count())
+    rows = features.count()
+    nodes = stage(grow(sample(features, key, trees, size, seed, rows), columns, key, seed), "forest")
+    psi = min(size, rows)
     scored = stage(with_audit(score(features, nodes, columns, key, psi, keep), model_name="isolation_forest"), "anomaly-scores")
     cut = threshold(scored, contamination)
     return scored.select(
